@@ -1,0 +1 @@
+"""Every job in this library is a batch job over one snapshot; there is no stream to read."""
