@@ -142,23 +142,25 @@ def _(m):
 
 @query(
     "quantiles",
-    """SELECT quantile_cont(price, 0.01) AS q01, quantile_cont(price, 0.5) AS q50,
-       quantile_cont(price, 0.8) AS q80, quantile_cont(price, 0.99) AS q99 FROM listings""",
+    """SELECT round(quantile_cont(price, 0.01), 6) AS q01, quantile_cont(price, 0.5) AS q50,
+       round(quantile_cont(price, 0.8), 6) AS q80, round(quantile_cont(price, 0.99), 6) AS q99 FROM listings""",
 )
 def _(m):
-    return exact_quantiles(m.listings, [], "price", {"q01": 0.01, "q50": 0.5, "q80": 0.8, "q99": 0.99})
+    found = exact_quantiles(m.listings, [], "price", {"q01": 0.01, "q50": 0.5, "q80": 0.8, "q99": 0.99})
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
 @query(
     "calendar_quantiles",
-    """SELECT strftime(date, '%Y-%m') AS month, quantile_cont(price, 0.01) AS q01, median(price) AS q50,
-       quantile_cont(price, 0.99) AS q99, count(*) AS days FROM calendar GROUP BY 1""",
+    """SELECT strftime(date, '%Y-%m') AS month, round(quantile_cont(price, 0.01), 6) AS q01, median(price) AS q50,
+       round(quantile_cont(price, 0.99), 6) AS q99, count(*) AS days FROM calendar GROUP BY 1""",
 )
 def _(m):
     months = m.calendar.withColumn("month", E.month_bucket(F.col("date")))
-    return exact_quantiles(
+    found = exact_quantiles(
         months, ["month"], "price", {"q01": 0.01, "q50": 0.5, "q99": 0.99}, {"days": F.count(F.lit(1))}
     )
+    return found.select("month", *[F.round(c, 6).alias(c) for c in ("q01", "q50", "q99")], "days")
 
 
 @query(

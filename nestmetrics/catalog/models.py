@@ -1 +1,167 @@
+"""Price models.
 
+Fitted models are checked by row counts here and by properties in the unit tests; the feature
+frame, the imputed values and the split size are checked in SQL.
+"""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import functions as F
+
+from nestmetrics.catalog.registry import query
+from nestmetrics.plans import dashboard, ml
+
+# Rounds of boosting in the registered query; the library's own default is 200.
+BOOSTING_ROUNDS = 20
+
+FRAME = """, priced AS (SELECT * FROM enriched WHERE price > 0),
+    kept AS (SELECT * FROM priced WHERE price < (SELECT quantile_cont(price, 0.99) FROM priced))
+    """
+
+
+@query(
+    "ml_feature_frame",
+    FRAME
+    + """SELECT id, room_type, neighbourhood_cleansed, accommodates::DOUBLE AS accommodates, bedrooms, beds, bathrooms,
+    review_scores_rating, number_of_reviews::DOUBLE AS number_of_reviews, reviews_per_month,
+    availability_365::DOUBLE AS availability_365, host_tenure_years, price_per_bedroom, estimated_occupancy_rate_365d,
+    CASE WHEN host_is_superhost THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS host_is_superhost,
+    CASE WHEN is_professional_host THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_professional_host,
+    round(ln(1 + price), 9) AS label FROM kept""",
+)
+def _(m):
+    return ml.feature_frame(m.enriched).withColumn("label", F.round("label", 9))
+
+
+@query("ml_split", FRAME + "SELECT count(*) AS n, CAST(ceil(count(*) * 0.2::DOUBLE) AS BIGINT) AS n_test FROM kept")
+def _(m):
+    marked = ml.split(ml.feature_frame(m.enriched))
+    return marked.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test"))
+
+
+@query("ml_split_rows")
+def _(m):
+    return ml.split(ml.feature_frame(m.enriched)).select("id", "is_test")
+
+
+@query("ml_impute_numeric")
+def _(m):
+    """The medians that stand in for missing numbers, as fitted on the training rows."""
+    imputer = m.prepared.stages.stages[0]
+    return imputer.surrogateDF
+
+
+@query(
+    "ml_impute_categorical",
+    """SELECT (SELECT room_type FROM enriched WHERE room_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+       AS room_type, (SELECT neighbourhood_cleansed FROM enriched WHERE neighbourhood_cleansed IS NOT NULL GROUP BY 1
+       ORDER BY count(*) DESC, 1 LIMIT 1) AS neighbourhood_cleansed""",
+)
+def _(m):
+    return ml.most_frequent(m.enriched, ("room_type", "neighbourhood_cleansed"))
+
+
+@query("ml_scale")
+def _(m):
+    """Mean and deviation of every scaled feature over the training rows: about 0 and 1."""
+    from pyspark.ml.stat import Summarizer
+
+    summary = m.prepared.train.select(
+        Summarizer.metrics("mean", "std", "count").summary(F.col("features")).alias("s")
+    )
+    n = len(m.prepared.scaled)
+    return summary.select(
+        F.slice(_array("s.mean"), 1, n).alias("means"), F.slice(_array("s.std"), 1, n).alias("deviations"), "s.count"
+    )
+
+
+def _array(column: str):
+    from pyspark.ml.functions import vector_to_array
+
+    return vector_to_array(F.col(column))
+
+
+@query("ml_one_hot")
+def _(m):
+    """Training rows per one-hot level."""
+    p = m.prepared
+    names = ml.feature_names(p)
+    first = len(p.scaled)
+    values = _array("features")
+    return p.train.agg(
+        *[F.sum(F.element_at(values, i + 1)).cast("long").alias(names[i]) for i in range(first, len(names))]
+    )
+
+
+@cache
+def _fitted(prepared, name: str, rounds: int | None = None):
+    make = ml.MODELS[name]
+    return (make() if rounds is None else make(rounds)).fit(prepared.train)
+
+
+def _model(m, name: str):
+    return _fitted(m.prepared, name, BOOSTING_ROUNDS if name == "Gradient-Boosted Trees" else None)
+
+
+def _result(m, name: str):
+    return ml.result_row(m.prepared, name, _model(m, name).transform(m.prepared.test))
+
+
+@query("ml_linear_regression")
+def _(m):
+    return _result(m, "Linear Regression")
+
+
+@query("ml_random_forest")
+def _(m):
+    return _result(m, "Random Forest")
+
+
+@query("ml_boosted_trees")
+def _(m):
+    return _result(m, "Gradient-Boosted Trees")
+
+
+def _results(m):
+    report = None
+    for name in ml.MODELS:
+        row = _result(m, name)
+        report = row if report is None else report.unionByName(row)
+    return report
+
+
+@query(
+    "ml_evaluate",
+    """, p AS (SELECT ln(1 + price) AS label, ln(1 + price) * 0.9 + 1 AS prediction FROM listings WHERE price > 0)
+    SELECT round(avg(abs((exp(label) - 1) - (exp(prediction) - 1))), 2) AS mae,
+           round(sqrt(avg(((exp(label) - 1) - (exp(prediction) - 1)) ** 2)), 2) AS rmse,
+           round(1 - sum((label - prediction) ** 2) / sum((label - (SELECT avg(label) FROM p)) ** 2), 6) AS r2 FROM p""",
+)
+def _(m):
+    """The measures, on predictions that both sides can compute."""
+    label = F.log1p("price")
+    rows = m.listings.where(F.col("price") > 0).select(label.alias("label"), (label * 0.9 + 1).alias("prediction"))
+    return ml.evaluate(rows).select(
+        F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2")
+    )
+
+
+@query("ml_model_results")
+def _(m):
+    return _results(m)
+
+
+@query("ml_feature_importance")
+def _(m):
+    """The weightiest features of the best model that has weights."""
+    return ml.feature_importance(m.prepared, "Random Forest", _model(m, "Random Forest"))
+
+
+@query("dash_best_model")
+def _(m):
+    results = _results(m)
+    best = dashboard.best_model(results).withColumn("view", F.lit("best"))
+    boosted = dashboard.boosted_rows(results, "boosted").withColumn("view", F.lit("boosted"))
+    return best.unionByName(boosted)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from nestmetrics.catalog.oracle_views import VIEWS
-from nestmetrics.catalog.tables import Market
+from nestmetrics.catalog.tables import Market, market
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None) -> Callable:
     def register(build: Callable[[Market], DataFrame]) -> Callable:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: build(Market(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(market(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = VIEWS + sql
         return build

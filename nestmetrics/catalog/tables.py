@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestmetrics.plans.enrich import enrich_listings
+from nestmetrics.plans.ml import Prepared, prepare
 from nestmetrics.plans.warehouse import Star, build_star
 from nestmetrics.session import scratch_path
 
@@ -22,7 +23,7 @@ SNAPSHOT_DATE = "2001-12-31"
 ENTIRE, PRIVATE = "1-URGENT", "5-LOW"
 STAR_BUCKETS = 8
 
-_STARS: dict[tuple[str, str], Star] = {}
+_MARKETS: dict[tuple[str, str], Market] = {}
 
 
 def _date_text(d: Column, us_style: Column) -> Column:
@@ -200,20 +201,30 @@ class Market:
     def enriched(self) -> DataFrame:
         return enrich_listings(self.listings, self.calendar, self.reviews, SNAPSHOT_DATE)
 
-    @property
+    @cached_property
     def star(self) -> Star:
         """The stored star schema of these tables, written once per session."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _STARS:
-            root = scratch_path(self.spark, "star")
-            _STARS[key] = build_star(
-                self.spark,
-                root,
-                self.enriched,
-                self.calendar,
-                self.reviews,
-                self.neighbourhoods,
-                table_prefix=root.rsplit("/", 1)[-1].replace("-", "_"),
-                buckets=STAR_BUCKETS,
-            )
-        return _STARS[key]
+        root = scratch_path(self.spark, "star")
+        return build_star(
+            self.spark,
+            root,
+            self.enriched,
+            self.calendar,
+            self.reviews,
+            self.neighbourhoods,
+            table_prefix=root.rsplit("/", 1)[-1].replace("-", "_"),
+            buckets=STAR_BUCKETS,
+        )
+
+    @cached_property
+    def prepared(self) -> Prepared:
+        """Split, imputed and coded rows for the price models, prepared once per session."""
+        return prepare(self.enriched)
+
+
+def market(spark: SparkSession, sf_dir: str) -> Market:
+    """The market of a folder. Its frames are plans, so one per session is enough."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MARKETS:
+        _MARKETS[key] = Market(spark, sf_dir)
+    return _MARKETS[key]

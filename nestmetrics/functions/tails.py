@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Chebyshev coefficients of the complementary error function
@@ -67,35 +67,35 @@ def _log_gamma(x: Column) -> Column:
     return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(shift)
 
 
-def student_t_two_sided(t: Column, df: Column, terms: int = 200) -> Column:
-    """P(|T| > |t|): regularised incomplete beta by its continued fraction (Lentz)."""
-    x = df / (df + t * t)
-    a, b = df / 2.0, F.lit(0.5)
+def with_student_t_tail(df: DataFrame, t: str, dof: str, out: str, terms: int = 150) -> DataFrame:
+    """Add P(|T| > |t|): the regularised incomplete beta function by its continued fraction."""
+    x = F.col(dof) / (F.col(dof) + F.col(t) * F.col(t))
     # The fraction converges fast below the mean of the beta variable; mirror it above.
-    swap = x > (a + 1.0) / (a + b + 2.0)
-    p = F.when(swap, b).otherwise(a)
-    q = F.when(swap, a).otherwise(b)
-    y = F.when(swap, F.lit(1.0) - x).otherwise(x)
-    tiny = 1e-300
-
-    def guard(c: Column) -> Column:
-        return F.when(F.abs(c) < tiny, F.lit(tiny)).otherwise(c)
-
-    d0 = F.lit(1.0) / guard(F.lit(1.0) - (p + q) * y / (p + 1.0))
-    start = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"))
-
-    def advance(acc: Column, coefficient: Column) -> Column:
-        d = F.lit(1.0) / guard(F.lit(1.0) + coefficient * acc["d"])
-        c = guard(F.lit(1.0) + coefficient / acc["c"])
+    mirrored = x > (F.col(dof) / 2.0 + 1.0) / (F.col(dof) / 2.0 + 2.5)
+    df = df.withColumn("_mirrored", mirrored).withColumns(
+        {
+            "_a": F.when(F.col("_mirrored"), F.lit(0.5)).otherwise(F.col(dof) / 2.0),
+            "_b": F.when(F.col("_mirrored"), F.col(dof) / 2.0).otherwise(F.lit(0.5)),
+            "_y": F.when(F.col("_mirrored"), F.lit(1.0) - x).otherwise(x),
+        }
+    )
+    a, b, y = F.col("_a"), F.col("_b"), F.col("_y")
+    one = F.lit(1.0)
+    start = F.struct(one.alias("c"), (one / (one - (a + b) * y / (a + 1.0))).alias("d"))
+    start = F.struct(start["c"].alias("c"), start["d"].alias("d"), start["d"].alias("h"))
+
+    def step(acc: Column, j: Column) -> Column:
+        # Coefficients alternate: j = 2, 4, ... and j = 3, 5, ...
+        m = F.floor(j / 2).cast("double")
+        even = m * (b - m) * y / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
+        odd = -(a + m) * (a + b + m) * y / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
+        k = F.when(j % 2 == 0, even).otherwise(odd)
+        d = one / (one + k * acc["d"])
+        c = one + k / acc["c"]
         return F.struct(c.alias("c"), d.alias("d"), (acc["h"] * c * d).alias("h"))
 
-    def pair(acc: Column, m: Column) -> Column:
-        k = m.cast("double")
-        even = k * (q - k) * y / ((p + 2.0 * k - 1.0) * (p + 2.0 * k))
-        odd = -(p + k) * (p + q + k) * y / ((p + 2.0 * k) * (p + 2.0 * k + 1.0))
-        return advance(advance(acc, even), odd)
-
-    h = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), start, pair)["h"]
-    log_front = _log_gamma(p + q) - _log_gamma(p) - _log_gamma(q) + p * F.log(y) + q * F.log(F.lit(1.0) - y)
-    tail = F.exp(log_front) * h / p
-    return F.when(swap, F.lit(1.0) - tail).otherwise(tail)
+    fraction = F.aggregate(F.sequence(F.lit(2), F.lit(2 * terms + 1)), start, step)["h"]
+    front = _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(y) + b * F.log(one - y)
+    # A difference of exactly 0 has no logarithm; every value is then as extreme.
+    tail = F.when(F.col(t) == 0, one).when(F.col("_mirrored"), one - F.exp(front) * fraction / a)
+    return df.withColumn(out, tail.otherwise(F.exp(front) * fraction / a)).drop("_mirrored", "_a", "_b", "_y")

@@ -55,8 +55,14 @@ def exact_quantiles(
 
     def interpolated(name: str) -> Column:
         low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-        fraction = wanted[name][2]
-        return (low * (F.lit(1.0) - fraction) + high * fraction).alias(name)
+        fraction, gap = wanted[name][2], high - low
+        # Stepping from the nearer rank, as array libraries do.
+        between = (
+            F.when(fraction == 0.5, (low + high) / 2)
+            .when(fraction < 0.5, low + gap * fraction)
+            .otherwise(high - gap * (F.lit(1.0) - fraction))
+        )
+        return between.alias(name)
 
     located = located.select(*(["_g"] if keys else []), *[interpolated(name) for name in probs])
     aggregates = [column.alias(name) for name, column in (extras or {}).items()]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
-from nestmetrics.functions.tails import chi_square_upper, normal_two_sided, student_t_two_sided
+from nestmetrics.functions.tails import chi_square_upper, normal_two_sided, with_student_t_tail
 from nestmetrics.operators.ordering import mid_ranks, number_rows, sample_fixed_n, top_k
 from nestmetrics.plans import texts
 
@@ -101,11 +101,10 @@ def _with_tests(m: DataFrame) -> DataFrame:
         & (n1 >= MIN_NORMAL_GROUP)
         & (n2 >= MIN_NORMAL_GROUP)
     )
-    return m.withColumns(
+    return with_student_t_tail(m, "t", "t_df", "t_p").withColumns(
         {
             # z may dip below 0 through the continuity correction: the two-sided tail is then 1.
             "u_p": F.least(F.lit(1.0), F.when(F.col("z") <= 0, 1.0).otherwise(normal_two_sided(F.col("z")))),
-            "t_p": student_t_two_sided(F.col("t"), F.col("t_df")),
             "d": cohens_d(n1, F.col("mean_1"), F.col("var_1"), n2, F.col("mean_2"), F.col("var_2")),
             "r": rank_biserial(F.col("u"), n1, n2),
             "is_normal": F.coalesce(normal, F.lit(False)),
