@@ -150,13 +150,13 @@ def _(m):
 @query("revenue_proxy", "SELECT id, estimated_annual_revenue_proxy FROM enriched")
 def _(m):
     revenue = E.revenue_proxy(F.col("average_calendar_price"), F.col("calendar_days_unavailable"))
-    return m.enriched.select("id", revenue.alias("estimated_annual_revenue_proxy"))
+    return m.enrich().select("id", revenue.alias("estimated_annual_revenue_proxy"))
 
 
 @query("occupancy_rate", "SELECT id, estimated_occupancy_rate_365d FROM enriched")
 def _(m):
     rate = E.occupancy_rate(F.col("calendar_days_unavailable"), F.col("calendar_days_total"))
-    return m.enriched.select("id", rate.alias("estimated_occupancy_rate_365d"))
+    return m.enrich().select("id", rate.alias("estimated_occupancy_rate_365d"))
 
 
 @query(

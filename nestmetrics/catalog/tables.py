@@ -17,6 +17,7 @@ from nestmetrics.plans.enrich import enrich_listings
 from nestmetrics.plans.ml import Prepared, prepare
 from nestmetrics.plans.warehouse import Star, build_star
 from nestmetrics.session import scratch_path
+from nestmetrics.sources.sinks import write_parquet
 
 SNAPSHOT_DATE = "2001-12-31"
 # Room types standing for entire homes and private rooms.
@@ -197,9 +198,16 @@ class Market:
 
     # ------------------------------------------------------------ derived tables
 
+    def enrich(self) -> DataFrame:
+        return enrich_listings(self.listings, self.calendar, self.reviews, SNAPSHOT_DATE)
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich_listings(self.listings, self.calendar, self.reviews, SNAPSHOT_DATE)
+        """The enriched listings as stored: written once per session, then only scanned."""
+        path = scratch_path(self.spark, "enriched")
+        frame = self.enrich()
+        write_parquet(frame, path)
+        return self.spark.read.schema(frame.schema).parquet(path)
 
     @cached_property
     def star(self) -> Star:

@@ -43,4 +43,4 @@ def _(m):
 
 @query("enrich_listings", "SELECT * FROM enriched")
 def _(m):
-    return m.enriched
+    return m.enrich()

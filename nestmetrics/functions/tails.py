@@ -1,12 +1,13 @@
-"""Tail probabilities as columns, so that tests stay lazy one-row frames."""
+"""Tail probabilities as SQL expressions, so that tests stay lazy one-row frames.
+
+Arguments are SQL text (a column name or an expression in brackets) of type double.
+"""
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Chebyshev coefficients of the complementary error function
 # (Numerical Recipes, relative error below 1.2e-7).
@@ -24,78 +25,73 @@ ERFC_COEFFICIENTS = (
 )
 
 
-def erfc(x: Column) -> Column:
+def erfc(x: str) -> str:
     """Complementary error function of x >= 0."""
-    t = F.lit(1.0) / (F.lit(1.0) + x * 0.5)
-    poly = reduce(lambda acc, c: acc * t + F.lit(c), reversed(ERFC_COEFFICIENTS[:-1]), F.lit(ERFC_COEFFICIENTS[-1]))
-    return t * F.exp(-x * x + poly)
+    t = f"(1D / (1D + {x} / 2))"
+    poly = f"{ERFC_COEFFICIENTS[-1]}D"
+    for c in reversed(ERFC_COEFFICIENTS[:-1]):
+        poly = f"({c}D + {t} * {poly})"
+    return f"({t} * exp(-{x} * {x} + {poly}))"
 
 
-def normal_two_sided(z: Column) -> Column:
-    return erfc(F.abs(z) / math.sqrt(2.0))
+def normal_two_sided(z: str) -> str:
+    return erfc(f"(abs({z}) / sqrt(2D))")
 
 
-def chi_square_upper(x: Column, df: Column) -> Column:
+def chi_square_upper(x: str, dof: str) -> str:
     """P(X > x) for a chi-square variable with a whole number of degrees of freedom.
 
     Even: a finite exponential sum. Odd: the normal tail plus a finite sum over half-integers.
     """
-    half = x / 2.0
-    terms = F.floor(df / 2).cast("int")
-    index = F.when(terms > 1, F.sequence(F.lit(1), terms - 1)).otherwise(F.array().cast("array<int>"))
-
-    def summed(first: Column, ratio_shift: float) -> Column:
-        start = F.struct(first.alias("term"), first.alias("total"))
-
-        def step(acc: Column, i: Column) -> Column:
-            term = acc["term"] * half / (i.cast("double") + F.lit(ratio_shift))
-            return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+    half = f"({x} / 2D)"
+    terms = f"int({dof} div 2)"
+    index = f"CASE WHEN {terms} > 1 THEN sequence(1, {terms} - 1) ELSE array() END"
 
-        return F.aggregate(index, start, step)["total"]
+    def summed(first: str, shift: str) -> str:
+        return (
+            f"aggregate({index}, named_struct('term', {first}, 'total', {first}), (acc, i) -> named_struct("
+            f"'term', acc.term * {half} / (i + {shift}), 'total', acc.total + acc.term * {half} / (i + {shift}))).total"
+        )
 
-    even = F.exp(-half) * summed(F.lit(1.0), 0.0)
-    first_odd = F.sqrt(half) / F.lit(math.gamma(1.5))
-    odd = erfc(F.sqrt(half)) + F.when(terms > 0, F.exp(-half) * summed(first_odd, 0.5)).otherwise(0.0)
-    return F.when(df % 2 == 0, even).otherwise(odd)
+    even = f"exp(-{half}) * {summed('1D', '0D')}"
+    first_odd = f"(sqrt({half}) / {math.gamma(1.5)}D)"
+    odd = f"{erfc(f'sqrt({half})')} + CASE WHEN {terms} > 0 THEN exp(-{half}) * {summed(first_odd, '0.5D')} ELSE 0D END"
+    return f"CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {odd} END"
 
 
-def _log_gamma(x: Column) -> Column:
+def _log_gamma(x: str) -> str:
     """Stirling series after shifting the argument up by 8."""
-    shift = reduce(lambda acc, k: acc * (x + float(k)), range(1, 8), x)
-    y = x + 8.0
-    series = F.lit(1.0) / (y * 12.0) - F.lit(1.0) / (F.pow(y, 3.0) * 360.0) + F.lit(1.0) / (F.pow(y, 5.0) * 1260.0)
-    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(shift)
+    y = f"({x} + 8D)"
+    shifted = " * ".join(f"({x} + {k}D)" for k in range(8))
+    series = f"1D / (12 * {y}) - 1D / (360 * pow({y}, 3)) + 1D / (1260 * pow({y}, 5))"
+    return f"(({y} - 0.5D) * ln({y}) - {y} + {0.5 * math.log(2 * math.pi)}D + {series} - ln({shifted}))"
 
 
 def with_student_t_tail(df: DataFrame, t: str, dof: str, out: str, terms: int = 150) -> DataFrame:
     """Add P(|T| > |t|): the regularised incomplete beta function by its continued fraction."""
-    x = F.col(dof) / (F.col(dof) + F.col(t) * F.col(t))
-    # The fraction converges fast below the mean of the beta variable; mirror it above.
-    mirrored = x > (F.col(dof) / 2.0 + 1.0) / (F.col(dof) / 2.0 + 2.5)
-    df = df.withColumn("_mirrored", mirrored).withColumns(
-        {
-            "_a": F.when(F.col("_mirrored"), F.lit(0.5)).otherwise(F.col(dof) / 2.0),
-            "_b": F.when(F.col("_mirrored"), F.col(dof) / 2.0).otherwise(F.lit(0.5)),
-            "_y": F.when(F.col("_mirrored"), F.lit(1.0) - x).otherwise(x),
-        }
+    # The fraction converges fast below the mean of the beta variable; it is mirrored above.
+    df = df.selectExpr("*", f"{dof} / ({dof} + {t} * {t}) AS _x").selectExpr(
+        "*", f"_x > ({dof} / 2 + 1) / ({dof} / 2 + 2.5D) AS _mirrored"
+    )
+    df = df.selectExpr(
+        "*",
+        f"CASE WHEN _mirrored THEN 0.5D ELSE {dof} / 2 END AS _a",
+        f"CASE WHEN _mirrored THEN {dof} / 2 ELSE 0.5D END AS _b",
+        "CASE WHEN _mirrored THEN 1D - _x ELSE _x END AS _y",
+    )
+    # Coefficients alternate: even and odd steps of the fraction.
+    m = "double(j div 2)"
+    even = f"{m} * (_b - {m}) * _y / ((_a + 2 * {m} - 1) * (_a + 2 * {m}))"
+    odd = f"-(_a + {m}) * (_a + _b + {m}) * _y / ((_a + 2 * {m}) * (_a + 2 * {m} + 1))"
+    k = f"(CASE WHEN j % 2 = 0 THEN {even} ELSE {odd} END)"
+    first = "1D / (1D - (_a + _b) * _y / (_a + 1))"
+    df = df.selectExpr(
+        "*",
+        f"""aggregate(sequence(2, {2 * terms + 1}), named_struct('c', 1D, 'd', {first}, 'h', {first}), (acc, j) ->
+            named_struct('c', 1D + {k} / acc.c, 'd', 1D / (1D + {k} * acc.d),
+                         'h', acc.h * (1D + {k} / acc.c) / (1D + {k} * acc.d))).h AS _h""",
+        f"{_log_gamma('(_a + _b)')} - {_log_gamma('_a')} - {_log_gamma('_b')} + _a * ln(_y) + _b * ln(1D - _y) AS _f",
     )
-    a, b, y = F.col("_a"), F.col("_b"), F.col("_y")
-    one = F.lit(1.0)
-    start = F.struct(one.alias("c"), (one / (one - (a + b) * y / (a + 1.0))).alias("d"))
-    start = F.struct(start["c"].alias("c"), start["d"].alias("d"), start["d"].alias("h"))
-
-    def step(acc: Column, j: Column) -> Column:
-        # Coefficients alternate: j = 2, 4, ... and j = 3, 5, ...
-        m = F.floor(j / 2).cast("double")
-        even = m * (b - m) * y / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
-        odd = -(a + m) * (a + b + m) * y / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
-        k = F.when(j % 2 == 0, even).otherwise(odd)
-        d = one / (one + k * acc["d"])
-        c = one + k / acc["c"]
-        return F.struct(c.alias("c"), d.alias("d"), (acc["h"] * c * d).alias("h"))
-
-    fraction = F.aggregate(F.sequence(F.lit(2), F.lit(2 * terms + 1)), start, step)["h"]
-    front = _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(y) + b * F.log(one - y)
     # A difference of exactly 0 has no logarithm; every value is then as extreme.
-    tail = F.when(F.col(t) == 0, one).when(F.col("_mirrored"), one - F.exp(front) * fraction / a)
-    return df.withColumn(out, tail.otherwise(F.exp(front) * fraction / a)).drop("_mirrored", "_a", "_b", "_y")
+    tail = f"""CASE WHEN {t} = 0 THEN 1D WHEN _mirrored THEN 1D - exp(_f) * _h / _a ELSE exp(_f) * _h / _a END"""
+    return df.selectExpr("*", f"{tail} AS {out}").drop("_x", "_mirrored", "_a", "_b", "_y", "_h", "_f")

@@ -32,15 +32,6 @@ def mean_var(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-def cohens_d(n1: Column, mean1: Column, var1: Column, n2: Column, mean2: Column, var2: Column) -> Column:
-    pooled = F.sqrt(F.try_divide((n1 - 1) * var1 + (n2 - 1) * var2, (n1 + n2 - 2).cast("double")))
-    return F.when(pooled == 0, 0.0).otherwise(F.try_divide(mean1 - mean2, pooled))
-
-
-def rank_biserial(u: Column, n1: Column, n2: Column) -> Column:
-    return F.lit(1.0) - F.try_divide(u * 2.0, n1.cast("double") * n2.cast("double"))
-
-
 def jarque_bera_p(n: Column, skewness: Column, excess: Column) -> Column:
     statistic = n / 6.0 * (skewness * skewness + excess * excess / 4.0)
     return F.exp(-statistic / 2.0)
@@ -76,40 +67,36 @@ def two_sample(df: DataFrame, value: str, first: Column, second: Column) -> Data
         ]
     )
     merged = moments.withColumn("_r", rank_part.select(F.struct("rank_sum", "tie_sum")).scalar())
-    n1, n2 = F.col("n_1").cast("double"), F.col("n_2").cast("double")
-    merged = merged.select("*", F.col("_r.rank_sum").alias("rank_sum"), F.col("_r.tie_sum").alias("tie_sum")).drop("_r")
-    merged = merged.withColumn("u", F.col("rank_sum") - n1 * (n1 + 1) / 2)
-    return _with_tests(merged)
+    return _with_tests(
+        merged.selectExpr("*", "_r.rank_sum", "_r.tie_sum", "_r.rank_sum - double(n_1) * (n_1 + 1) / 2 AS u").drop("_r")
+    )
 
 
 def _with_tests(m: DataFrame) -> DataFrame:
-    n1, n2 = F.col("n_1").cast("double"), F.col("n_2").cast("double")
-    s1, s2 = F.try_divide(F.col("var_1"), n1), F.try_divide(F.col("var_2"), n2)
-    m = m.withColumns(
-        {
-            "t": F.try_divide(F.col("mean_1") - F.col("mean_2"), F.sqrt(s1 + s2)),
-            "t_df": F.try_divide((s1 + s2) * (s1 + s2), F.try_divide(s1 * s1, n1 - 1) + F.try_divide(s2 * s2, n2 - 1)),
-        }
+    """Both tests, both effect sizes and the choice between them, from the one-row sample."""
+    normal = " AND ".join(
+        f"exp(-n{i} / 12 * (skew_{i} * skew_{i} + excess_{i} * excess_{i} / 4)) > {ALPHA}D AND n{i} >= {MIN_NORMAL_GROUP}"
+        for i in (1, 2)
     )
-    total = n1 + n2
-    spread = n1 * n2 / 12.0 * ((total + 1) - F.try_divide(F.col("tie_sum"), total * (total - 1)))
-    larger = F.greatest(F.col("u"), n1 * n2 - F.col("u"))
-    m = m.withColumn("z", F.try_divide(larger - n1 * n2 / 2 - 0.5, F.sqrt(spread)))
-    normal = (
-        (jarque_bera_p(n1, F.col("skew_1"), F.col("excess_1")) > ALPHA)
-        & (jarque_bera_p(n2, F.col("skew_2"), F.col("excess_2")) > ALPHA)
-        & (n1 >= MIN_NORMAL_GROUP)
-        & (n2 >= MIN_NORMAL_GROUP)
+    m = m.selectExpr("*", "double(n_1) AS n1", "double(n_2) AS n2").selectExpr(
+        "*",
+        "try_divide(var_1, n1) AS s1",
+        "try_divide(var_2, n2) AS s2",
+        "n1 * n2 / 12 * (n1 + n2 + 1 - try_divide(tie_sum, (n1 + n2) * (n1 + n2 - 1))) AS u_variance",
+        "sqrt(try_divide((n1 - 1) * var_1 + (n2 - 1) * var_2, n1 + n2 - 2)) AS pooled",
     )
-    return with_student_t_tail(m, "t", "t_df", "t_p").withColumns(
-        {
-            # z may dip below 0 through the continuity correction: the two-sided tail is then 1.
-            "u_p": F.least(F.lit(1.0), F.when(F.col("z") <= 0, 1.0).otherwise(normal_two_sided(F.col("z")))),
-            "d": cohens_d(n1, F.col("mean_1"), F.col("var_1"), n2, F.col("mean_2"), F.col("var_2")),
-            "r": rank_biserial(F.col("u"), n1, n2),
-            "is_normal": F.coalesce(normal, F.lit(False)),
-        }
+    m = m.selectExpr(
+        "*",
+        "try_divide(mean_1 - mean_2, sqrt(s1 + s2)) AS t",
+        "try_divide((s1 + s2) * (s1 + s2), try_divide(s1 * s1, n1 - 1) + try_divide(s2 * s2, n2 - 1)) AS t_df",
+        "try_divide(greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5D, sqrt(u_variance)) AS z",
+        "CASE WHEN pooled = 0 THEN 0D ELSE try_divide(mean_1 - mean_2, pooled) END AS d",
+        "1D - try_divide(u * 2, n1 * n2) AS r",
+        f"coalesce({normal}, false) AS is_normal",
     )
+    # z may dip below 0 through the continuity correction: the two-sided tail is then 1.
+    u_p = f"CASE WHEN z <= 0 THEN 1D ELSE least(1D, {normal_two_sided('z')}) END AS u_p"
+    return with_student_t_tail(m.selectExpr("*", u_p), "t", "t_df", "t_p").drop("n1", "n2", "s1", "s2", "pooled")
 
 
 def _report_row(
@@ -230,7 +217,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
         (total - F.col("n_1")).cast("long").alias("n_rest"),
         smallest.alias("n_smallest"),
     )
-    return result.withColumn("p", chi_square_upper(F.col("h"), F.col("groups") - 1))
+    return result.selectExpr("*", f"{chi_square_upper('h', '(groups - 1)')} AS p")
 
 
 def neighbourhood_sample(enriched: DataFrame, k: int = 5) -> DataFrame:

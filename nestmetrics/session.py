@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording a call site per column operation costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
