@@ -69,8 +69,7 @@ def _(m):
         F.skewness("review_scores_rating").alias("s"),
         F.kurtosis("review_scores_rating").alias("k"),
     )
-    p = stats.jarque_bera_p(F.col("n"), F.col("s"), F.col("k"))
-    return shape.select("is_superhost", "n", F.round(p, 9).alias("p"))
+    return shape.selectExpr("is_superhost", "n", f"round({stats.jarque_bera_p('n', 's', 'k')}, 9) AS p")
 
 
 @query("welch_t_test", f"{SUPERHOST} SELECT n1, n2, round(t, 6) AS t, round(t_df, 3) AS t_df FROM test")

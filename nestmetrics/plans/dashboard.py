@@ -13,8 +13,6 @@ from nestmetrics.operators.ordering import argmax_row, top_k
 from nestmetrics.operators.quantiles import exact_quantiles, global_quantile, median_by
 from nestmetrics.plans import eda
 
-ROWS = F.count(F.lit(1))
-
 # Accepted names of a field, best first.
 FIELD_NAMES = {
     "price": ("price", "listing_price", "nightly_price"),
@@ -64,7 +62,7 @@ def market_view(
     if not conditions:
         return df
     wanted = F.coalesce(E.all_of(conditions), F.lit(False))
-    matches = df.where(wanted).agg(ROWS.alias("n")).scalar()
+    matches = df.where(wanted).agg(eda.row_count().alias("n")).scalar()
     return df.where(wanted | (matches == 0))
 
 
@@ -126,7 +124,7 @@ def host_segments(view: DataFrame) -> DataFrame:
     professional = E.lenient_bool(F.col("is_professional_host"))
     segment = F.when(professional, SEGMENTS[0]).otherwise(SEGMENTS[1])
     return median_by(
-        view.withColumn("host_segment", segment), ["host_segment"], "price", "typical_price", {"listing_count": ROWS}
+        view.withColumn("host_segment", segment), ["host_segment"], "price", "typical_price", {"listing_count": eda.row_count()}
     )
 
 

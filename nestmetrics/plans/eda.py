@@ -11,7 +11,8 @@ from nestmetrics.operators.ordering import number_rows, top_k
 from nestmetrics.operators.quantiles import exact_quantiles, global_quantile, median_by
 from nestmetrics.plans import texts
 
-ROWS = F.count(F.lit(1))
+def row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def area_column(df: DataFrame) -> str:
@@ -20,7 +21,7 @@ def area_column(df: DataFrame) -> str:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first; nulls are left out."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(ROWS.alias("count"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(row_count().alias("count"))
     return counts.orderBy(F.desc("count"), F.asc(column))
 
 
@@ -58,7 +59,7 @@ def host_listing_distribution(df: DataFrame, bins: int = 20, limit: int = 20) ->
 
 
 def professional_vs_casual(df: DataFrame) -> DataFrame:
-    counted = F.count("id") if "id" in df.columns else ROWS
+    counted = F.count("id") if "id" in df.columns else row_count()
     stats = median_by(
         df.where(F.col("is_professional_host").isNotNull()),
         ["is_professional_host"],
@@ -129,7 +130,7 @@ def _insight(df: DataFrame, order: int, chart: str, finding: Column) -> DataFram
 
 def _absent(df: DataFrame, order: int, chart: str) -> DataFrame:
     finding, interpretation, limitation = texts.COLUMN_NOT_FOUND
-    one_row = df.agg(ROWS.alias("_n"))
+    one_row = df.agg(row_count().alias("_n"))
     return one_row.select(
         F.lit(order).alias("_order"),
         F.lit(chart).alias("chart_name"),
@@ -147,7 +148,7 @@ def _text(*parts: Column | str) -> Column:
 def _first(df: DataFrame, name: str, by: str) -> DataFrame:
     """Name and figure of the row with the largest figure (ties: smallest name), and the row count."""
     best = F.min_by(F.struct(F.col(name).alias("name"), F.col(by).alias("figure")), F.struct(-F.col(by), F.col(name)))
-    return df.agg(best.alias("best"), ROWS.alias("rows"))
+    return df.agg(best.alias("best"), row_count().alias("rows"))
 
 
 def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str = "THB") -> DataFrame:
@@ -156,7 +157,7 @@ def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str
     area = area_column(df)
     rows = []
 
-    priced = exact_quantiles(trimmed_prices(df), [], "price", {"m": 0.5}, {"n": ROWS})
+    priced = exact_quantiles(trimmed_prices(df), [], "price", {"m": 0.5}, {"n": row_count()})
     finding = _text(
         "Median price is ", E.whole(F.col("m")), f" {currency}. Distribution is right-skewed with ",
         E.whole(F.col("n")), " listings.",
@@ -195,7 +196,7 @@ def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str
 
     if "is_professional_host" in have:
         # Counts of the last and first group in flag order, which is what one group alone shows twice.
-        sides = df.where(F.col("is_professional_host").isNotNull()).groupBy("is_professional_host").agg(ROWS.alias("n"))
+        sides = df.where(F.col("is_professional_host").isNotNull()).groupBy("is_professional_host").agg(row_count().alias("n"))
         ends = sides.agg(
             F.max_by("n", "is_professional_host").alias("last"), F.min_by("n", "is_professional_host").alias("first")
         )

@@ -10,7 +10,7 @@ from nestmetrics.operators.ordering import top_k
 from nestmetrics.operators.quantiles import median_by
 from nestmetrics.plans.warehouse import Star
 
-PRICED = F.col("price") > 0
+PRICED = "price > 0"
 
 
 def _round(c: Column, digits: int) -> Column:

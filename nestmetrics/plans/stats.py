@@ -32,9 +32,22 @@ def mean_var(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-def jarque_bera_p(n: Column, skewness: Column, excess: Column) -> Column:
-    statistic = n / 6.0 * (skewness * skewness + excess * excess / 4.0)
-    return F.exp(-statistic / 2.0)
+# The next three are SQL text over columns or expressions of type double.
+
+
+def cohens_d(n1: str, mean1: str, var1: str, n2: str, mean2: str, var2: str) -> str:
+    pooled = f"sqrt(try_divide(({n1} - 1) * {var1} + ({n2} - 1) * {var2}, {n1} + {n2} - 2))"
+    return f"CASE WHEN {pooled} = 0 THEN 0D ELSE try_divide({mean1} - {mean2}, {pooled}) END"
+
+
+def rank_biserial(u: str, n1: str, n2: str) -> str:
+    """Negative when the first group is larger."""
+    return f"(1D - try_divide({u} * 2, double({n1}) * double({n2})))"
+
+
+def jarque_bera_p(n: str, skewness: str, excess: str) -> str:
+    """Normality from the shape of all values: exp(-JB / 2) is the chi-square tail for two degrees."""
+    return f"exp(-{n} / 12 * ({skewness} * {skewness} + {excess} * {excess} / 4))"
 
 
 def two_sample(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
@@ -75,7 +88,7 @@ def two_sample(df: DataFrame, value: str, first: Column, second: Column) -> Data
 def _with_tests(m: DataFrame) -> DataFrame:
     """Both tests, both effect sizes and the choice between them, from the one-row sample."""
     normal = " AND ".join(
-        f"exp(-n{i} / 12 * (skew_{i} * skew_{i} + excess_{i} * excess_{i} / 4)) > {ALPHA}D AND n{i} >= {MIN_NORMAL_GROUP}"
+        f"{jarque_bera_p(f'n{i}', f'skew_{i}', f'excess_{i}')} > {ALPHA}D AND n{i} >= {MIN_NORMAL_GROUP}"
         for i in (1, 2)
     )
     m = m.selectExpr("*", "double(n_1) AS n1", "double(n_2) AS n2").selectExpr(
@@ -83,20 +96,19 @@ def _with_tests(m: DataFrame) -> DataFrame:
         "try_divide(var_1, n1) AS s1",
         "try_divide(var_2, n2) AS s2",
         "n1 * n2 / 12 * (n1 + n2 + 1 - try_divide(tie_sum, (n1 + n2) * (n1 + n2 - 1))) AS u_variance",
-        "sqrt(try_divide((n1 - 1) * var_1 + (n2 - 1) * var_2, n1 + n2 - 2)) AS pooled",
     )
     m = m.selectExpr(
         "*",
         "try_divide(mean_1 - mean_2, sqrt(s1 + s2)) AS t",
         "try_divide((s1 + s2) * (s1 + s2), try_divide(s1 * s1, n1 - 1) + try_divide(s2 * s2, n2 - 1)) AS t_df",
         "try_divide(greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5D, sqrt(u_variance)) AS z",
-        "CASE WHEN pooled = 0 THEN 0D ELSE try_divide(mean_1 - mean_2, pooled) END AS d",
-        "1D - try_divide(u * 2, n1 * n2) AS r",
+        f"{cohens_d('n1', 'mean_1', 'var_1', 'n2', 'mean_2', 'var_2')} AS d",
+        f"{rank_biserial('u', 'n1', 'n2')} AS r",
         f"coalesce({normal}, false) AS is_normal",
     )
     # z may dip below 0 through the continuity correction: the two-sided tail is then 1.
     u_p = f"CASE WHEN z <= 0 THEN 1D ELSE least(1D, {normal_two_sided('z')}) END AS u_p"
-    return with_student_t_tail(m.selectExpr("*", u_p), "t", "t_df", "t_p").drop("n1", "n2", "s1", "s2", "pooled")
+    return with_student_t_tail(m.selectExpr("*", u_p), "t", "t_df", "t_p").drop("n1", "n2", "s1", "s2")
 
 
 def _report_row(
