@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A wide cleaning projection makes one generated method that the JIT refuses to compile. Stages
+    # above its limit run without whole-stage code instead, about three times faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording a call site per column operation costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -198,3 +198,33 @@ def test_top_k_argmax_and_numbering(spark):
     assert [tuple(r) for r in number_rows(df.select("n", F.col("n").alias("_o")), "_o", "i").collect()] == [
         (1, "a"), (2, "b"), (3, "c"), (4, "d"),
     ]
+
+
+def test_quantiles_scan_the_source_once_and_keep_no_value_map(spark):
+    df = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 7 END AS g", "double(id % 1000) AS v")
+    result = median_by(df, ["g"], "v")
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Range (") == 1 and "ReusedExchange" in plan and "percentile" not in plan
+
+
+def test_hot_key_of_a_lookup_is_split(spark):
+    """A third of the rows share one key: adaptive execution splits that partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(0, 60000, 1, 8).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5 ELSE id END AS host")
+        dim = spark.range(0, 60000, 1, 4).selectExpr("id AS host_id", "id + 1 AS host_key")
+        joined = lookup_key(left, dim, "host", "host_id", "host_key")
+        assert joined.agg(F.sum("host_key")).first()[0] == sum((5 if i % 3 == 0 else i) + 1 for i in range(60000))
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
