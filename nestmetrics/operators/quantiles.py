@@ -27,8 +27,10 @@ def median_by(
     value: str,
     name: str = "median",
     extras: Mapping[str, Column] | None = None,
+    size: str | None = None,
+    mean: str | None = None,
 ) -> DataFrame:
-    return exact_quantiles(df, keys, value, {name: 0.5}, extras)
+    return exact_quantiles(df, keys, value, {name: 0.5}, extras, size, mean)
 
 
 def exact_quantiles(
@@ -37,18 +39,20 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     extras: Mapping[str, Column] | None = None,
+    size: str | None = None,
+    mean: str | None = None,
 ) -> DataFrame:
     """One row per group: the keys, one column per probability, the extra aggregates.
 
     ``probs`` maps an output name to a probability; the value is interpolated between the two
     nearest ranks. Nulls and non-finite values are ignored; a group without values gets null.
-    Null keys form a group of their own. ``extras`` are ordinary aggregate expressions over the
-    same groups.
+    Null keys form a group of their own. ``size`` and ``mean`` name the number and the mean of the
+    values, which cost nothing extra. ``extras`` are other aggregate expressions over the same
+    groups; they need a second pass over the source.
     """
-    size = F.col("_n")
     wanted = {}
     for name, p in probs.items():
-        position = F.lit(float(p)) * (size - 1)
+        position = F.lit(float(p)) * (F.col("_n") - 1)
         low = F.floor(position)
         wanted[name] = (low, F.ceil(position), position - low)
     located = _order_statistics(df, keys, value, wanted)
@@ -64,21 +68,27 @@ def exact_quantiles(
         )
         return between.alias(name)
 
-    located = located.select(*(["_g"] if keys else []), *[interpolated(name) for name in probs])
+    summary = []
+    if size:
+        summary.append(F.coalesce(F.col("_n"), F.lit(0)).alias(size))
+    if mean:
+        summary.append(F.try_divide(F.col("_s"), F.col("_n").cast("double")).alias(mean))
+    located = located.select(*(["_g"] if keys else []), *[interpolated(name) for name in probs], *summary)
+    names = [c for c in located.columns if c != "_g"]
     aggregates = [column.alias(name) for name, column in (extras or {}).items()]
     if not keys:
         if not aggregates:
             return located
         # One row on either side: the quantiles enter as a scalar subquery.
-        found = located.select(F.struct(*probs).alias("_q")).scalar()
+        found = located.select(F.struct(*names).alias("_q")).scalar()
         return (
             df.agg(*aggregates)
             .withColumn("_q", found)
-            .select(*[F.col("_q").getField(name).alias(name) for name in probs], *(extras or {}))
+            .select(*[F.col("_q").getField(name).alias(name) for name in names], *(extras or {}))
         )
     if aggregates:
         located = located.join(df.groupBy(F.struct(*keys).alias("_g")).agg(*aggregates), "_g")
-    return located.select(*[F.col("_g").getField(k).alias(k) for k in keys], *probs, *(extras or {}))
+    return located.select(*[F.col("_g").getField(k).alias(k) for k in keys], *names, *(extras or {}))
 
 
 def rank_value(df: DataFrame, value: str, rank_of_n: Column, name: str = "value") -> DataFrame:
@@ -95,7 +105,7 @@ def global_quantile(df: DataFrame, value: str, p: float) -> Column:
 def _order_statistics(
     df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, tuple[Column, Column, Column]]
 ) -> DataFrame:
-    """``_g`` (if there are keys), ``_n`` and the values at the low and high rank of each name."""
+    """``_g`` (if there are keys), ``_n``, ``_s`` (the sum) and the values at both ranks of each name."""
     group = ["_g"] if keys else []
     v = F.col(value) if isinstance(df.schema[value].dataType, T.IntegralType) else finite(F.col(value))
     # A struct of the keys is never null, so plain equality joins keep null keys.
@@ -116,22 +126,23 @@ def _order_statistics(
         earlier = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("_c").over(earlier), F.lit(0))
 
+    everything = Window.partitionBy(*group)
     # Level 1: buckets of a group. Level 2: finer buckets inside those that hold a wanted rank.
     # Level 3: the values inside those. Each window runs over a bounded number of rows.
     level1 = (
         counted.groupBy(*group, "_b1")
-        .agg(F.sum("_c").alias("_c"))
-        .withColumns({"_n": F.sum("_c").over(Window.partitionBy(*group)), "_before": running(group, "_b1")})
+        .agg(F.sum("_c").alias("_c"), F.sum(F.col("_v").cast("double") * F.col("_c")).alias("_s"))
+        .withColumns({"_n": F.sum("_c").over(everything), "_s": F.sum("_s").over(everything), "_before": running(group, "_b1")})
         .where(useful)
-        .select(*group, "_b1", F.col("_before").alias("_start"), "_n")
+        .select(*group, "_b1", F.col("_before").alias("_start"), "_n", "_s")
     )
     level2 = (
         counted.join(level1, [*group, "_b1"])
         .groupBy(*group, "_b1", "_b2")
-        .agg(F.sum("_c").alias("_c"), F.max("_start").alias("_start"), F.max("_n").alias("_n"))
+        .agg(F.sum("_c").alias("_c"), *[F.max(c).alias(c) for c in ("_start", "_n", "_s")])
         .withColumn("_before", F.col("_start") + running([*group, "_b1"], "_b2"))
         .where(useful)
-        .select(*group, "_b1", "_b2", F.col("_before").alias("_start"), "_n")
+        .select(*group, "_b1", "_b2", F.col("_before").alias("_start"), "_n", "_s")
     )
     level3 = (
         counted.join(level2, [*group, "_b1", "_b2"])
@@ -140,6 +151,7 @@ def _order_statistics(
     )
     return level3.groupBy(*group).agg(
         F.max("_n").alias("_n"),
+        F.max("_s").alias("_s"),
         *[
             F.max(F.when(holds(rank), F.col("_v"))).alias(f"_{side}_{name}")
             for name, (low, high, _) in wanted.items()

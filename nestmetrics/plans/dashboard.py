@@ -106,7 +106,7 @@ def price_by_room(view: DataFrame) -> DataFrame:
 
 def neighbourhood_supply_price(view: DataFrame) -> DataFrame:
     """Priced listings and median per area; listings without an area form one row."""
-    return median_by(view, [eda.area_column(view)], "price", "typical_price", {"listing_count": F.count("price")})
+    return median_by(view, [eda.area_column(view)], "price", "typical_price", size="listing_count")
 
 
 def neighbourhood_matrix(view: DataFrame, k: int = 20) -> DataFrame:

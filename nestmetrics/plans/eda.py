@@ -157,7 +157,7 @@ def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str
     area = area_column(df)
     rows = []
 
-    priced = exact_quantiles(trimmed_prices(df), [], "price", {"m": 0.5}, {"n": row_count()})
+    priced = exact_quantiles(trimmed_prices(df), [], "price", {"m": 0.5}, size="n")
     finding = _text(
         "Median price is ", E.whole(F.col("m")), f" {currency}. Distribution is right-skewed with ",
         E.whole(F.col("n")), " listings.",
@@ -208,9 +208,7 @@ def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str
         rows.append(_absent(df, 6, "professional_vs_casual"))
 
     if "review_scores_rating" in have:
-        scores = exact_quantiles(
-            df, [], "review_scores_rating", {"m": 0.5}, {"n": F.count("review_scores_rating")}
-        )
+        scores = exact_quantiles(df, [], "review_scores_rating", {"m": 0.5}, size="n")
         finding = _text(
             "Median review score: ", E.two_decimals(F.col("m")), ". ", E.whole(F.col("n")), " listings with reviews.",
         )

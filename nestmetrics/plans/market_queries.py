@@ -33,16 +33,14 @@ def _priced_days(star: Star, *columns: str) -> DataFrame:
 
 def price_by_neighbourhood(star: Star) -> DataFrame:
     rows = _with_area(_priced_listings(star, "neighbourhood_key"), star)
-    result = median_by(rows, ["neighbourhood_name"], "price", "median_price", {"listing_count": F.count(F.lit(1))})
+    result = median_by(rows, ["neighbourhood_name"], "price", "median_price", size="listing_count")
     return result.orderBy(F.desc_nulls_last("median_price"), "neighbourhood_name")
 
 
 def price_by_room_type(star: Star) -> DataFrame:
     rows = _priced_listings(star, "room_type")
-    extras = {"avg_price": F.avg("price"), "listing_count": F.count(F.lit(1))}
-    return median_by(rows, ["room_type"], "price", "median_price", extras).orderBy(
-        F.desc_nulls_last("median_price"), "room_type"
-    )
+    stats = median_by(rows, ["room_type"], "price", "median_price", size="listing_count", mean="avg_price")
+    return stats.orderBy(F.desc_nulls_last("median_price"), "room_type")
 
 
 def top_hosts(star: Star, k: int = 20) -> DataFrame:
@@ -70,9 +68,8 @@ def professional_vs_casual(star: Star) -> DataFrame:
 
 def weekend_pricing(star: Star) -> DataFrame:
     rows = _priced_days(star, "is_weekend")
-    extras = {"avg_price": F.avg("price"), "record_count": F.count(F.lit(1))}
     return (
-        median_by(rows, ["is_weekend"], "price", "median_price", extras)
+        median_by(rows, ["is_weekend"], "price", "median_price", size="record_count", mean="avg_price")
         .select(
             "is_weekend",
             F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"),

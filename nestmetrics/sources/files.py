@@ -12,12 +12,15 @@ from pyspark.sql import types as T
 from nestmetrics.functions.exprs import date_key_to_date, round_half_even
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, spread: int | None = None) -> DataFrame:
-    """CSV or gzipped CSV with a header and quoted multi-line fields.
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, spread: int | None = None, multi_line: bool = True
+) -> DataFrame:
+    """CSV or gzipped CSV with a header and quoted fields, which may span lines.
 
-    A gzip file is one task; ``spread`` says over how many the rows are dealt afterwards.
+    A gzip file is one task; ``spread`` says over how many the rows are dealt afterwards. Plain
+    files without line breaks in fields are split among tasks with ``multi_line=False``.
     """
-    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"')
+    df = spark.read.schema(schema).csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
     return df.repartition(spread) if spread else df
 
 
