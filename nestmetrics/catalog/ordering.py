@@ -24,7 +24,7 @@ def _(m):
 
 @query(
     "report_row_id",
-    """SELECT row_number() OVER (ORDER BY room_type) AS row_id, room_type AS label, n FROM (
+    """SELECT CAST(row_number() OVER (ORDER BY room_type) AS INTEGER) AS row_id, room_type AS label, n FROM (
          SELECT room_type, count(*) AS n FROM listings GROUP BY room_type)""",
 )
 def _(m):

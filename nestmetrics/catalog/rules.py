@@ -123,7 +123,7 @@ def _(m):
 
 @query(
     "recommendations",
-    f"SELECT row_number() OVER (ORDER BY _order) AS recommendation_id, * EXCLUDE (_order) FROM ({RECOMMENDATIONS})",
+    f"SELECT CAST(row_number() OVER (ORDER BY _order) AS INTEGER) AS recommendation_id, * EXCLUDE (_order) FROM ({RECOMMENDATIONS})",
 )
 def _(m):
     return rules.recommendations(m.enriched, m.calendar, ENTIRE, PRIVATE)

@@ -101,7 +101,7 @@ def _(m):
 
 @query(
     "scan_with_fallback",
-    "SELECT strptime(date_key::VARCHAR, '%Y%m%d')::DATE AS date, available, price, NULL AS currency FROM fact_calendar",
+    "SELECT strptime(date_key::VARCHAR, '%Y%m%d')::DATE AS date, available, price, NULL::VARCHAR AS currency FROM fact_calendar",
 )
 def _(m):
     """No clean table, no warehouse table: the stored star is used and the date rebuilt."""

@@ -128,7 +128,7 @@ TOP_AREAS = """, top AS (SELECT neighbourhood_cleansed AS a, row_number() OVER (
 
 @query(
     "kruskal_wallis",
-    f"""{TOP_AREAS} SELECT round(h, 6) AS h, round(exp(-h / 2) * (1 + h / 2), 6) AS p, k AS groups, n_first,
+    f"""{TOP_AREAS} SELECT round(h, 6) AS h, round(exp(-h / 2) * (1 + h / 2), 6) AS p, CAST(k AS INTEGER) AS groups, n_first,
         CAST(total - n_first AS BIGINT) AS n_rest FROM kw""",
 )
 def _(m):
@@ -207,7 +207,7 @@ def _(m):
 def all_tests_sql() -> str:
     """The tests one below the other, each with its own common tables."""
     rows = "\nUNION ALL ".join(f"SELECT * FROM (WITH {sql.lstrip(', ')})" for sql in TESTS.values())
-    return f"SELECT row_number() OVER (ORDER BY _order) AS hypothesis_id, * EXCLUDE (_order) FROM ({rows})"
+    return f"SELECT CAST(row_number() OVER (ORDER BY _order) AS INTEGER) AS hypothesis_id, * EXCLUDE (_order) FROM ({rows})"
 
 
 @query("statistical_report", all_tests_sql())

@@ -176,6 +176,12 @@ class Prepared:
     rows: int
     train_rows: int
     test_rows: int
+    held: tuple[DataFrame, ...]
+
+    def release(self) -> None:
+        """Free the cached rows once no more models are trained on them."""
+        for frame in self.held:
+            frame.unpersist()
 
 
 def prepare(enriched: DataFrame, leak_free: bool = False) -> Prepared:
@@ -204,6 +210,7 @@ def prepare(enriched: DataFrame, leak_free: bool = False) -> Prepared:
         rows=counts["_rows"],
         train_rows=counts["_rows"] - counts["_test"],
         test_rows=counts["_test"],
+        held=(marked, ready),
     )
 
 
