@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,19 +34,26 @@ def build_session(app: str = "nestmetrics", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+# Scratch folders of local sessions that name none themselves, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names for checkpoints.
 
-    Only a local session with no such setting falls back to a temporary folder.
+    Only a local session with no such setting falls back to a temporary folder, which goes when
+    Python ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        root = _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
