@@ -53,3 +53,41 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
+
+
+#: A key is hot from one row in so many on, so at most so many keys are.
+HOT_SHARE = 1000
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Each row with the columns of its group, no key being hot in the shuffle.
+
+    Groups hold each key once, with its number of rows. Those over one in HOT_SHARE of all rows are
+    at most HOT_SHARE, so they are broadcast; rows of the others meet theirs in a shuffle.
+    """
+    hot = F.broadcast(groups.where(F.col(size) * HOT_SHARE > total))
+    cold = rows.join(hot.select(key), key, "left_anti").join(groups.hint("merge"), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose id and text digest are listed in kept (doc_id, digest), each once.
+
+    Ids and digests, not groups, are the keys of the join, so no key is hot.
+    """
+    key, digest = free_name(docs, "kept_id"), free_name(docs, "kept_digest")
+    listed = stored(
+        kept.select(F.col("doc_id").alias(key), F.col("digest").alias(digest)).distinct(), "kept"
+    )
+    marked = docs.withColumns({key: col(docs, "doc_id").cast("long"), digest: digest_of(text_of(docs))})
+    pairs = stored(marked.groupBy(key, digest).agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    found = marked.join(
+        listed.hint("merge"), marked[key].eqNullSafe(listed[key]) & (marked[digest] == listed[digest]), "left_semi"
+    )
+    if not pairs.isEmpty():  # rows that share id and text
+        found = found.dropDuplicates([key, digest])
+    return found.drop(key, digest)
