@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from nestmetrics.llm import bpe, exact_dedup, packing, url_filter
+from nestmetrics.llm import bpe, exact_dedup, packing, simhash, url_filter
 
 
 def queries():
     return {
         "op1_url_filter": url_filter.op1_url_filter,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_simhash": simhash.op3_simhash,
         "op4_packing": packing.op4_packing,
         "op5_bpe": bpe.op5_bpe,
     }
