@@ -20,7 +20,6 @@ with one key, block wins. Extra columns of the input stay where they are.
 from __future__ import annotations
 
 import io
-import os
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -115,8 +114,9 @@ class RuleIndex:
         }
 
     @classmethod
-    def mapped(cls, folder: str) -> RuleIndex:
-        return cls({name: np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r") for name in cls.ARRAYS})
+    def mapped(cls, label: str) -> RuleIndex:
+        """The index whose files Spark has brought to this executor."""
+        return cls({name: np.load(SparkFiles.get(f"{label}-{name}.npy"), mmap_mode="r") for name in cls.ARRAYS})
 
     def key(self, i: int) -> bytes:
         return self.blob[self.starts[i] : self.starts[i + 1]].tobytes()
@@ -159,11 +159,11 @@ class RuleIndex:
         return best
 
 
-def _probe(folder: str, schema: T.StructType):
+def _probe(label: str, schema: T.StructType):
     """Batches that end in host and path, with rule and verdict added."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = RuleIndex.mapped(SparkFiles.get(folder))
+        index = RuleIndex.mapped(label)
         target = to_arrow_schema(schema)
         for batch in batches:
             hosts, paths = ([x.encode() for x in column.to_pylist()] for column in batch.columns[-2:])
@@ -199,16 +199,17 @@ def judge_urls(
 
 def _by_index(parts: DataFrame, rules: list) -> DataFrame:
     spark = parts.sparkSession
-    folder = f"url-rules-{uuid.uuid4().hex}"
-    root = f"{scratch_path(spark, 'url-filter')}/{folder}"
+    label = f"url-rules-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "url-filter")
     for name, array in RuleIndex.arrays(rules).items():
         np.save(out := io.BytesIO(), array)
-        write_bytes(spark, f"{root}/{name}.npy", out.getvalue())
-    spark.sparkContext.addFile(root, recursive=True)
+        path = f"{root}/{label}-{name}.npy"
+        write_bytes(spark, path, out.getvalue())
+        spark.sparkContext.addFile(path)
     plain = parts.toDF(*(f"c{i}" for i in range(len(parts.columns))))
     added = [T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]
     schema = T.StructType([*plain.schema.fields, *added])
-    return plain.mapInArrow(_probe(folder, schema), schema).toDF(*parts.columns, "rule", "verdict")
+    return plain.mapInArrow(_probe(label, schema), schema).toDF(*parts.columns, "rule", "verdict")
 
 
 def _by_join(parts: DataFrame, rules: DataFrame) -> DataFrame:
