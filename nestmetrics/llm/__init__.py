@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestmetrics.llm import bpe, exact_dedup, packing, simhash, suffix_dedup, url_filter
+from nestmetrics.llm import bpe, exact_dedup, packing, simhash, suffix_dedup, toxicity, url_filter
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op4_packing": packing.op4_packing,
         "op5_bpe": bpe.op5_bpe,
         "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+        "op8_toxicity": toxicity.op8_toxicity,
     }
 
 
