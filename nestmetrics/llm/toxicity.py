@@ -34,12 +34,12 @@ TRAIN_ROWS = 20_000
 TRAIN_TASKS = 16
 SIZES = (3, 4, 5)
 BITS = 20
-FEATURES = 10_000
+FEATURES = 500
 #: Documents with a feature, below which it is not chosen.
-LEAST_ROWS = 8
+LEAST_ROWS = 10
 SMOOTHING = 1.0
-RIDGE = 1e-3
-STEPS = 200
+RIDGE = 1e-4
+STEPS = 400
 THRESHOLD = 0.7
 #: Characters hashed at a time.
 SEGMENT = 1 << 20
