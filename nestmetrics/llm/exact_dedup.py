@@ -7,8 +7,8 @@ appended. Texts never move: digests and ids do.
 
 Inside a batch the largest id of equal texts stays; a text that the index knows keeps the id it has.
 Groups are summed before any shuffle. Where ids go back to the rows, a digest that holds over one in
-``HOT_SHARE`` of all rows is answered by a broadcast of at most ``HOT_SHARE`` rows; the others meet
-in a shuffle where no key is hot.
+thousand of all rows is answered by a broadcast of at most a thousand rows; the others meet in a
+shuffle where no key is hot.
 
 Defined cases: a null text is an empty one. Rows that share id and text are one document, and each
 is marked alike; a pipeline keeps one of them. A null id loses to every other id; a group of null ids
@@ -22,18 +22,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import col, free_name, stored, table, text_of
+from nestmetrics.llm.common import attach, col, digest_of, keep_rows, stored, table, text_of
 from nestmetrics.session import scratch_path
 
-#: A digest is hot from one row in so many on, so at most so many digests are.
-HOT_SHARE = 1000
 ROWS_PER_BUCKET = 2_000_000
 INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, rows BIGINT"
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest) of every row."""
-    return docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(text_of(docs).cast("binary"), 256)).alias("digest"))
+    return docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), digest_of(text_of(docs)).alias("digest"))
 
 
 class DigestIndex:
@@ -65,21 +63,14 @@ class DigestIndex:
 
     def append_new(self, batch: DataFrame) -> None:
         """Add the texts of a batch of (doc_id, digest) that the index does not hold yet."""
-        grouped = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("rows"))
+        # Stored, so that the anti-join is not moved below the sum, where a hot digest is not one row yet.
+        grouped = stored(batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("rows")), "digest-batch")
         known = self.rows().select("digest")
         new = grouped.hint("merge").join(known.hint("merge"), "digest", "left_anti")
         # One file for each bucket and append.
         new.select("digest", "keep_id", "rows").repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
 
 
-def with_index(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
-    """Each (doc_id, digest) row with its group's (keep_id, rows)."""
-    hot = F.broadcast(groups.where(F.col("rows") * HOT_SHARE > total))  # at most HOT_SHARE rows
-    return rows.join(hot, "digest").unionByName(
-        rows.join(hot.select("digest"), "digest", "left_anti").join(groups.hint("merge"), "digest")
-    )
-
-
 def decide(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept and digest of every row, by a new or a given index.
 
@@ -98,24 +89,14 @@ def decide(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
         index.append_new(rows)
     sizes = rows.groupBy("digest").agg(F.count("*").alias("rows"))
     groups = index.rows().select("digest", "keep_id").hint("merge").join(sizes, "digest")
-    return with_index(rows, groups, total).select(
+    return attach(rows, groups, "digest", "rows", total).select(
         "doc_id", "keep_id", F.col("rows").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents, one row for each text; ids, not texts, decide, so no join has a hot key."""
-    key, digest = free_name(docs, "dedup_id"), free_name(docs, "dedup_digest")
-    kept = decide(docs).where("kept").select(F.col("doc_id").alias(key), F.col("digest").alias(digest))
-    kept = stored(kept.groupBy(key, digest).agg(F.count("*").alias("times")), "kept")
-    marked = docs.withColumns({
-        key: col(docs, "doc_id").cast("long"),
-        digest: F.unhex(F.sha2(text_of(docs).cast("binary"), 256)),
-    })
-    matched = marked.join(kept, marked[key].eqNullSafe(kept[key]) & (marked[digest] == kept[digest]), "left_semi")
-    if not kept.where("times > 1").isEmpty():  # rows that share id and text
-        matched = matched.dropDuplicates([key, digest])
-    return matched.drop(key, digest)
+    """The documents, one row for each text: the one with the largest id."""
+    return keep_rows(docs, decide(docs).where("kept"))
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:
