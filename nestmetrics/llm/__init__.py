@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestmetrics.llm import bpe, exact_dedup, packing, simhash, suffix_dedup, toxicity, url_filter
+from nestmetrics.llm import bpe, exact_dedup, licenses, packing, simhash, suffix_dedup, toxicity, url_filter
 
 
 def queries():
@@ -14,8 +14,9 @@ def queries():
         "op5_bpe": bpe.op5_bpe,
         "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
         "op8_toxicity": toxicity.op8_toxicity,
+        "op9_licenses": licenses.op9_licenses,
     }
 
 
 def oracle_sql():
-    return {"op1_url_filter": url_filter.OP1_SQL, "op2_exact_dedup": exact_dedup.OP2_SQL}
+    return {"op1_url_filter": url_filter.OP1_SQL, "op2_exact_dedup": exact_dedup.OP2_SQL, "op9_licenses": licenses.OP9_SQL}
