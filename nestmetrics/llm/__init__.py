@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestmetrics.llm import bpe, exact_dedup, licenses, packing, simhash, suffix_dedup, toxicity, url_filter
+from nestmetrics.llm import bpe, embeddings, exact_dedup, licenses, packing, simhash, suffix_dedup, toxicity, url_filter
 
 
 def queries():
@@ -15,6 +15,7 @@ def queries():
         "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_licenses": licenses.op9_licenses,
+        "op10_embeddings": embeddings.op10_embeddings,
     }
 
 
