@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestmetrics.llm import bpe, embeddings, exact_dedup, licenses, packing, simhash, suffix_dedup, toxicity, url_filter
+from nestmetrics.llm import bpe, embeddings, exact_dedup, html_text, licenses, packing, simhash, suffix_dedup, toxicity, url_filter
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op4_packing": packing.op4_packing,
         "op5_bpe": bpe.op5_bpe,
         "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+        "op7_html_text": html_text.op7_html_text,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_licenses": licenses.op9_licenses,
         "op10_embeddings": embeddings.op10_embeddings,
