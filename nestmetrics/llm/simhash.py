@@ -8,8 +8,13 @@ A walk with the full budget from the top would visit a share of all pairs. So th
 the four rotations of the fingerprint by a quarter of its bits: of two fingerprints that differ in at
 most k bits, some rotation has at most k/4 of them in its first quarter, k/2 in its first half and so
 on (the pigeonhole argument on a ring), and these are the budgets. Subtrees are dealt to tasks: with
-prefixes of p bits, a task gets the fingerprints below one prefix and those of neighbour prefixes one
-bit away. p follows the fullest prefix, so a task's share stays bounded as the input grows.
+prefixes of p bits, a task gets the fingerprints below one prefix and those of the prefixes within the
+first quarter's budget. p follows the fullest prefix, so a task's share stays bounded as the input grows.
+
+64 bits tell apart what differs in a few bits only. Where near copies at a similarity of 0.8 count, up to
+12 bits differ, and so do those of unlike texts once in some millions of pairs. Then each fingerprint
+has 192 bits more, from the same hashes mixed anew; the trie walks the first 64, and a pair is linked
+if at least 0.8 of all 256 bits agree, which unlike texts never reach.
 
 A task returns links that span its groups, not all pairs: a first walk with a budget of one joins
 what is close, and pairs of subtrees that lie within one group already are left. Links join up in
@@ -64,10 +69,20 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([np.bincount(octets[:, b], minlength=256) @ BYTE_BITS for b in range(8)])
 
 
-def fingerprint(text: bytes, words_in_shingle: int = 4) -> int:
-    """SimHash of a text's word shingles, repeats included; zero without words."""
+def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Other hashes from hashes; k = 0 leaves them."""
+    if not k:
+        return hashes
+    x = (hashes + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1) -> list[int]:
+    """SimHash of a text's word shingles, repeats included, in parts of 64 bits; zero without words."""
     hashed = xxhash.xxh64_intdigest
-    total, counts, before = 0, np.zeros(BITS, dtype=np.int64), []
+    total, counts, before = 0, np.zeros((parts, BITS), dtype=np.int64), []
     for words in segments(text.lower()):
         words = before + words
         if len(words) < words_in_shingle:
@@ -79,28 +94,34 @@ def fingerprint(text: bytes, words_in_shingle: int = 4) -> int:
         starts = (ends - lengths)[: len(words) - words_in_shingle + 1].tolist()
         stops = (ends[words_in_shingle - 1 :] - 1).tolist()
         hashes = np.array([hashed(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
-        counts += bit_counts(hashes)
+        for k in range(parts):
+            counts[k] += bit_counts(mixed(hashes, k))
         total += len(hashes)
         before = words[len(words) - words_in_shingle + 1 :]
     if not total and before:
-        return hashed(b" ".join(before), SEED)
-    return sum(1 << b for b in np.flatnonzero(counts * 2 > total).tolist())
+        whole = np.array([hashed(b" ".join(before), SEED)], dtype=np.uint64)
+        return [int(mixed(whole, k)[0]) for k in range(parts)]
+    return [sum(1 << b for b in np.flatnonzero(row * 2 > total).tolist()) for row in counts]
 
 
-def fingerprints(docs: DataFrame, words_in_shingle: int = 4, digest: bool = False) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of each row, if asked with its text's digest."""
+def fingerprints(docs: DataFrame, words_in_shingle: int = 4, parts: int = 1, digest: bool = False) -> DataFrame:
+    """doc_id and fp (the 64 bits as a long) of each row, more parts (wide), if asked the text's digest."""
     kept = "doc_id long, digest binary" if digest else "doc_id long"
+    wide = ", wide array<long>" if parts > 1 else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), words_in_shingle) for t in batch.column(0)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found.view(np.int64))], names=[*batch.schema.names[1:], "fp"])
+            found = np.array([fingerprint(t.as_py(), words_in_shingle, parts) for t in batch.column(0)], dtype=np.uint64)
+            found = found.reshape(-1, parts).view(np.int64)
+            more = [pa.array(list(found[:, 1:]), pa.list_(pa.int64()))] if parts > 1 else []
+            names = [*batch.schema.names[1:], "fp", *["wide"] * len(more)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found[:, 0]), *more], names=names)
 
     text = text_of(docs)
     columns = [text.cast("binary").alias("text"), col(docs, "doc_id").cast("long").alias("doc_id")]
     if digest:
         columns.append(digest_of(text).alias("digest"))
-    return docs.select(*columns).mapInArrow(run, f"{kept}, fp long")
+    return docs.select(*columns).mapInArrow(run, f"{kept}, fp long{wide}")
 
 
 def local_groups(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
@@ -124,8 +145,8 @@ class TrieWalk:
     #: Node pairs in one step; more are walked in turns.
     FRONT = 1 << 20
 
-    def __init__(self, keys: np.ndarray, depth: int):
-        self.keys = keys
+    def __init__(self, keys: np.ndarray, depth: int, wide: np.ndarray | None = None, wide_most: int = 0):
+        self.keys, self.wide, self.wide_most = keys, wide, wide_most
         self.levels: list[np.ndarray] = []  # first leaf of each node, from the depth on; the end last
         self.depth = depth
         for d in range(depth, BITS + 1):
@@ -186,7 +207,11 @@ class TrieWalk:
         within = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
         u = starts[a][pair] + within // size_b[pair]
         v = starts[b][pair] + within % size_b[pair]
-        near = (u != v) & (np.bitwise_count(self.keys[u] ^ self.keys[v]) <= most)
+        apart = np.bitwise_count(self.keys[u] ^ self.keys[v]).astype(np.int64)
+        near = (u != v) & (apart <= most)
+        if self.wide is not None:
+            u, v = u[near], v[near]
+            near = apart[near] + np.bitwise_count(self.wide[u] ^ self.wide[v]).sum(axis=1) <= self.wide_most
         return local_groups(len(label), u[near], v[near], label)
 
 
@@ -204,34 +229,43 @@ def turned(fp: Column, turn: Column) -> Column:
     return out
 
 
-def trie_links(prints: DataFrame, most: int = 4, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Links (u, v) that span the groups of fingerprints within so many bits; prints: distinct fp."""
-    if not 0 <= most < 2 * TURNS:
-        raise ValueError("the first quarter's budget must be 0 or 1")
-    turns = prints.select("fp", F.explode(F.array([F.lit(k) for k in range(TURNS)])).alias("turn"))
+def trie_links(prints: DataFrame, most: int = 4, wide_most: int = 0, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Links (u, v) that span the groups of fingerprints within so many bits.
+
+    prints: distinct fp; with a bound for all bits, also wide.
+    """
+    flips = most // TURNS  # bits that may differ in the first quarter
+    more = ["wide"] if wide_most else []
+    turns = prints.select("fp", *more, F.explode(F.array([F.lit(k) for k in range(TURNS)])).alias("turn"))
     turns = turns.withColumn("key", turned(F.col("fp"), F.col("turn")))
     # The shortest prefix under which no task gets too much.
+    masks = {p: [m for m in range(1 << p) if m.bit_count() <= flips] for p in range(2, QUARTER + 1, 2)}
     counts = turns.groupBy("turn", F.shiftrightunsigned("key", BITS - QUARTER).alias("top")).agg(F.count("*").alias("n"))
-    by_depth = counts.select("turn", "top", "n", F.explode(F.array([F.lit(p) for p in range(2, QUARTER + 1, 2)])).alias("p"))
+    by_depth = counts.select("turn", "top", "n", F.explode(F.array([F.lit(p) for p in masks])).alias("p"))
     by_depth = by_depth.groupBy("p", "turn", F.expr(f"shiftrightunsigned(top, {QUARTER} - p)").alias("top")).agg(F.sum("n").alias("n"))
     fullest = {r["p"]: r["n"] for r in by_depth.groupBy("p").agg(F.max("n").alias("n")).collect()}
-    depth = next((p for p in sorted(fullest) if fullest[p] * (1 + p / 2) <= task_rows), QUARTER)
-    # To its own prefix, and if the first quarter may differ in a bit, to the smaller prefix one bit away.
+    depth = next((p for p in sorted(fullest) if fullest[p] * (len(masks[p]) + 1) // 2 <= task_rows), QUARTER)
+    # To its own prefix and to the smaller ones of the prefixes that few bits tell from it.
     home = F.shiftrightunsigned("key", BITS - depth)
-    flips = [F.when(home.bitwiseAND(F.lit(1 << b)) != 0, home.bitwiseXOR(F.lit(1 << b).cast("long"))) for b in range(depth if most >= TURNS else 0)]
-    dealt = turns.select("turn", "key", F.explode(F.array_compact(F.array(home, *flips))).alias("prefix"))
+    near = F.transform(F.array(*(F.lit(m).cast("long") for m in masks[depth])), lambda m: home.bitwiseXOR(m))
+    dealt = turns.select("turn", "key", *more, F.explode(F.filter(near, lambda x: x <= home)).alias("prefix"))
     allowed = budgets(most)
 
     def run(group: pa.Table) -> pa.Table:
         turn, prefix = group.column("turn")[0].as_py(), group.column("prefix")[0].as_py()
-        keys = np.sort(group.column("key").to_numpy().astype(np.int64).view(np.uint64))
-        walk = TrieWalk(keys, depth)
+        keys = group.column("key").to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        keys = keys[order]
+        wide = None
+        if wide_most:
+            wide = group.column("wide").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(keys), -1)[order]
+        walk = TrieWalk(keys, depth, wide, wide_most)
         tops = (keys[walk.levels[0][:-1]] >> np.uint64(BITS - depth)).tolist()
         label = np.arange(len(keys))
         if prefix in tops:
             own, others = tops.index(prefix), np.arange(len(tops))
             mine = np.full(len(tops), own)
-            for k in sorted({min(1, most), most}):
+            for k in sorted({min(1, most), min(4, most), most}):
                 within = [min(k, x) for x in allowed]
                 label = walk.links(np.minimum(mine, others), np.maximum(mine, others), within, label)
         linked = np.flatnonzero(label != np.arange(len(keys)))
@@ -243,21 +277,34 @@ def trie_links(prints: DataFrame, most: int = 4, task_rows: int = TASK_ROWS) ->
     return dealt.groupBy("turn", "prefix").applyInArrow(run, "u long, v long")
 
 
-def near_groups(rows: DataFrame, most: int = 4) -> DataFrame:
-    """Rows (doc_id, fp, ...; stored) with component_id, the smallest id reachable by links."""
-    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")), "fingerprints")
-    roots = components(trie_links(prints.select("fp"), most))
+def near_groups(rows: DataFrame, most: int = 4, wide_most: int = 0) -> DataFrame:
+    """Rows (doc_id, fp, ...; stored) with component_id, the smallest id reachable by links.
+
+    Equal fingerprints are linked, whatever their further bits.
+    """
+    wide = [F.any_value("wide").alias("wide")] if wide_most else []
+    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"), *wide), "fingerprints")
+    roots = components(trie_links(prints, most, wide_most))
     groups = smallest_members(prints.select(F.col("fp").alias("node"), "id"), roots)
     groups = stored(groups.withColumnRenamed("node", "fp").join(prints.select("fp", "rows"), "fp"), "groups")
     total = prints.agg(F.sum("rows")).first()[0] or 0
-    return attach(rows, groups, "fp", "rows", total)
+    return attach(rows.drop("wide"), groups, "fp", "rows", total)
+
+
+#: Bits of 256 that differ at most at a similarity of 0.8, and bits of the 64 that the trie walks.
+WIDE_PARTS = 4
+WIDE_MOST = BITS * WIDE_PARTS // 5
+NEAR_MOST = BITS // 5
+
 
+def drop_near_copies(docs: DataFrame, words_in_shingle: int = 5) -> DataFrame:
+    """One document of each group at a similarity of 0.8: the one with the smallest id.
 
-def drop_near_copies(docs: DataFrame, words_in_shingle: int = 4, most: int = 4) -> DataFrame:
-    """One document of each group: the one with the smallest id (of equal ids, the smallest digest)."""
-    rows = stored(fingerprints(docs, words_in_shingle, digest=True), "simhash")
-    grouped = near_groups(rows, most)
-    # A group without ids is told by its digest alone.
+    Of equal ids, that with the smallest digest stays.
+    """
+    rows = stored(fingerprints(docs, words_in_shingle, WIDE_PARTS, digest=True), "simhash")
+    grouped = near_groups(rows, NEAR_MOST, WIDE_MOST)
+    # A group without ids is told by its fingerprint alone.
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     kept = grouped.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).agg(F.min(first).alias("first"))
     return keep_rows(docs, kept.select("first.doc_id", "first.digest"))
