@@ -81,7 +81,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     # Bounded by the limit, so it may be broadcast.
     chosen = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     texts = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).join(chosen, "doc_id")
-    return stored(texts.select("text", "toxic").repartition(TRAIN_TASKS, F.xxhash64("text")).dropDuplicates(["text"]), "training")
+    return stored(texts.groupBy("text").agg(F.max("toxic").alias("toxic")).repartition(TRAIN_TASKS), "training")
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
