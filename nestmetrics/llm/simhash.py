@@ -79,10 +79,14 @@ def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1) -> list[int]:
-    """SimHash of a text's word shingles, repeats included, in parts of 64 bits; zero without words."""
+def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1, repeats: bool = True) -> list[int]:
+    """SimHash of a text's word shingles in parts of 64 bits; zero without words.
+
+    Repeats count each time, or once only.
+    """
     hashed = xxhash.xxh64_intdigest
     total, counts, before = 0, np.zeros((parts, BITS), dtype=np.int64), []
+    seen = np.zeros(0, dtype=np.uint64)
     for words in segments(text.lower()):
         words = before + words
         if len(words) < words_in_shingle:
@@ -94,6 +98,9 @@ def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1) -> list[
         starts = (ends - lengths)[: len(words) - words_in_shingle + 1].tolist()
         stops = (ends[words_in_shingle - 1 :] - 1).tolist()
         hashes = np.array([hashed(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
+        if not repeats:
+            hashes = np.setdiff1d(hashes, seen)
+            seen = np.union1d(seen, hashes)
         for k in range(parts):
             counts[k] += bit_counts(mixed(hashes, k))
         total += len(hashes)
@@ -104,14 +111,14 @@ def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1) -> list[
     return [sum(1 << b for b in np.flatnonzero(row * 2 > total).tolist()) for row in counts]
 
 
-def fingerprints(docs: DataFrame, words_in_shingle: int = 4, parts: int = 1, digest: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, words_in_shingle: int = 4, parts: int = 1, repeats: bool = True, digest: bool = False) -> DataFrame:
     """doc_id and fp (the 64 bits as a long) of each row, more parts (wide), if asked the text's digest."""
     kept = "doc_id long, digest binary" if digest else "doc_id long"
     wide = ", wide array<long>" if parts > 1 else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), words_in_shingle, parts) for t in batch.column(0)], dtype=np.uint64)
+            found = np.array([fingerprint(t.as_py(), words_in_shingle, parts, repeats) for t in batch.column(0)], dtype=np.uint64)
             found = found.reshape(-1, parts).view(np.int64)
             more = [pa.array(list(found[:, 1:]), pa.list_(pa.int64()))] if parts > 1 else []
             names = [*batch.schema.names[1:], "fp", *["wide"] * len(more)]
@@ -302,7 +309,7 @@ def drop_near_copies(docs: DataFrame, words_in_shingle: int = 5) -> DataFrame:
 
     Of equal ids, that with the smallest digest stays.
     """
-    rows = stored(fingerprints(docs, words_in_shingle, WIDE_PARTS, digest=True), "simhash")
+    rows = stored(fingerprints(docs, words_in_shingle, WIDE_PARTS, repeats=False, digest=True), "simhash")
     grouped = near_groups(rows, NEAR_MOST, WIDE_MOST)
     # A group without ids is told by its fingerprint alone.
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
