@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from nestmetrics.llm.common import col, table, text_of
+from nestmetrics.llm.common import col, ship_code, table, text_of
 
 #: Remembered chunks, words and pairs of one Python worker, about 200 bytes each.
 MEMORY = 250_000
@@ -221,6 +221,7 @@ def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
+    ship_code(docs.sparkSession)
     rows = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import weakref
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +28,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Contexts whose workers have been given this package.
+_SHIPPED: weakref.WeakSet = weakref.WeakSet()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the workers this package, once for each Spark context, by the shared folder."""
+    context = spark.sparkContext
+    if context in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    with zipfile.ZipFile(out := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    path = scratch_path(spark, "code") + f"/{package.name}-{uuid.uuid4().hex}.zip"
+    write_bytes(spark, path, out.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that the frame does not use, whatever its letter case."""
     taken = {c.lower() for c in df.columns}

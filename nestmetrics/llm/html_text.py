@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import col, table
+from nestmetrics.llm.common import col, ship_code, table
 
 # HTML's element kinds, and words in class and id that mark what is not the article.
 RAW = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "textarea", "select", "title", "head", "button"}
@@ -186,6 +186,7 @@ def main_text(page: str) -> str:
 
 def extract(pages: DataFrame, carried: list[str]) -> DataFrame:
     """The carried columns of each page with its text and n_chars."""
+    ship_code(pages.sparkSession)
     frame = pages.select(F.coalesce(col(pages, "html").cast("string"), F.lit("")).alias("page"), *(col(pages, c) for c in carried))
     plain = frame.toDF("page", *(f"c{i}" for i in range(len(carried))))
 

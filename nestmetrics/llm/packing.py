@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.llm.bpe import WORD_BPE, codec
-from nestmetrics.llm.common import col, stored, table, text_of
+from nestmetrics.llm.common import col, ship_code, stored, table, text_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -87,6 +87,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    ship_code(docs.sparkSession)
     rows = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     return rows.mapInArrow(run, PIECES)
 
@@ -105,6 +106,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, g
         columns = [group.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
         return pa.table([*columns, pa.array(at[:, 0] + (number << 32)), pa.array(at[:, 1])], names=[*(c.split()[0] for c in PACKED.split(", "))])
 
+    ship_code(cut.sparkSession)
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("long"))
     return dealt.groupBy("group").applyInArrow(run, PACKED)
 

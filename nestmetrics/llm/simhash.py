@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import attach, col, digest_of, keep_rows, stored, table, text_of
+from nestmetrics.llm.common import attach, col, digest_of, keep_rows, ship_code, stored, table, text_of
 from nestmetrics.llm.components import components, smallest_members
 
 BITS = 64
@@ -124,6 +124,7 @@ def fingerprints(docs: DataFrame, words_in_shingle: int = 4, parts: int = 1, rep
             names = [*batch.schema.names[1:], "fp", *["wide"] * len(more)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found[:, 0]), *more], names=names)
 
+    ship_code(docs.sparkSession)
     text = text_of(docs)
     columns = [text.cast("binary").alias("text"), col(docs, "doc_id").cast("long").alias("doc_id")]
     if digest:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from nestmetrics.llm.common import col, stored, table, text_of
+from nestmetrics.llm.common import col, ship_code, stored, table, text_of
 
 #: Most labelled rows that are trained on; about 100 MB of texts of ordinary length.
 TRAIN_ROWS = 20_000
@@ -75,6 +75,7 @@ def is_held_out(doc_id: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
     """text and toxic of at most so many labelled rows outside the held-out third; stored."""
+    ship_code(docs.sparkSession)
     ids = labels.select(col(labels, "doc_id").cast("long").alias("doc_id"), col(labels, "toxic").cast("int").alias("toxic"))
     ids = ids.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id")))
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -185,6 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[n
 
 def scored(docs: DataFrame, weights: np.ndarray, bias: float, carried: list[Column]) -> DataFrame:
     """The carried columns and score; weights and intercept go to the tasks (4 MB)."""
+    ship_code(docs.sparkSession)
     frame = docs.select(text_of(docs).alias("text"), *carried)
     plain = frame.toDF("text", *(f"c{i}" for i in range(len(carried))))
     shared = docs.sparkSession.sparkContext.broadcast(weights)

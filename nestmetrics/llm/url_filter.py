@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from nestmetrics.llm.common import ascii_lower, col, table, write_bytes
+from nestmetrics.llm.common import ascii_lower, col, ship_code, table, write_bytes
 from nestmetrics.session import scratch_path
 
 # Longest rule list that is copied to the executors: about 60 bytes a rule.
@@ -206,6 +206,7 @@ def _by_index(parts: DataFrame, rules: list) -> DataFrame:
         path = f"{root}/{label}-{name}.npy"
         write_bytes(spark, path, out.getvalue())
         spark.sparkContext.addFile(path)
+    ship_code(spark)
     plain = parts.toDF(*(f"c{i}" for i in range(len(parts.columns))))
     added = [T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]
     schema = T.StructType([*plain.schema.fields, *added])
