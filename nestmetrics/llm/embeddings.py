@@ -7,10 +7,11 @@ is at most the block's share of the bound. Each block is range-joined under that
 its candidates is verified with the whole vectors in double precision, so the result is exact.
 
 A block's range join deals the vectors to cells of its first coordinates, twice the budget's radius
-wide. A vector is at home in one cell and a guest in those its ball reaches; the more vectors there
-are, the more coordinates make the cells (``CELL_ROWS``). A cell compares its home vectors with all of
-its vectors, tile by tile. A pair that several blocks find counts in the first of them. Tasks return
-link counts and links that span their groups, never the pairs themselves.
+wide. A vector is at home in one cell and a guest in the later ones its ball reaches; the more vectors
+there are, the more coordinates make the cells (``CELL_ROWS``). A cell sorts its vectors by the next
+coordinate and compares its home vectors with each other and with the guests, tile by tile, where that
+coordinate allows. A pair that several blocks find counts in the first of them. Tasks return link counts
+and links that span their groups, never the pairs themselves.
 
 Equal vectors are one class from the start: they are counted, not paired, so a vector that a third of
 all rows share costs as much as any other. Different vectors that lie close together are all compared,
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import attach, col, stored, table
+from nestmetrics.llm.common import attach, col, ship_code, stored, table
 from nestmetrics.llm.components import components, smallest_members
 from nestmetrics.llm.simhash import local_groups
 
@@ -43,7 +44,7 @@ WIDTH = 8
 #: From so many distinct vectors on per coordinate's worth of cells, cells take one coordinate more.
 CELL_ROWS = 100_000
 CELL_FACTOR = 8
-TILE = 2048
+TILE = 512
 #: Candidate pairs verified at a time.
 PAIRS = 50_000
 SEED = 7
@@ -88,12 +89,13 @@ def classes(vectors: DataFrame, embedding: str) -> DataFrame:
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["vec_id", "size", "k1", "k2", "unit"])
 
+    ship_code(vectors.sparkSession)
     rows = vectors.select(col(vectors, "vec_id").cast("long").alias("vec_id"), col(vectors, embedding).cast("array<double>").alias("v"))
     return rows.mapInArrow(run, schema)
 
 
 def dealt(distinct: DataFrame, cosine: float, dimensions: int) -> DataFrame:
-    """Each class (id, size, rows, unit) in the cells of every block: at home in one, a guest in others."""
+    """Each class (id, size, rows, unit) in the cells of every block: at home in one, a guest in later ones."""
     schema = "cell string, size int, block int, home boolean, id long, rows long, turned binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +109,7 @@ def dealt(distinct: DataFrame, cosine: float, dimensions: int) -> DataFrame:
                     lead = turned[where][:dimensions] / (2 * radius)
                     own = tuple(np.floor(lead).astype(int).tolist())
                     reach = product(*(range(int(np.floor(x - 0.5)), int(np.floor(x + 0.5)) + 1) for x in lead.tolist()))
-                    out.extend((f"{size}/{b}/{cell}", size, b, cell == own, id_, rows, data) for cell in reach)
+                    out.extend((f"{size}/{b}/{cell}", size, b, cell == own, id_, rows, data) for cell in reach if cell >= own)
             columns = list(zip(*out, strict=True)) or [[]] * 7
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["cell", "size", "block", "home", "id", "rows", "turned"])
@@ -115,36 +117,50 @@ def dealt(distinct: DataFrame, cosine: float, dimensions: int) -> DataFrame:
     return distinct.select("id", "size", "rows", "unit").mapInArrow(run, schema)
 
 
-def cell_links(turned: np.ndarray, home: np.ndarray, block: int, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (home vector, any vector) with that cosine whose first block within budget is this one."""
+def cell_links(turned: np.ndarray, home: np.ndarray, block: int, cosine: float, dimensions: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs with that cosine, one of them at home, whose first block within budget is this one; each once."""
     size = turned.shape[1]
     where, budgets = blocks(size), block_budgets(size, cosine)
-    part = turned[:, where[block]].astype(np.float32)
-    length = np.einsum("ij,ij->i", part, part)
+    part = turned[:, where[block]]
+    lead = part[:, min(dimensions, part.shape[1] - 1)]
+    radius = float(np.sqrt(budgets[block])) * (1 + 1e-9)
+    narrow = part.astype(np.float32)
+    length = np.einsum("ij,ij->i", narrow, narrow)[:, None]
+    one = np.ones_like(length)
+    # The product of a left and a right row is their squared distance, up to single precision.
+    left = np.ascontiguousarray(np.hstack([-2 * narrow, length, one]))
+    right = np.ascontiguousarray(np.hstack([narrow, one, length]))
     limit = np.float32(budgets[block] + 1e-5)
-    at = np.flatnonzero(home)
-    for a in range(0, len(at), TILE):
-        mine = at[a : a + TILE]
-        for b in range(0, len(part), TILE):
-            tile = slice(b, b + TILE)
-            apart = length[mine][:, None] + length[tile][None, :] - 2 * (part[mine] @ part[tile].T)
-            u, v = np.nonzero(apart <= limit)
-            u, v = mine[u], v + b
-            other = u != v
-            u, v = u[other], v[other]
-            for k in range(0, len(u), PAIRS):
-                x, y = u[k : k + PAIRS], v[k : k + PAIRS]
-                near = np.einsum("ij,ij->i", turned[x], turned[y]) >= cosine
-                x, y = x[near], y[near]
-                squares = (turned[x] - turned[y]) ** 2
-                first = np.full(len(x), -1)
-                for j in reversed(range(len(where))):
-                    first[squares[:, where[j]].sum(axis=1) <= budgets[j]] = j
-                counts = first == block
-                yield x[counts], y[counts]
-
-
-def linked(cells: DataFrame, cosine: float) -> DataFrame:
+    own, guests = (x[np.argsort(lead[x], kind="stable")] for x in (np.flatnonzero(home), np.flatnonzero(~home)))
+    at_own, at_guests = lead[own], lead[guests]
+    for a in range(0, len(own), TILE):
+        mine = own[a : a + TILE]
+        low, high = at_own[a] - radius, at_own[min(a + TILE, len(own)) - 1] + radius
+        after = own[a : np.searchsorted(at_own, high, side="right")]
+        visiting = guests[np.searchsorted(at_guests, low) : np.searchsorted(at_guests, high, side="right")]
+        rows = left[mine]
+        for others, same in ((after, True), (visiting, False)):
+            for b in range(0, len(others), 4 * TILE):
+                tile = others[b : b + 4 * TILE]
+                flat = np.flatnonzero(rows @ right[tile].T <= limit)
+                i, j = flat // len(tile), flat % len(tile)
+                if same:  # both lists start at a: a pair counts from its earlier member
+                    later = j + b > i
+                    i, j = i[later], j[later]
+                u, v = mine[i], tile[j]
+                for k in range(0, len(u), PAIRS):
+                    x, y = u[k : k + PAIRS], v[k : k + PAIRS]
+                    near = np.einsum("ij,ij->i", turned[x], turned[y]) >= cosine
+                    x, y = x[near], y[near]
+                    squares = (turned[x] - turned[y]) ** 2
+                    first = np.full(len(x), -1)
+                    for w in reversed(range(len(where))):
+                        first[squares[:, where[w]].sum(axis=1) <= budgets[w]] = w
+                    counts = first == block
+                    yield x[counts], y[counts]
+
+
+def linked(cells: DataFrame, cosine: float, dimensions: int) -> DataFrame:
     """(id, links, root): links counted in one cell, and a link that spans the cell's groups."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -153,8 +169,9 @@ def linked(cells: DataFrame, cosine: float) -> DataFrame:
         home = group.column("home").to_numpy().astype(bool)
         ids, rows = group.column("id").to_numpy(), group.column("rows").to_numpy()
         links, label = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
-        for u, v in cell_links(turned, home, block, cosine):
-            links += np.bincount(u, weights=rows[v], minlength=len(ids)).astype(np.int64)
+        for u, v in cell_links(turned, home, block, cosine, dimensions):
+            for x, y in ((u, v), (v, u)):
+                links += np.bincount(x, weights=rows[y], minlength=len(ids)).astype(np.int64)
             label = local_groups(len(ids), u, v, label)
         some = np.flatnonzero((links > 0) | (label != np.arange(len(ids))))
         return pa.table({"id": ids[some], "links": links[some], "root": ids[label[some]]})
@@ -175,7 +192,7 @@ def near_vectors(vectors: DataFrame, embedding: str = "embedding", cosine: float
     dimensions = 1
     while dimensions < WIDTH and count > CELL_ROWS * CELL_FACTOR ** (dimensions - 1):
         dimensions += 1
-    found = stored(linked(dealt(distinct, cosine, dimensions), cosine), "links")
+    found = stored(linked(dealt(distinct, cosine, dimensions), cosine, dimensions), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     members = smallest_members(distinct.select(F.col("id").alias("node"), F.col("vec_id").alias("id")), roots)
