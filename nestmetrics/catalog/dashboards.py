@@ -54,7 +54,7 @@ def _(m):
 @query(
     "dash_map_points",
     """SELECT id, latitude, longitude, price, neighbourhood_cleansed FROM enriched
-       WHERE latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY id LIMIT 5000""",
+       WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
 )
 def _(m):
     return dashboard.map_points(m.enriched)

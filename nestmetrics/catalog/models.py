@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from nestmetrics.catalog.registry import query
 from nestmetrics.plans import dashboard, ml
 
-# Rounds of boosting in the registered query; the library's own default is 200.
-BOOSTING_ROUNDS = 20
-
 FRAME = """, priced AS (SELECT * FROM enriched WHERE price > 0),
     kept AS (SELECT * FROM priced WHERE price < (SELECT quantile_cont(price, 0.99) FROM priced))
     """
@@ -41,26 +38,46 @@ def _(m):
     return marked.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test"))
 
 
-@query("ml_split_rows")
+SPLIT = (
+    FRAME
+    + """, hashed AS (SELECT *, ('0x' || substr(md5(id || ':42'), 1, 15))::BIGINT AS h FROM kept),
+    split AS (SELECT *, row_number() OVER (ORDER BY h) <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM hashed)
+    """
+)
+
+
+@query("ml_split_rows", SPLIT + "SELECT id, is_test FROM split")
 def _(m):
     return ml.split(ml.feature_frame(m.enriched)).select("id", "is_test")
 
 
-@query("ml_impute_numeric")
+@query(
+    "ml_impute_numeric",
+    SPLIT
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(median({c}::DOUBLE), 9) AS median FROM split WHERE NOT is_test HAVING count({c}) > 0"
+        for c in ml.NUMERIC_FEATURES
+    ),
+)
 def _(m):
-    """The medians that stand in for missing numbers, as fitted on the training rows."""
-    imputer = m.prepared.stages.stages[0]
-    return imputer.surrogateDF
+    """The medians that stand in for missing numbers, from the training rows."""
+    train = ml.split(ml.feature_frame(m.enriched)).where(~F.col("is_test"))
+    found = ml.medians(train, ml.resolve_features(m.enriched).numeric)
+    return found.where("median IS NOT NULL").withColumn("median", F.round("median", 9))
 
 
 @query(
     "ml_impute_categorical",
-    """SELECT (SELECT room_type FROM enriched WHERE room_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
-       AS room_type, (SELECT neighbourhood_cleansed FROM enriched WHERE neighbourhood_cleansed IS NOT NULL GROUP BY 1
+    SPLIT
+    + """SELECT (SELECT room_type FROM split WHERE NOT is_test AND room_type IS NOT NULL GROUP BY 1
+       ORDER BY count(*) DESC, 1 LIMIT 1) AS room_type,
+       (SELECT neighbourhood_cleansed FROM split WHERE NOT is_test AND neighbourhood_cleansed IS NOT NULL GROUP BY 1
        ORDER BY count(*) DESC, 1 LIMIT 1) AS neighbourhood_cleansed""",
 )
 def _(m):
-    return ml.most_frequent(m.enriched, ("room_type", "neighbourhood_cleansed"))
+    """The most frequent values among the training rows."""
+    train = ml.split(ml.feature_frame(m.enriched)).where(~F.col("is_test"))
+    return ml.most_frequent(train, ("room_type", "neighbourhood_cleansed"))
 
 
 @query("ml_scale")
@@ -96,13 +113,12 @@ def _(m):
 
 
 @cache
-def _fitted(prepared, name: str, rounds: int | None = None):
-    make = ml.MODELS[name]
-    return (make() if rounds is None else make(rounds)).fit(prepared.train)
+def _fitted(prepared, name: str):
+    return ml.MODELS[name]().fit(prepared.train)
 
 
 def _model(m, name: str):
-    return _fitted(m.prepared, name, BOOSTING_ROUNDS if name == "Gradient-Boosted Trees" else None)
+    return _fitted(m.prepared, name)
 
 
 def _result(m, name: str):

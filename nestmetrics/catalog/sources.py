@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from nestmetrics import schemas
 from nestmetrics.catalog.registry import query
 from nestmetrics.plans import clean, quality
-from nestmetrics.plans.dashboard import market_view
+from nestmetrics.plans.dashboard import market_filter
 from nestmetrics.plans.warehouse import calendar_from_star, open_star, row_counts
 from nestmetrics.session import scratch_path
 from nestmetrics.sources import files, sinks
@@ -18,7 +18,7 @@ def _(m):
     """Gzipped CSV with quoted text, read with a fixed schema, dealt out, then cleaned."""
     path = scratch_path(m.spark, "calendar-csv")
     m.raw_calendar.write.csv(path, header=True, quote='"', escape='"', compression="gzip")
-    return clean.clean_calendar(files.read_csv(m.spark, path, schemas.RAW_CALENDAR_DDL, spread=8))
+    return clean.clean_calendar(files.read_csv(m.spark, path, schemas.RAW_CALENDAR_DDL, rebalance=True))
 
 
 @query("scan_csv_multiline", "SELECT id, room_type, neighbourhood_cleansed, host_since, price FROM listings")
@@ -26,7 +26,7 @@ def _(m):
     """Listings whose text fields hold line breaks, tabs and blanks."""
     path = scratch_path(m.spark, "listings-csv")
     sinks.write_export(m.raw_listings, path)
-    raw = files.read_csv(m.spark, path, m.raw_listings.schema)
+    raw = files.read_csv(m.spark, path, m.raw_listings.schema, multi_line=True)
     return clean.clean_listings(raw).select("id", "room_type", "neighbourhood_cleansed", "host_since", "price")
 
 
@@ -74,7 +74,16 @@ def _(m):
 )
 def _(m):
     path = scratch_path(m.spark, "export")
-    view = market_view(m.enriched, rooms=["1-URGENT"], price_range=(1000, 300000))
+    view = market_filter(m.enriched, rooms=["1-URGENT"], price_range=(1000, 300000))
+    sinks.write_export(view.select("id", "room_type", "price"), path)
+    return files.read_csv(m.spark, path, "id long, room_type string, price double")
+
+
+@query("sink_filtered_export_empty", "SELECT id, room_type, price FROM enriched WHERE room_type = 'no such room'")
+def _(m):
+    """An export of a choice that nothing meets is empty."""
+    path = scratch_path(m.spark, "export")
+    view = market_filter(m.enriched, rooms=["no such room"])
     sinks.write_export(view.select("id", "room_type", "price"), path)
     return files.read_csv(m.spark, path, "id long, room_type string, price double")
 

@@ -167,7 +167,7 @@ LOGGED = " (log-transformed)"
 TESTS = {
     "test_entire_vs_private": ENTIRE_PRIVATE + mann_whitney_sql(1, "entire_vs_private", LOGGED),
     "test_superhost_scores": SUPERHOST + mann_whitney_sql(2, "superhost_scores", ""),
-    "test_pro_vs_casual": PRO_CASUAL + mann_whitney_sql(3, "pro_vs_casual_price", LOGGED),
+    "test_pro_vs_casual_price": PRO_CASUAL + mann_whitney_sql(3, "pro_vs_casual_price", LOGGED),
     "test_weekend_price": WEEKEND + mann_whitney_sql(4, "weekend_price", LOGGED),
     "test_neighbourhood_prices": TOP_AREAS + KRUSKAL,
 }
@@ -183,7 +183,7 @@ def _(m):
     return stats.test_superhost_scores(m.enriched)
 
 
-@query("test_pro_vs_casual", TESTS["test_pro_vs_casual"])
+@query("test_pro_vs_casual_price", TESTS["test_pro_vs_casual_price"])
 def _(m):
     return stats.test_pro_vs_casual_price(m.enriched)
 
@@ -193,12 +193,6 @@ def _(m):
     return stats.test_weekend_price(m.calendar)
 
 
-@query("test_weekend_price_sampled")
-def _(m):
-    """Equal samples of both sides, chosen by a seeded hash."""
-    return stats.test_weekend_price(m.calendar, per_group=5000)
-
-
 @query("test_neighbourhood_prices", TESTS["test_neighbourhood_prices"])
 def _(m):
     return stats.test_neighbourhood_prices(m.enriched)

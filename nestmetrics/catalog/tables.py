@@ -22,7 +22,6 @@ from nestmetrics.sources.sinks import write_parquet
 SNAPSHOT_DATE = "2001-12-31"
 # Room types standing for entire homes and private rooms.
 ENTIRE, PRIVATE = "1-URGENT", "5-LOW"
-STAR_BUCKETS = 8
 
 _MARKETS: dict[tuple[str, str], Market] = {}
 
@@ -220,8 +219,6 @@ class Market:
             self.calendar,
             self.reviews,
             self.neighbourhoods,
-            table_prefix=root.rsplit("/", 1)[-1].replace("-", "_"),
-            buckets=STAR_BUCKETS,
         )
 
     @cached_property

@@ -41,6 +41,11 @@ def finite(c: Column) -> Column:
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), None).otherwise(c)
 
 
+def seeded_hash(key: Column, seed: int) -> Column:
+    """60 bits of the MD5 of key and seed, as any engine computes them."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(seed).cast("string"))), 1, 15), 16, 10).cast("long")
+
+
 def round_half_even(c: Column, digits: int) -> Column:
     """Scale, round to the nearest even integer, scale back (how array libraries round)."""
     scale = float(10**digits)

@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from nestmetrics.functions.exprs import seeded_hash
 from nestmetrics.operators.radix import bucket_levels
+from nestmetrics.session import scratch_path
 
 _EARLIER = (Window.unboundedPreceding, -1)
 
@@ -60,7 +63,15 @@ def prefix_sums(df: DataFrame, order_by: str, weights: Mapping[str, str]) -> Dat
 
 
 def surrogate_key(df: DataFrame, order_by: str, name: str, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Dense 1..n integers in the order of a column, as the first column."""
+    """Dense 1..n integers in the order of a column, as the first column.
+
+    Nulls come first. Numbers and dates are ordered by bucket codes; a key that many rows share, null
+    included, makes one window, and ids are close to unique. Strings, and orders with a tie-break, are
+    ordered by sampled ranges of the whole order, so copies and nulls are split where a tie-break
+    tells them apart.
+    """
+    if tie_break or isinstance(df.schema[order_by].dataType, T.StringType):
+        return _key_by_ranges(df, [order_by, *tie_break], name)
     leveled = with_levels(df, order_by)
     offsets = bucket_offsets(leveled, {"n": F.lit(1)})
     here = Window.partitionBy("_b1", "_b2").orderBy(order_by, *tie_break)
@@ -68,6 +79,23 @@ def surrogate_key(df: DataFrame, order_by: str, name: str, tie_break: Sequence[s
     return leveled.join(offsets, ["_b1", "_b2"]).select(key, *df.columns)
 
 
+def _key_by_ranges(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Rows dealt to ranges of the order by sampled bounds, numbered inside and offset by range.
+
+    The ranges are stored, because sampling them again could draw other bounds.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    # One row for each range, of which there are as many as shuffle partitions at most.
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = ranged.withColumn("_inside", inside).join(F.broadcast(before), "_range")
+    return numbered.select((F.col("_start") + F.col("_inside")).cast("long").alias(name), *df.columns)
+
+
 def mid_ranks(df: DataFrame, value: str, groups: Mapping[str, Column]) -> DataFrame:
     """Distinct values with their tie-averaged rank in the pooled sample.
 
@@ -122,5 +150,4 @@ def sample_fixed_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame
 
     Rows are taken in the order of a seeded hash of their key.
     """
-    mixed = F.xxhash64(F.col(key), F.lit(seed))
-    return df.orderBy(mixed, F.col(key)).limit(n)
+    return df.orderBy(seeded_hash(F.col(key), seed), F.col(key)).limit(n)

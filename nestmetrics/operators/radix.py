@@ -26,10 +26,12 @@ _FINE_STEPS = float(2**31)
 
 
 def bucket_levels(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
-    """Codes ``(b1, b2)`` that never decrease when the value grows; 0 for a null value."""
+    """Codes ``(b1, b2)`` of a number or date that never decrease when the value grows; 0 for null.
+
+    Strings have no such codes: they are numbered by sampled ranges (``ordering.surrogate_key``).
+    """
     if isinstance(dtype, T.StringType):
-        # Leading characters: names are short and their prefixes few.
-        return F.coalesce(F.substring(c, 1, 2), F.lit("")), F.coalesce(F.substring(c, 1, 6), F.lit(""))
+        raise TypeError("strings have no bucket codes of bounded size")
     if isinstance(dtype, T.DateType):
         c, dtype = F.unix_date(c), T.IntegerType()
     if isinstance(dtype, T.IntegralType):

@@ -34,7 +34,7 @@ def resolve_fields(df: DataFrame) -> dict[str, str | None]:
     return {field: E.first_existing_col(df, names) for field, names in FIELD_NAMES.items()}
 
 
-def market_view(
+def market_filter(
     df: DataFrame,
     areas: Sequence[str] = (),
     rooms: Sequence[str] = (),
@@ -44,8 +44,7 @@ def market_view(
 ) -> DataFrame:
     """Listings that meet every chosen filter; an empty choice does not filter.
 
-    Where nothing at all matches, the unfiltered listings are shown. The test is part of the
-    plan, so building the view runs no job.
+    Plain conjuncts, so that they reach the scan.
     """
     fields = resolve_fields(df)
     conditions: list[Column] = []
@@ -59,11 +58,19 @@ def market_view(
         conditions.append(E.lenient_bool(F.col(fields["superhost"])) == F.lit(superhost))
     if professional is not None and fields["professional"]:
         conditions.append(E.lenient_bool(F.col(fields["professional"])) == F.lit(professional))
-    if not conditions:
-        return df
-    wanted = F.coalesce(E.all_of(conditions), F.lit(False))
-    matches = df.where(wanted).agg(eda.row_count().alias("n")).scalar()
-    return df.where(wanted | (matches == 0))
+    for condition in conditions:
+        df = df.where(condition)
+    return df
+
+
+def market_view(df: DataFrame, **choices) -> DataFrame:
+    """The filtered listings, or all of them where nothing at all matches.
+
+    The test is part of the plan, so building the view runs no job.
+    """
+    matching = market_filter(df, **choices)
+    found = matching.select(F.lit(True).alias("_found")).limit(1)
+    return matching.unionByName(df.where(~found.exists()))
 
 
 def price_bounds(df: DataFrame) -> DataFrame:
@@ -114,10 +121,9 @@ def neighbourhood_matrix(view: DataFrame, k: int = 20) -> DataFrame:
     return top_k(neighbourhood_supply_price(view), [F.desc("listing_count"), F.asc_nulls_last(area)], k)
 
 
-def map_points(view: DataFrame, n: int = 5000) -> DataFrame:
-    """The map shows n located listings, the lowest ids first."""
-    located = view.dropna(subset=["latitude", "longitude"])
-    return located.orderBy("id").limit(n).select("id", "latitude", "longitude", "price", eda.area_column(view))
+def map_points(view: DataFrame) -> DataFrame:
+    """All located listings."""
+    return view.dropna(subset=["latitude", "longitude"]).select("id", "latitude", "longitude", "price", eda.area_column(view))
 
 
 def host_segments(view: DataFrame) -> DataFrame:

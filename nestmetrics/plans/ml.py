@@ -7,14 +7,14 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
 from nestmetrics.operators.ordering import argmax_row, top_k
-from nestmetrics.operators.quantiles import global_quantile, rank_value
+from nestmetrics.operators.quantiles import exact_quantiles, global_quantile, rank_value
 from nestmetrics.plans import texts
 from nestmetrics.plans.dashboard import FIELD_NAMES
 
@@ -90,10 +90,10 @@ def feature_frame(df: DataFrame, leak_free: bool = False) -> DataFrame:
 def split(frame: DataFrame, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Add ``is_test`` for exactly ceil(n x share) rows: those with the smallest seeded id hash.
 
-    The hash of a long is one-to-one, so the cut is exact for unique ids, and it is found by rank
+    Sixty bits of hash tell ids apart, so the cut is exact for unique ids, and it is found by rank
     selection instead of a global sort.
     """
-    hashed = frame.withColumn("_h", F.xxhash64("id", F.lit(seed)))
+    hashed = frame.withColumn("_h", E.seeded_hash(F.col("id"), seed))
     cut = rank_value(hashed, "_h", F.ceil(F.col("_n") * F.lit(test_share)) - 1).scalar()
     return hashed.withColumn("is_test", F.col("_h") <= cut).drop("_h")
 
@@ -113,17 +113,27 @@ def fill_categorical(frame: DataFrame, train: DataFrame, columns: tuple[str, ...
     return frame.withColumns({c: F.coalesce(F.col(c), mode) for c, mode in modes.items()})
 
 
+def medians(train: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """(feature, median) of each column, exact, from one pass over (feature, value) pairs."""
+    pairs = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])))
+    return exact_quantiles(pairs, ["feature"], "value", {"median": 0.5})
+
+
+def fill_numeric(frame: DataFrame, train: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Missing numbers become the training rows' median; one value per column comes to the driver."""
+    found = {r["feature"]: r["median"] for r in medians(train, columns).collect()} if columns else {}
+    return frame.withColumns({c: F.coalesce(F.col(c), F.lit(found[c])) for c in columns})
+
+
 def preprocessing(features: Features, scaled: tuple[str, ...]) -> list:
-    """Median imputation, scaling and one-hot coding as pipeline stages.
+    """Scaling and one-hot coding of filled columns as pipeline stages.
 
     Unknown levels get the last index, which the encoder drops: they become all zeros.
     """
-    imputed = [f"{c}_imputed" for c in scaled]
     indexed = [f"{c}_index" for c in features.categorical]
     coded = [f"{c}_onehot" for c in features.categorical]
     return [
-        Imputer(inputCols=list(scaled), outputCols=imputed, strategy="median"),
-        VectorAssembler(inputCols=imputed, outputCol="numeric_raw"),
+        VectorAssembler(inputCols=list(scaled), outputCol="numeric_raw"),
         StandardScaler(inputCol="numeric_raw", outputCol="numeric_scaled", withMean=True, withStd=True),
         StringIndexer(
             inputCols=list(features.categorical),
@@ -197,7 +207,8 @@ def prepare(enriched: DataFrame, leak_free: bool = False) -> Prepared:
     if counts["_rows"] < MIN_ROWS:
         raise ValueError(f"{counts['_rows']} usable rows, at least {MIN_ROWS} are needed")
     scaled = tuple(c for c in features.scaled if counts[c] > 0)
-    filled = fill_categorical(marked, marked.where(~F.col("is_test")), features.categorical)
+    known = marked.where(~F.col("is_test"))
+    filled = fill_numeric(fill_categorical(marked, known, features.categorical), known, scaled)
     train = filled.where(~F.col("is_test"))
     stages = Pipeline(stages=preprocessing(features, scaled)).fit(train)
     ready = stages.transform(filled).select("id", "is_test", "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
@@ -252,7 +263,7 @@ def train_models(prepared: Prepared, models: Mapping[str, Callable] = MODELS) ->
 
 
 def feature_names(prepared: Prepared) -> list[str]:
-    indexer = prepared.stages.stages[3]
+    indexer = prepared.stages.stages[2]
     coded = [
         f"{column}_{label}"
         for column, labels in zip(prepared.features.categorical, indexer.labelsArray, strict=True)

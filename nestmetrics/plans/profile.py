@@ -22,6 +22,12 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _present(field: T.StructField) -> Column:
+    """The value, null where a number is not one."""
+    value = F.col(field.name)
+    return F.when(~F.isnan(value), value) if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else value
+
+
 def _extent(name: str, dtype: T.DataType) -> tuple[Column, Column] | None:
     if isinstance(dtype, T.NumericType):
         value = F.col(name)
@@ -74,12 +80,12 @@ def profile_table(df: DataFrame, file_key: str, file_name: str) -> DataFrame:
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("_i"), F.col(f.name).cast("string").alias("_value"))
+                    F.struct(F.lit(i).alias("_i"), _present(f).cast("string").alias("_value"))
                     for i, f in enumerate(fields)
                 ]
             )
         )
-    ).where(F.col("_value").isNotNull() & (F.col("_value") != "NaN"))
+    ).where("_value IS NOT NULL")
     distinct = pairs.distinct().groupBy("_i").agg(F.count(F.lit(1)).alias("unique_count"))
     names = F.create_map(*[x for i, f in enumerate(fields) for x in (F.lit(i), F.lit(f.name))])
     distinct = distinct.select(names[F.col("_i")].alias("column_name"), "unique_count")

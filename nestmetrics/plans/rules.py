@@ -160,8 +160,10 @@ def recommendations(
     if calendar is not None and {"price", "date"} <= set(calendar.columns):
         any_listing = enriched.select(F.lit(True).alias("_some")).limit(1)
         rules.append(rule_weekend_premium(calendar).where(any_listing.exists()))
-    report = rules[0]
-    for rule in rules[1:]:
+    # A rule without rows gives the report's columns where no rule applies.
+    flags = enriched.select(F.lit(False).alias("is_professional_host")).where(F.lit(False))
+    report = rule_host_strategy(flags).where(F.lit(False))
+    for rule in rules:
         report = report.unionByName(rule)
     return number_rows(report, "_order", "recommendation_id")
 

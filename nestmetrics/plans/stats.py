@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
 from nestmetrics.functions.tails import chi_square_upper, normal_two_sided, with_student_t_tail
-from nestmetrics.operators.ordering import mid_ranks, number_rows, sample_fixed_n, top_k
+from nestmetrics.operators.ordering import mid_ranks, number_rows, top_k
 from nestmetrics.plans import texts
 
 MIN_GROUP = 10
@@ -172,15 +172,9 @@ def pro_vs_casual_sample(enriched: DataFrame) -> DataFrame:
     return two_sample(_log_prices(enriched), "log_price", flag, ~flag)
 
 
-def weekend_sample(calendar: DataFrame, per_group: int | None = None, seed: int = 42) -> DataFrame:
-    """All priced days by default; with ``per_group`` an equal, repeatable sample of each side."""
+def weekend_sample(calendar: DataFrame) -> DataFrame:
+    """All priced days."""
     days = _log_prices(calendar).withColumn("weekend", E.weekend_flag(F.col("date"), E.WEEKEND_FRI_SAT))
-    if per_group:
-        days = days.withColumn("_key", F.xxhash64("listing_id", "date", "price"))
-        sides = [days.where(side) for side in (F.col("weekend"), ~F.col("weekend"))]
-        days = sample_fixed_n(sides[0], "_key", per_group, seed).unionByName(
-            sample_fixed_n(sides[1], "_key", per_group, seed)
-        )
     return two_sample(days, "log_price", F.col("weekend"), ~F.col("weekend"))
 
 
@@ -197,9 +191,8 @@ def test_pro_vs_casual_price(enriched: DataFrame) -> DataFrame:
     return _two_sample_row(pro_vs_casual_sample(enriched), 3, "pro_vs_casual_price", " (log-transformed)")
 
 
-def test_weekend_price(calendar: DataFrame, per_group: int | None = None, seed: int = 42) -> DataFrame:
-    suffix = " (sampled, log-transformed)" if per_group else " (log-transformed)"
-    return _two_sample_row(weekend_sample(calendar, per_group, seed), 4, "weekend_price", suffix)
+def test_weekend_price(calendar: DataFrame) -> DataFrame:
+    return _two_sample_row(weekend_sample(calendar), 4, "weekend_price", " (log-transformed)")
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
@@ -279,7 +272,14 @@ def statistical_report(
         tests.append(test_weekend_price(calendar))
     if "price" in have and have & {"neighbourhood_cleansed", "neighbourhood"}:
         tests.append(test_neighbourhood_prices(enriched))
-    report = tests[0]
-    for test in tests[1:]:
+    # A test of no rows gives the report's columns where no test applies.
+    report = _no_test(enriched)
+    for test in tests:
         report = report.unionByName(test)
     return number_rows(report, "_order", "hypothesis_id")
+
+
+def _no_test(enriched: DataFrame) -> DataFrame:
+    flags = enriched.select(F.lit(1.0).alias("v"), F.lit(True).alias("a"))
+    sample = two_sample(flags, "v", F.col("a"), ~F.col("a"))
+    return _two_sample_row(sample, 1, "entire_vs_private", "").where(F.lit(False))

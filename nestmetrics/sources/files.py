@@ -13,15 +13,15 @@ from nestmetrics.functions.exprs import date_key_to_date, round_half_even
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, spread: int | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str, rebalance: bool = False, multi_line: bool = False
 ) -> DataFrame:
-    """CSV or gzipped CSV with a header and quoted fields, which may span lines.
+    """CSV or gzipped CSV with a header and quoted fields.
 
-    A gzip file is one task; ``spread`` says over how many the rows are dealt afterwards. Plain
-    files without line breaks in fields are split among tasks with ``multi_line=False``.
+    Plain files are split among tasks unless fields may span lines (``multi_line=True``). A gzip file
+    is one task; ``rebalance`` deals its rows out afterwards, by their measured size.
     """
     df = spark.read.schema(schema).csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
-    return df.repartition(spread) if spread else df
+    return df.hint("rebalance") if rebalance else df
 
 
 def read_parquet_optional(
@@ -43,7 +43,9 @@ def read_reports(spark: SparkSession, root: str, names: Sequence[str], schemas:
     for name in names:
         try:
             reports[name] = spark.read.schema(schemas[name]).csv(f"{root}/{name}", header=True, quote='"', escape='"')
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             reports[name] = spark.createDataFrame([], schemas[name])
     return reports
 

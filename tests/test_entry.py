@@ -38,7 +38,7 @@ check_not_null check_no_duplicates check_range check_positive check_boolean chec
 check_foreign_key quality_report sql_quality_nulls sql_quality_duplicates sql_quality_price_positive
 sql_quality_ranges
 normality_gate welch_t_test mann_whitney_u rank_biserial cohens_d effect_label kruskal_wallis test_entire_vs_private
-test_superhost_scores test_pro_vs_casual test_weekend_price test_neighbourhood_prices statistical_report
+test_superhost_scores test_pro_vs_casual_price test_weekend_price test_neighbourhood_prices statistical_report
 rule_host_strategy rule_pricing_gap rule_neighbourhood_opportunity rule_guest_experience rule_weekend_premium
 recommendations executive_summary eda_price_distribution eda_price_by_room_type eda_top_neighbourhoods
 eda_listings_by_neighbourhood eda_host_listing_distribution eda_pro_vs_casual eda_review_scores
@@ -51,7 +51,7 @@ ml_random_forest ml_boosted_trees ml_evaluate ml_feature_importance
 
 # Operators whose result SQL cannot state.
 WITHOUT_SQL = {
-    "ingest_manifest", "sample_fixed_n", "test_weekend_price_sampled", "ml_split_rows", "ml_impute_numeric", "ml_scale",
+    "ingest_manifest", "ml_scale",
     "ml_one_hot", "ml_linear_regression", "ml_random_forest", "ml_boosted_trees", "ml_model_results",
     "ml_feature_importance", "dash_best_model",
 }

@@ -154,6 +154,18 @@ def test_surrogate_keys_with_copies_are_still_dense(spark):
     assert keys == list(range(1, 901))
 
 
+def test_names_with_one_long_prefix_are_dealt_to_many_tasks(spark):
+    df = spark.range(100_000).selectExpr("concat('the same long beginning of a name ', lpad(id * 7919 % 100000, 6, '0')) AS name")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
+    keyed = surrogate_key(df, "name", "k").cache()
+    assert keyed.selectExpr("min(k)", "max(k)", "count(DISTINCT k)").first() == (1, 100_000, 100_000)
+    assert keyed.where("k <> int(right(name, 6)) + 1").count() == 0
+    tasks = [r[0] for r in keyed.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(tasks) > 1 and max(tasks) < 50_000
+    keyed.unpersist()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_mid_ranks(spark):
     data = [("x", v) for v in (1.0, 1.0, 2.0, 9.0)] + [("y", v) for v in (1.0, 2.0, 3.0, None)]
     df = spark.createDataFrame(data, "g string, v double")

@@ -8,14 +8,14 @@ from nestmetrics.sources import files, sinks
 def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     path = tmp_path / "reviews.csv"
     path.write_text('listing_id,comments\n1,"Great, ""really""\nwould return"\n2,\n')
-    got = [tuple(r) for r in files.read_csv(spark, str(path), "listing_id long, comments string").collect()]
+    got = [tuple(r) for r in files.read_csv(spark, str(path), "listing_id long, comments string", multi_line=True).collect()]
     assert got == [(1, 'Great, "really"\nwould return'), (2, None)]
 
 
 def test_gzip_csv_is_dealt_out(spark, tmp_path):
     path = str(tmp_path / "gz")
     spark.range(100).coalesce(1).write.csv(path, header=True, compression="gzip")
-    df = files.read_csv(spark, path, "id long", spread=4)
+    df = files.read_csv(spark, path, "id long", rebalance=True)
     assert df.count() == 100 and df.rdd.getNumPartitions() == 4
 
 
