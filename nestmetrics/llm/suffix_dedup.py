@@ -16,8 +16,9 @@ stretch of text that their windows cover is a segment.
    by digest instead, one row a window, with partial sums: exact at any size.
 4. The repeated stretches of a text are joined up and cut out.
 
-Texts are told by 128 bits of SHA-256, windows by 128 bits of BLAKE2. Copies of a text share one row of
-repeated stretches; ids and digests together are the keys where texts move, so no key is hot.
+Segments are told by two 64-bit hashes (anchor and segment), windows by 128 bits of BLAKE2. Ids and
+digests together are the keys where texts move, so no key is hot; everything else that is shuffled is
+a few numbers for each anchor, summed first.
 
 Defined cases: null counts as empty. Texts shorter than the length stay, also when they are copies.
 Repeated rows are copies. An empty table gives an empty result. Extra columns play no part. Where texts
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import attach, col, stored, table, text_of
+from nestmetrics.llm.common import col, ship_code, stored, table, text_of
 from nestmetrics.llm.suffix_array import suffix_array
 
 LENGTH = 400
@@ -99,34 +100,49 @@ def text_key(text: bytes) -> tuple[int, int]:
 
 
 def scanned(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Each row's id, text key, length and anchors."""
-    schema = "doc_id long, k1 long, k2 long, n_bytes long, at array<struct<l:long,n:int,a:int,h:long,g:long>>"
-    kind = pa.struct([("l", pa.int64()), ("n", pa.int32()), ("a", pa.int32()), ("h", pa.int64()), ("g", pa.int64())])
+    """Each row's id, text key, own repeats and anchors.
+
+    An anchor is packed as start, number of starts and distance (p), with the hashes of its string (h)
+    and of its segment (g). Of equal segments of one text, as periodic text has in thousands, one is
+    listed, with two places (w); all of them are the text's own repeats.
+    """
+    schema = "doc_id long, k1 long, k2 long, own array<struct<b:long,e:long>>, at array<struct<p:long,h:long,g:long,w:long>>"
+    anchor = pa.struct([(c, pa.int64()) for c in "phgw"])
+    stretch = pa.struct([(c, pa.int64()) for c in "be"])
+
+    def lists(counts, parts, kind):
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)] or [[]] * kind.num_fields
+        flat = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], fields=list(kind))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, counts, parts = [], [], [], []
+            keys, own_counts, counts, own, parts = [], [], [], [], []
             for value in batch.column(1):
                 text = value.as_py()
                 keys.append(text_key(text))
-                sizes.append(len(text))
-                counts.append(0)
-                for first, n, away, hashes in anchors(np.frombuffer(text, dtype=np.uint8), length, gram):
-                    digests = b"".join([
-                        hashlib.blake2b(text[l : l + m], digest_size=8).digest()
-                        for l, m in zip(first.tolist(), (n + length - 1).tolist(), strict=True)
-                    ])
-                    parts.append((first, n.astype(np.int32), away.astype(np.int32), hashes, np.frombuffer(digests, dtype="<i8")))
-                    counts[-1] += len(first)
-            columns = [np.concatenate(x) for x in zip(*parts, strict=True)] or [[]] * 5
-            flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
-            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                found = list(anchors(np.frombuffer(text, dtype=np.uint8), length, gram))
+                first, n, away, hashes = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, dtype=np.int64)] * 4
+                digests = b"".join([
+                    hashlib.blake2b(text[l : l + m], digest_size=8).digest()
+                    for l, m in zip(first.tolist(), (n + length - 1).tolist(), strict=True)
+                ])
+                segment = np.frombuffer(digests, dtype="<i8")
+                _, one, group, times = np.unique(segment, return_index=True, return_inverse=True, return_counts=True)
+                again = times[group] > 1
+                own.append((first[again], (first + n + length - 1)[again]))
+                own_counts.append(int(again.sum()))
+                parts.append(((first << 24 | n << 12 | away)[one], hashes[one], segment[one], np.minimum(times, 2)))
+                counts.append(len(one))
             pairs = np.array(keys, dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
-                names=["doc_id", "k1", "k2", "n_bytes", "at"],
+                [batch.column(0), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), lists(own_counts, own, stretch), lists(counts, parts, anchor)],
+                names=["doc_id", "k1", "k2", "own", "at"],
             )
 
+    if length - gram >= 1 << 12:
+        raise ValueError("the strings must be at most 4095 bytes longer than their anchors")
+    ship_code(docs.sparkSession)
     rows = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text"))
     return rows.mapInArrow(run, schema)
 
@@ -208,19 +224,21 @@ def stretches(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
+def _long_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+
 def _sorted_groups(length: int):
-    """Rows sorted by anchor (h, g, k1, k2, l, a, segment) to repeated stretches (k1, k2, b, e)."""
+    """Rows (h, g, file, l, a, segment) sorted by h to repeated stretches (file, b, e)."""
 
     def solve(rows: dict[int, tuple]) -> Iterator[tuple]:
         if len(rows) > 1:
             group = list(rows.values())
-            for (k1, k2, l, _, _), marks in zip(group, repeated_starts([x[4] for x in group], [x[3] for x in group], length), strict=True):
-                for b, e in stretches(marks):
-                    yield k1, k2, l + b, l + e - 1 + length
-
-    def batch(found: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*found, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "b", "e"])
+            marks = repeated_starts([x[3] for x in group], [x[2] for x in group], length)
+            for (file, l, _, _), found in zip(group, marks, strict=True):
+                for b, e in stretches(found):
+                    yield file, l + b, l + e - 1 + length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, rows = None, {}
@@ -231,25 +249,26 @@ def _sorted_groups(length: int):
                     found.extend(solve(rows))
                     anchor, rows = h, {}
                 rows[g] = rest
-            yield batch(found)
-        yield batch(list(solve(rows)))
+            yield _long_batch(found, ["file", "b", "e"])
+        yield _long_batch(list(solve(rows)), ["file", "b", "e"])
 
     return run
 
 
 def _segments_of(length: int):
-    """Texts with wanted anchors (k1, k2, text, want) to (h, g, k1, k2, l, a, segment)."""
+    """Texts with wanted anchors (file, text, want) to (h, g, file, l, a, segment)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "g", "k1", "k2", "l", "a", "segment"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["h", "g", "file", "l", "a", "segment"]
         for batch in batches:
             rows = []
-            for k1, k2, text, want in zip(*(batch.column(c) for c in ("k1", "k2", "text", "want")), strict=True):
-                k1, k2, text = k1.as_py(), k2.as_py(), text.as_py()
-                rows.extend((w["h"], w["g"], k1, k2, w["l"], w["a"], text[w["l"] : w["l"] + w["n"] + length - 1]) for w in want.as_py())
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+            for file, text, want in zip(*batch.columns, strict=True):
+                file, text = file.as_py(), text.as_py()
+                for w in want.as_py():
+                    l, n, a = w["p"] >> 24, w["p"] >> 12 & 4095, w["p"] & 4095
+                    rows.append((w["h"], w["g"], file, l, a, text[l : l + n + length - 1]))
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.binary())], names=names)
 
     return run
 
@@ -260,64 +279,52 @@ def _windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for k1, k2, l, segment in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "l", "segment")), strict=True):
+            for file, l, segment in zip(*(batch.column(c).to_pylist() for c in ("file", "l", "segment")), strict=True):
                 for i in range(len(segment) - length + 1):
                     digest = hashlib.blake2b(segment[i : i + length], digest_size=16).digest()
-                    rows.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), k1, k2, l + i))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w1", "w2", "k1", "k2", "b"])
+                    rows.append((int.from_bytes(digest[:8], signed=True), int.from_bytes(digest[8:], signed=True), file, l + i))
+            yield _long_batch(rows, ["w1", "w2", "file", "b"])
 
     return run
 
 
-#: Whether rows summed under one key come from more than one place (k1, k2, l).
-SPREAD = "min(k1) <> max(k1) OR min(k2) <> max(k2) OR min(l) <> max(l)"
-
-
 def repeated_stretches(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """doc_id, k1, k2 and cuts (sorted [b, e) of the bytes to go) of each row that has any."""
-    rows = stored(scanned(docs, length, gram), "anchors")
-    total = rows.count()
-    flat = rows.select("k1", "k2", F.explode("at").alias("x")).select("k1", "k2", "x.*")
-    # Anchors whose content stands in more than one place of the different texts.
-    shared = flat.groupBy("h").agg(F.expr(SPREAD).alias("more")).where("more").select("h")
-    places = flat.hint("merge").join(shared.hint("merge"), "h", "left_semi")
-    places = stored(places, "places")
-    segments = places.groupBy("h", "g").agg(F.expr(SPREAD).alias("more"), F.min(F.struct("k1", "k2", "l", "n", "a")).alias("one"))
-    segments = stored(segments, "segments")
-    whole = places.join(segments.where("more").select("h", "g").hint("merge"), ["h", "g"], "left_semi").select(
-        "k1", "k2", F.col("l").alias("b"), (F.col("l") + F.col("n") + length - 1).alias("e")
+    rows = stored(scanned(docs, length, gram).withColumn("file", F.monotonically_increasing_id()), "anchors")
+    flat = rows.select("file", F.explode("at").alias("x")).select("file", "x.*")
+    # Anchors whose string stands in more than one place, and their segments.
+    shared = flat.groupBy("h").agg(F.sum("w").alias("n")).where("n > 1").select("h")
+    places = stored(flat.hint("merge").join(shared.hint("merge"), "h", "left_semi"), "places")
+    segments = stored(places.groupBy("h", "g").agg(F.sum("w").alias("n"), F.min(F.struct("file", "p")).alias("one")), "segments")
+    begin, starts = F.shiftright("p", 24), F.shiftright("p", 12).bitwiseAND(F.lit(4095))
+    whole = places.join(segments.where("n > 1").select("h", "g").hint("merge"), ["h", "g"], "left_semi").select(
+        "file", begin.alias("b"), (begin + starts + length - 1).alias("e")
     )
-    # One of each different segment of the anchors that have several, from one row of its text.
+    # One of each different segment of the anchors that have several.
     sizes = segments.groupBy("h").agg(F.count("*").alias("different")).where("different > 1")
-    mixed = segments.join(sizes.hint("merge"), "h").select("one.*", "h", "g", "different")
-    first_row = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    want = mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "l", "n", "a", "different")).alias("want"))
-    want = want.join(first_row, ["k1", "k2"]).drop("copies")
-    texts = id_and_text(docs)
-    chosen = joined_by_key(texts, want, "inner").select("k1", "k2", "text", "want")
-    shape = "h long, g long, k1 long, k2 long, l long, a long, segment binary"
+    mixed = segments.join(sizes.hint("merge"), "h").select("one.file", "one.p", "h", "g", "different")
+    want = mixed.groupBy("file").agg(F.collect_list(F.struct("p", "h", "g", "different")).alias("want"))
+    ids = rows.select("file", "doc_id", "k1", "k2")
+    want = stored(want.join(ids, "file"), "wanted")
+    some, _ = split_by_key(id_and_text(docs), want)
+    chosen = joined_by_key(some, want, "inner").select("file", "text", "want")
+    shape = "h long, g long, file long, l long, a long, segment binary"
     small = F.filter("want", lambda w: w["different"] <= group)
     pieces = chosen.withColumn("want", small).where(F.size("want") > 0).mapInArrow(_segments_of(length), shape)
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_suffix = pieces.repartition(spread, "h").sortWithinPartitions("h", "g").mapInArrow(_sorted_groups(length), "k1 long, k2 long, b long, e long")
-    cuts = whole.unionByName(by_suffix)
+    sorted_ = pieces.repartition(spread, "h").sortWithinPartitions("h")
+    cuts = whole.unionByName(sorted_.mapInArrow(_sorted_groups(length), "file long, b long, e long"))
+    cuts = cuts.unionByName(rows.select("file", F.explode("own").alias("x")).select("file", "x.*"))
     if not sizes.where(F.col("different") > group).isEmpty():
         large = F.filter("want", lambda w: w["different"] > group)
         pieces = chosen.withColumn("want", large).where(F.size("want") > 0).mapInArrow(_segments_of(length), shape)
-        windows = stored(pieces.mapInArrow(_windows(length), "w1 long, w2 long, k1 long, k2 long, b long"), "windows")
-        again = windows.groupBy("w1", "w2").agg(F.expr(SPREAD.replace("(l)", "(b)")).alias("more")).where("more")
+        windows = stored(pieces.mapInArrow(_windows(length), "w1 long, w2 long, file long, b long"), "windows")
+        again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
         same = windows.join(again.hint("merge"), ["w1", "w2"], "left_semi")
-        cuts = cuts.unionByName(same.select("k1", "k2", "b", (F.col("b") + length).alias("e")))
-    # Copies of a text of that length go whole.
-    copies = rows.where(F.col("n_bytes") >= length).groupBy("k1", "k2", "n_bytes").agg(F.count("*").alias("copies")).where("copies > 1")
-    cuts = cuts.unionByName(copies.select("k1", "k2", F.lit(0).cast("long").alias("b"), F.col("n_bytes").alias("e")))
-    listed = cuts.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct("b", "e"))).alias("cuts"))
-    # Ids are needed beside the keys, so that copies of one text do not meet in one task.
-    key = F.struct("k1", "k2")
-    with_size = stored(listed.join(first_row.drop("doc_id"), ["k1", "k2"]).withColumn("key", key).drop("k1", "k2"), "cuts")
-    ids = rows.select("doc_id", key.alias("key"))
-    return attach(ids, with_size, "key", "copies", total).select("doc_id", "key.k1", "key.k2", "cuts").dropDuplicates(["doc_id", "k1", "k2"])
+        cuts = cuts.unionByName(same.select("file", "b", (F.col("b") + length).alias("e")))
+    listed = cuts.groupBy("file").agg(F.array_sort(F.collect_set(F.struct("b", "e"))).alias("cuts"))
+    listed = listed.join(ids, "file").select("doc_id", "k1", "k2", "cuts")
+    return stored(listed.dropDuplicates(["doc_id", "k1", "k2"]), "cuts")
 
 
 def keyed(df: DataFrame, doc_id, text) -> DataFrame:
@@ -333,6 +340,34 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return keyed(rows, F.col("doc_id"), F.col("text"))
 
 
+#: Bits of the map of keys that says which texts need not be shuffled: 8 MB at any input size.
+KEY_BITS = 1 << 26
+
+
+def split_by_key(texts: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The texts that may have facts (keyed by k1), and those that surely have none.
+
+    The facts' keys mark bits of a map of fixed size, which is broadcast. A bit that other keys mark too
+    costs a shuffle of one text, never a fact.
+    """
+    slot = F.pmod("k1", F.lit(KEY_BITS)) + 1
+    bits = facts.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    marked = texts.withColumns({"bucket": F.bitmap_bucket_number(slot), "bit": F.bitmap_bit_position(slot)})
+    marked = marked.join(F.broadcast(stored(bits, "key-bits")), "bucket", "left")
+    octet = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.expr("shiftright(octet, cast(bit % 8 as int)) & 1") == 1, F.lit(False))
+    marked = marked.withColumn("octet", octet).withColumn("is_set", is_set).drop("bucket", "bits", "bit", "octet")
+    return marked.where("is_set").drop("is_set"), marked.where("NOT is_set").drop("is_set")
+
+
+def with_cuts(texts: DataFrame, cuts: DataFrame) -> DataFrame:
+    """All texts with their cuts or null; those without stay where they are."""
+    some, none = split_by_key(texts, cuts)
+    return joined_by_key(some, cuts, "left").unionByName(none.withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType)))
+
+
 def joined_by_key(texts: DataFrame, facts: DataFrame, how: str) -> DataFrame:
     """Texts with what is known of them, by id and key; the facts are hashed, so texts are not sorted."""
     facts = facts.withColumnsRenamed({"doc_id": "fact_id", "k1": "fact_k1", "k2": "fact_k2"}).hint("shuffle_hash")
@@ -370,7 +405,7 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    found = joined_by_key(id_and_text(docs), repeated_stretches(docs, length), "left")
+    found = with_cuts(id_and_text(docs), repeated_stretches(docs, length))
     return found.select("doc_id", "text", "cuts").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
@@ -399,7 +434,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     plain = docs.toDF(*names)
     texts = keyed(plain, F.col(names[lower.index("doc_id")]), text_of(plain, names[text_at]))
-    found = joined_by_key(texts, repeated_stretches(docs, length), "left")
+    found = with_cuts(texts, repeated_stretches(docs, length))
     return found.select(*names, "cuts").mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
