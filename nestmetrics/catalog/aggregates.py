@@ -332,11 +332,12 @@ def _(m):
 
 @query(
     "duplicate_rows",
-    """SELECT (SELECT count(*) FROM (SELECT room_type, bedrooms, beds FROM listings)) -
-       (SELECT count(*) FROM (SELECT DISTINCT room_type, bedrooms, beds FROM listings)) AS duplicate_rows""",
+    """, doubled AS (SELECT * FROM listings UNION ALL SELECT * FROM listings WHERE price > 100000)
+       SELECT (SELECT count(*) FROM doubled) - (SELECT count(*) FROM (SELECT DISTINCT * FROM doubled)) AS duplicate_rows""",
 )
 def _(m):
-    return profile.duplicate_rows(m.listings.select("room_type", "bedrooms", "beds"))
+    """All columns, over the listings with the dear ones twice, so that there is something to find."""
+    return profile.duplicate_rows(m.listings.unionByName(m.listings.where(F.col("price") > 100000)))
 
 
 @query("distinct_values", "SELECT DISTINCT date FROM calendar WHERE date IS NOT NULL")

@@ -180,16 +180,29 @@ def orphan_sql(label: str, child: str, column: str, parent: str, parent_column:
         orphan_sql("dim_listing.host_key", "dim_listing", "host_key", "dim_host", "host_key"),
         orphan_sql("fact_calendar.date_key", "fact_calendar", "date_key", "dim_date", "date_key"),
         orphan_sql("fact_reviews.date_key", "fact_reviews", "date_key", "dim_date", "date_key"),
+        orphan_sql("dim_listing.neighbourhood_key", "dim_listing", "neighbourhood_key", "dim_neighbourhood", "neighbourhood_key"),
+        orphan_sql("fact_listing_snapshot.listing_key", "fact_listing_snapshot", "listing_key", "dim_listing", "listing_key"),
+        orphan_sql("fact_calendar.listing_id", "fact_calendar", "listing_id", "dim_listing", "listing_id"),
+        orphan_sql("fact_reviews.listing_id", "fact_reviews", "listing_id", "dim_listing", "listing_id"),
     ),
 )
 def _(m):
-    """Review days need not be calendar days, so the last check finds orphans."""
+    """Review days need not be calendar days, so that check finds orphans."""
     s = m.star
-    return (
-        Q.check_foreign_key(s.dim_listing, "host_key", s.dim_host, "host_key", "dim_listing.host_key")
-        .unionByName(Q.check_foreign_key(s.fact_calendar, "date_key", s.dim_date, "date_key", "fact_calendar.date_key"))
-        .unionByName(Q.check_foreign_key(s.fact_reviews, "date_key", s.dim_date, "date_key", "fact_reviews.date_key"))
-    )
+    report = None
+    for label, parent, parent_key in (
+        ("dim_listing.host_key", s.dim_host, "host_key"),
+        ("fact_calendar.date_key", s.dim_date, "date_key"),
+        ("fact_reviews.date_key", s.dim_date, "date_key"),
+        ("dim_listing.neighbourhood_key", s.dim_neighbourhood, "neighbourhood_key"),
+        ("fact_listing_snapshot.listing_key", s.dim_listing, "listing_key"),
+        ("fact_calendar.listing_id", s.dim_listing, "listing_id"),
+        ("fact_reviews.listing_id", s.dim_listing, "listing_id"),
+    ):
+        child, key = label.split(".")
+        part = Q.check_foreign_key(getattr(s, child), key, parent, parent_key, label)
+        report = part if report is None else report.unionByName(part)
+    return report
 
 
 REPORT = stack(

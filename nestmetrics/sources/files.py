@@ -78,15 +78,16 @@ def scan_with_fallback(spark: SparkSession, candidates: Sequence[str], columns:
 def ingest_manifest(spark: SparkSession, root: str, registry: DataFrame, city: str) -> DataFrame:
     """One row per expected file: size, time and whether it is there.
 
-    ``registry`` has file_key, source_url and local_name. Sizes come from the file listing; file
+    ``registry`` has file_key, source_url and local_name, the path below the root. Sizes come from the file listing; file
     contents are not read.
     """
+    folder = root.rstrip("/").split("://")[-1].removeprefix("file:")
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
         .select(
-            F.element_at(F.split("path", "/"), -1).alias("local_name"),
+            F.substring_index("path", f"{folder}/", -1).alias("local_name"),
             F.col("path").alias("_path"),
             F.col("length").alias("_bytes"),
             F.col("modificationTime").alias("_at"),
