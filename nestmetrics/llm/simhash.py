@@ -150,8 +150,8 @@ class TrieWalk:
 
     #: Pairs of subtrees with so few pairs of leaves are compared at once.
     LEAF_PAIRS = 16
-    #: Node pairs in one step; more are walked in turns.
-    FRONT = 1 << 20
+    #: Node pairs in one step; more wait, and the deepest go first, so memory is bounded.
+    FRONT = 1 << 16
 
     def __init__(self, keys: np.ndarray, depth: int, wide: np.ndarray | None = None, wide_most: int = 0):
         self.keys, self.wide, self.wide_most = keys, wide, wide_most
@@ -170,6 +170,9 @@ class TrieWalk:
         waiting = [(0, a, b, wrong)]
         while waiting:
             level, a, b, wrong = waiting.pop()
+            if len(a) > self.FRONT:
+                waiting.append((level, a[self.FRONT :], b[self.FRONT :], wrong[self.FRONT :]))
+                a, b, wrong = a[: self.FRONT], b[: self.FRONT], wrong[: self.FRONT]
             starts = self.levels[level]
             size_a, size_b = starts[a + 1] - starts[a], starts[b + 1] - starts[b]
             # What is one group already has nothing to find.
@@ -181,11 +184,9 @@ class TrieWalk:
                 label = self._compare(starts, a[small], b[small], budgets[-1], label)
             large = open_ & ~small
             a, b, wrong = a[large], b[large], wrong[large]
-            for at in range(0, len(a), self.FRONT):
-                cut = slice(at, at + self.FRONT)
-                below = self._below(level, a[cut], b[cut], wrong[cut], budgets)
-                if len(below[0]):
-                    waiting.append((level + 1, *below))
+            below = self._below(level, a, b, wrong, budgets)
+            if len(below[0]):
+                waiting.append((level + 1, *below))
         return label
 
     def _prefix(self, nodes: np.ndarray) -> np.ndarray:
