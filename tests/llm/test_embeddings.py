@@ -8,7 +8,8 @@ def slow(vectors, cosine):
     units = []
     for v in vectors:
         ok = v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
-        units.append(np.array(v, dtype=float) / np.linalg.norm(v) if ok else None)
+        scaled = np.array(v, dtype=float) / max(map(abs, v)) if ok else None
+        units.append(scaled / np.linalg.norm(scaled) if ok else None)
     near = lambda a, b: a is not None and b is not None and len(a) == len(b) and a @ b >= cosine
     links = [[j for j, b in enumerate(units) if j != i and near(a, b)] for i, a in enumerate(units)]
     label = list(range(len(units)))

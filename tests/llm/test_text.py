@@ -26,6 +26,7 @@ def test_encoding_and_decoding_equal_the_library():
         ids = library.encode(text, add_special_tokens=False).ids
         mine = ours.encode(text)
         assert np.frombuffer(mine, dtype="<u4").tolist() == ids
+        assert bpe.library_codec(PATH).encode(text) == mine
         assert ours.decode(mine) == library.decode(ids, skip_special_tokens=False)
 
 
