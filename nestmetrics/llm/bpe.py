@@ -198,6 +198,19 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
+class LibraryCodec(Codec):
+    """The same ids, words encoded by the tokenizers library's own model."""
+
+    def _word(self, word: str) -> bytes:
+        return b"".join([token.id.to_bytes(4, "little") for token in self.library.model.tokenize(word)])
+
+
+@lru_cache(2)
+def library_codec(path: str) -> LibraryCodec:
+    """One codec for each vocabulary and worker."""
+    return LibraryCodec(path)
+
+
 @lru_cache(2)
 def codec(path: str) -> Codec:
     """One codec for each vocabulary and worker."""

@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.bpe import WORD_BPE, codec
+from nestmetrics.llm.bpe import WORD_BPE, library_codec
 from nestmetrics.llm.common import col, ship_code, stored, table, text_of
 
 CAPACITY = 4096
@@ -75,7 +75,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     tail = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        this = codec(path)
+        this = library_codec(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check_queries import compare, connect
+from nestmetrics import catalog
 
 ROOT = Path(__file__).resolve().parent.parent
 DATA = "/root/testdata/sf0.001"
@@ -71,7 +72,7 @@ def test_every_survey_operator_is_registered():
 
 
 def test_every_query_has_sql_unless_listed():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == WITHOUT_SQL
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == WITHOUT_SQL
 
 
 def test_registry_needs_no_session():
@@ -89,9 +90,9 @@ def database():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()) if os.environ.get("RUN_ALL_QUERIES") else SAMPLE)
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()) if os.environ.get("RUN_ALL_QUERIES") else SAMPLE)
 def test_result_equals_sql(spark, database, name):
-    verdict = compare(entry_module.queries()[name](spark, DATA), database, entry_module.oracle_sql()[name])
+    verdict = compare(catalog.queries()[name](spark, DATA), database, catalog.oracle_sql()[name])
     assert verdict.startswith("ok"), verdict
 
 
@@ -100,7 +101,7 @@ SKIP_PLAN = {n for n in SURVEY_KEYS if n.startswith("ml_")} | {"dash_best_model"
 
 def test_plans_hold_no_python_and_no_cross_joins(spark):
     """Over all queries but the model fits: native expressions, equi-joins, no per-row Python."""
-    for name, build in entry_module.queries().items():
+    for name, build in catalog.queries().items():
         if name in SKIP_PLAN or name.startswith("ml_"):
             continue
         plan = build(spark, DATA)._jdf.queryExecution().executedPlan().toString()
