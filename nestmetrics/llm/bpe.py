@@ -35,8 +35,9 @@ from tokenizers import Tokenizer
 
 from nestmetrics.llm.common import col, ship_code, table, text_of
 
-#: Remembered chunks, words and pairs of one Python worker, about 200 bytes each.
-MEMORY = 250_000
+#: Remembered chunks, words and pairs of one Python worker, about 200 bytes each. Workers live on between
+#: stages, so this is memory that later stages lack.
+MEMORY = 100_000
 #: Longer chunks are not remembered.
 MEMORABLE = 48
 #: Below this code point NFC changes nothing, and case and categories are the same in every library.
