@@ -11,10 +11,10 @@ on (the pigeonhole argument on a ring), and these are the budgets. Subtrees are
 prefixes of p bits, a task gets the fingerprints below one prefix and those of the prefixes within the
 first quarter's budget. p follows the fullest prefix, so a task's share stays bounded as the input grows.
 
-64 bits tell apart what differs in a few bits only. Where near copies at a similarity of 0.8 count, up to
-12 bits differ, and so do those of unlike texts once in some millions of pairs. Then each fingerprint
-has 192 bits more, from the same hashes mixed anew; the trie walks the first 64, and a pair is linked
-if at least 0.8 of all 256 bits agree, which unlike texts never reach.
+64 bits tell apart what differs in a few bits only. Where near copies at a similarity of 0.8 count, each
+fingerprint has 192 bits more, from the same hashes mixed anew, and a pair is linked if at most 51 of the
+256 bits differ. Then some part of 64 bits differs in at most 12, so the trie is walked over each of the
+four parts with that budget, and no pair within the bound is missed.
 
 A task returns links that span its groups, not all pairs: a first walk with a budget of one joins
 what is close, and pairs of subtrees that lie within one group already are left. Links join up in
@@ -146,12 +146,14 @@ def local_groups(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None
 
 
 class TrieWalk:
-    """Walks pairs of nodes of the binary trie over sorted distinct keys."""
+    """Walks pairs of nodes of the binary trie over sorted keys, distinct unless they have wide bits."""
 
     #: Pairs of subtrees with so few pairs of leaves are compared at once.
     LEAF_PAIRS = 16
     #: Node pairs in one step; more wait, and the deepest go first, so memory is bounded.
     FRONT = 1 << 16
+    #: Pairs of leaves compared at a time below equal keys.
+    DENSE = 1 << 18
 
     def __init__(self, keys: np.ndarray, depth: int, wide: np.ndarray | None = None, wide_most: int = 0):
         self.keys, self.wide, self.wide_most = keys, wide, wide_most
@@ -184,6 +186,9 @@ class TrieWalk:
                 label = self._compare(starts, a[small], b[small], budgets[-1], label)
             large = open_ & ~small
             a, b, wrong = a[large], b[large], wrong[large]
+            if self.depth + level == BITS:  # repeated keys that differ in other bits
+                label = self._dense(starts, a, b, budgets[-1], label)
+                continue
             below = self._below(level, a, b, wrong, budgets)
             if len(below[0]):
                 waiting.append((level + 1, *below))
@@ -209,6 +214,17 @@ class TrieWalk:
         within = wrong <= budgets[self.depth + level + 1]
         return x[within], y[within], wrong[within].astype(np.int8)
 
+    def _dense(self, starts, a, b, most, label):
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            right = np.arange(starts[y], starts[y + 1])
+            step = max(1, self.DENSE // len(right))
+            for at in range(starts[x], starts[x + 1], step):
+                left = np.arange(at, min(at + step, starts[x + 1]))
+                u, v = np.repeat(left, len(right)), np.tile(right, len(left))
+                apart = label[u] != label[v]
+                label = self._near(u[apart], v[apart], most, label)
+        return label
+
     def _compare(self, starts, a, b, most, label):
         size_a, size_b = starts[a + 1] - starts[a], starts[b + 1] - starts[b]
         n = size_a * size_b
@@ -216,6 +232,9 @@ class TrieWalk:
         within = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
         u = starts[a][pair] + within // size_b[pair]
         v = starts[b][pair] + within % size_b[pair]
+        return self._near(u, v, most, label)
+
+    def _near(self, u, v, most, label):
         apart = np.bitwise_count(self.keys[u] ^ self.keys[v]).astype(np.int64)
         near = (u != v) & (apart <= most)
         if self.wide is not None:
@@ -241,12 +260,19 @@ def turned(fp: Column, turn: Column) -> Column:
 def trie_links(prints: DataFrame, most: int = 4, wide_most: int = 0, task_rows: int = TASK_ROWS) -> DataFrame:
     """Links (u, v) that span the groups of fingerprints within so many bits.
 
-    prints: distinct fp; with a bound for all bits, also wide.
+    prints: distinct fp. With a bound for all bits, distinct (fp, wide) and a number of each, node, that
+    the links hold; most is then the budget of each part of 64 bits.
     """
     flips = most // TURNS  # bits that may differ in the first quarter
-    more = ["wide"] if wide_most else []
-    turns = prints.select("fp", *more, F.explode(F.array([F.lit(k) for k in range(TURNS)])).alias("turn"))
-    turns = turns.withColumn("key", turned(F.col("fp"), F.col("turn")))
+    more = ["wide", "node"] if wide_most else []
+    if wide_most:  # each part in turn is the key, the others are wide
+        parts = F.concat(F.array("fp"), "wide")
+        each = F.transform(parts, lambda x, i: F.struct(i.alias("part"), x.alias("fp"), F.filter(parts, lambda _, j: j != i).alias("wide")))
+        prints = prints.select(F.inline(each), "node")
+    else:
+        prints = prints.select(F.lit(0).alias("part"), "fp")
+    turns = prints.select("fp", "part", *more, F.explode(F.array([F.lit(k) for k in range(TURNS)])).alias("turn"))
+    turns = turns.withColumn("key", turned(F.col("fp"), F.col("turn"))).withColumn("turn", F.col("part") * TURNS + F.col("turn"))
     # The shortest prefix under which no task gets too much.
     masks = {p: [m for m in range(1 << p) if m.bit_count() <= flips] for p in range(2, QUARTER + 1, 2)}
     counts = turns.groupBy("turn", F.shiftrightunsigned("key", BITS - QUARTER).alias("top")).agg(F.count("*").alias("n"))
@@ -278,6 +304,9 @@ def trie_links(prints: DataFrame, most: int = 4, wide_most: int = 0, task_rows:
                 within = [min(k, x) for x in allowed]
                 label = walk.links(np.minimum(mine, others), np.maximum(mine, others), within, label)
         linked = np.flatnonzero(label != np.arange(len(keys)))
+        if wide_most:
+            node = group.column("node").to_numpy()[order]
+            return pa.table({"u": node[linked], "v": node[label[linked]]})
         back = np.uint64(turn * QUARTER)
         plain = keys if not turn else (keys >> back) | (keys << (np.uint64(BITS) - back))
         plain = plain.view(np.int64)
@@ -286,24 +315,34 @@ def trie_links(prints: DataFrame, most: int = 4, wide_most: int = 0, task_rows:
     return dealt.groupBy("turn", "prefix").applyInArrow(run, "u long, v long")
 
 
-def near_groups(rows: DataFrame, most: int = 4, wide_most: int = 0) -> DataFrame:
-    """Rows (doc_id, fp, ...; stored) with component_id, the smallest id reachable by links.
-
-    Equal fingerprints are linked, whatever their further bits.
-    """
-    wide = [F.any_value("wide").alias("wide")] if wide_most else []
-    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"), *wide), "fingerprints")
-    roots = components(trie_links(prints, most, wide_most))
+def near_groups(rows: DataFrame, most: int = 4) -> DataFrame:
+    """Rows (doc_id, fp, ...; stored) with component_id, the smallest id reachable by links."""
+    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")), "fingerprints")
+    roots = components(trie_links(prints, most))
     groups = smallest_members(prints.select(F.col("fp").alias("node"), "id"), roots)
     groups = stored(groups.withColumnRenamed("node", "fp").join(prints.select("fp", "rows"), "fp"), "groups")
     total = prints.agg(F.sum("rows")).first()[0] or 0
-    return attach(rows.drop("wide"), groups, "fp", "rows", total)
+    return attach(rows, groups, "fp", "rows", total)
 
 
-#: Bits of 256 that differ at most at a similarity of 0.8, and bits of the 64 that the trie walks.
+#: Bits of 256 that differ at most at a similarity of 0.8, and bits of some part of 64 then.
 WIDE_PARTS = 4
 WIDE_MOST = BITS * WIDE_PARTS // 5
-NEAR_MOST = BITS // 5
+NEAR_MOST = WIDE_MOST // WIDE_PARTS
+
+
+def candidate_groups(texts: DataFrame) -> DataFrame:
+    """Texts (fp, wide, ...; stored) that have others within WIDE_MOST bits, with their group (long).
+
+    A group is what chains of such pairs connect; equal fingerprints are in one group.
+    """
+    nodes = texts.groupBy("fp", "wide").agg(F.count("*").alias("texts"))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "fingerprints")
+    roots = components(trie_links(nodes, NEAR_MOST, WIDE_MOST))
+    groups = nodes.join(roots, "node", "left").where("root IS NOT NULL OR texts > 1")
+    groups = stored(groups.select("fp", "wide", "texts", F.coalesce("root", "node").alias("group")), "groups")
+    total = nodes.agg(F.sum("texts")).first()[0] or 0
+    return attach(texts, groups, ["fp", "wide"], "texts", total).drop("texts")
 
 
 def drop_near_copies(docs: DataFrame, words_in_shingle: int = 5) -> DataFrame:
@@ -311,12 +350,13 @@ def drop_near_copies(docs: DataFrame, words_in_shingle: int = 5) -> DataFrame:
 
     Of equal ids, that with the smallest digest stays.
     """
-    rows = stored(fingerprints(docs, words_in_shingle, WIDE_PARTS, repeats=False, digest=True), "simhash")
-    grouped = near_groups(rows, NEAR_MOST, WIDE_MOST)
-    # A group without ids is told by its fingerprint alone.
+    rows = fingerprints(docs, words_in_shingle, WIDE_PARTS, repeats=False, digest=True)
+    texts = stored(rows.groupBy("digest", "fp", "wide").agg(F.min("doc_id").alias("doc_id")), "simhash")
+    members = stored(candidate_groups(texts), "candidates")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
-    kept = grouped.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).agg(F.min(first).alias("first"))
-    return keep_rows(docs, kept.select("first.doc_id", "first.digest"))
+    firsts = members.groupBy("group").agg(F.min(first).alias("first")).select("first.doc_id", "first.digest")
+    alone = texts.join(members.select("digest"), "digest", "left_anti")
+    return keep_rows(docs, alone.select("doc_id", "digest").unionByName(firsts))
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

@@ -77,6 +77,30 @@ def test_trie_join_finds_the_groups_of_all_pairs(spark, most):
     assert len(set(zip(got, label))) == len(set(got)) == len(set(label))
 
 
+@pytest.mark.parametrize("base_parts", [4])
+def test_wide_trie_join_finds_the_groups_of_all_pairs(spark, base_parts):
+    """All pairs within 51 of 256 bits, however the bits lie in the parts; base_parts 1: many equal first parts."""
+    rnd = random.Random(base_parts)
+    most, prints = simhash.WIDE_MOST, set()
+    for _ in range(40):
+        base = rnd.getrandbits(64 * base_parts) << 64 * (4 - base_parts) | rnd.getrandbits(64 * (4 - base_parts) + 1)
+        for n in (0, most, most, most + 1):
+            prints.add(base ^ sum(1 << k for k in rnd.sample(range(256 if base_parts > 1 else 192), n)))
+    if base_parts == 1:  # one first part for all
+        prints = {p & (1 << 192) - 1 | 5 << 192 for p in prints}
+    prints = sorted(prints)
+    rows = []
+    for i, p in enumerate(prints):
+        parts = [int(np.uint64(p >> s & (1 << 64) - 1).view(np.int64)) for s in (192, 128, 64, 0)]
+        rows.append((parts[0], parts[1:], i))
+    frame = spark.createDataFrame(rows, "fp long, wide array<long>, node long")
+    links = simhash.trie_links(frame, simhash.NEAR_MOST, most, task_rows=500)
+    roots = {r["node"]: r["root"] for r in components(links).collect()}
+    got, label = [roots.get(i, i) for i in range(len(prints))], slow_groups(prints, most)
+    assert len(set(label)) < len(label)
+    assert len(set(zip(got, label))) == len(set(got)) == len(set(label))
+
+
 def test_near_groups_cases(spark, docs):
     line = " ".join(f"w{i}" for i in range(400))
     frame = docs([(3, line), (9, line + " end"), (1, None), (2, "  "), (None, line), (5, "other words here altogether"), (5, "other words here altogether")])
