@@ -77,7 +77,7 @@ def test_trie_join_finds_the_groups_of_all_pairs(spark, most):
     assert len(set(zip(got, label))) == len(set(got)) == len(set(label))
 
 
-@pytest.mark.parametrize("base_parts", [4])
+@pytest.mark.parametrize("base_parts", [4, 1])
 def test_wide_trie_join_finds_the_groups_of_all_pairs(spark, base_parts):
     """All pairs within 51 of 256 bits, however the bits lie in the parts; base_parts 1: many equal first parts."""
     rnd = random.Random(base_parts)
