@@ -16,6 +16,11 @@ fingerprint has 192 bits more, from the same hashes mixed anew, and a pair is li
 256 bits differ. Then some part of 64 bits differs in at most 12, so the trie is walked over each of the
 four parts with that budget, and no pair within the bound is missed.
 
+Bits only propose such pairs: within the groups that they form, texts are linked if the exact Jaccard
+similarity of their sets of shingles (64-bit hashes) is at least 0.8. Groups are compared by an inverted
+index, many small ones or one in a task. In a group too large for that, each text is first held against
+one of the group; those not near it, if any, are dealt in blocks against blocks of the whole group.
+
 A task returns links that span its groups, not all pairs: a first walk with a budget of one joins
 what is close, and pairs of subtrees that lie within one group already are left. Links join up in
 ``components``. Copies of a fingerprint count once, so no group of copies is expanded.
@@ -79,14 +84,10 @@ def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1, repeats: bool = True) -> list[int]:
-    """SimHash of a text's word shingles in parts of 64 bits; zero without words.
-
-    Repeats count each time, or once only.
-    """
+def shingle_hashes(text: bytes, words_in_shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's word shingles, a segment at a time; fewer words make one shingle."""
     hashed = xxhash.xxh64_intdigest
-    total, counts, before = 0, np.zeros((parts, BITS), dtype=np.int64), []
-    seen = np.zeros(0, dtype=np.uint64)
+    none, before = True, []
     for words in segments(text.lower()):
         words = before + words
         if len(words) < words_in_shingle:
@@ -98,16 +99,26 @@ def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1, repeats:
         starts = (ends - lengths)[: len(words) - words_in_shingle + 1].tolist()
         stops = (ends[words_in_shingle - 1 :] - 1).tolist()
         hashes = np.array([hashed(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
+        yield hashes
+        none, before = False, words[len(words) - words_in_shingle + 1 :]
+    if none and before:
+        yield np.array([hashed(b" ".join(before), SEED)], dtype=np.uint64)
+
+
+def fingerprint(text: bytes, words_in_shingle: int = 4, parts: int = 1, repeats: bool = True) -> list[int]:
+    """SimHash of a text's word shingles in parts of 64 bits; zero without words.
+
+    Repeats count each time, or once only.
+    """
+    total, counts = 0, np.zeros((parts, BITS), dtype=np.int64)
+    seen = np.zeros(0, dtype=np.uint64)
+    for hashes in shingle_hashes(text, words_in_shingle):
         if not repeats:
             hashes = np.setdiff1d(hashes, seen)
             seen = np.union1d(seen, hashes)
         for k in range(parts):
             counts[k] += bit_counts(mixed(hashes, k))
         total += len(hashes)
-        before = words[len(words) - words_in_shingle + 1 :]
-    if not total and before:
-        whole = np.array([hashed(b" ".join(before), SEED)], dtype=np.uint64)
-        return [int(mixed(whole, k)[0]) for k in range(parts)]
     return [sum(1 << b for b in np.flatnonzero(row * 2 > total).tolist()) for row in counts]
 
 
@@ -345,17 +356,153 @@ def candidate_groups(texts: DataFrame) -> DataFrame:
     return attach(texts, groups, ["fp", "wide"], "texts", total).drop("texts")
 
 
+#: Shingles of the texts that one task compares, and of one block of a larger group.
+BLOCK = 1 << 16
+#: Bytes of shingle sets in one Arrow batch.
+SETS_BATCH = 16 << 20
+
+
+def shingle_sets(docs: DataFrame, words_in_shingle: int) -> DataFrame:
+    """digest and shingles (sorted distinct hashes) of each row."""
+    schema = pa.schema([("digest", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets, at, held = [], 0, 0
+            for i, text in enumerate(batch.column(0)):
+                found = [np.unique(h) for h in shingle_hashes(text.as_py(), words_in_shingle)]
+                found = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+                sets.append(found.view(np.int64))
+                held += found.nbytes
+                if held > SETS_BATCH or i == len(batch) - 1:
+                    lists = pa.array(sets, pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(sets)), lists], schema=schema)
+                    sets, at, held = [], i + 1, 0
+
+    ship_code(docs.sparkSession)
+    text = text_of(docs)
+    return docs.select(text.cast("binary").alias("text"), digest_of(text).alias("digest")).mapInArrow(run, "digest binary, shingles array<long>")
+
+
+def near_sets(sets: list[np.ndarray], label: np.ndarray, asked: np.ndarray, anchor: int) -> np.ndarray:
+    """Groups after linking the sets asked with all others at a Jaccard similarity of at least 0.8.
+
+    label may have more members than there are sets. What is in the anchor's group is left: of a pair
+    not compared, both are in it, or it is compared where its other set is asked.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(codes, kind="stable")
+    owner = np.repeat(np.arange(n), sizes)[order]
+    ends = np.cumsum(np.bincount(codes)) if len(codes) else np.zeros(0, np.int64)
+    first = np.cumsum(sizes) - sizes
+    for x in asked.tolist():
+        if x != anchor and label[x] == label[anchor]:
+            continue
+        own = codes[first[x] : first[x] + sizes[x]]
+        starts = np.where(own > 0, ends[own - 1], 0)
+        held = ends[own] - starts
+        at = np.repeat(starts - (np.cumsum(held) - held), held) + np.arange(held.sum())
+        common = np.bincount(owner[at], minlength=n)
+        # common / (a + b - common) >= 4 / 5, in whole numbers
+        near = np.flatnonzero((9 * common >= 4 * (sizes + sizes[x])) & (label[:n] != label[x]))
+        label = local_groups(len(label), np.full(len(near), x), near, label)
+    return label
+
+
+def near_links(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links (u, v) that span the parts of each group that chains of pairs at 0.8 connect.
+
+    members: (member, group, shingles), stored; each member once.
+    """
+    schema = "u long, v long"
+    weight = F.greatest(F.size("shingles"), F.lit(1)).cast("long")
+    sizes = stored(members.groupBy("group").agg(F.sum(weight).alias("weight"), F.min("member").alias("pivot")), "group-sizes")
+    large = sizes.where(F.col("weight") > block)
+    many = large.count()
+    light = sizes.where(F.col("weight") <= block).agg(F.sum("weight")).first()[0] or 0
+
+    def sets_of(table: pa.Table) -> list[np.ndarray]:
+        lists = table.column("shingles").combine_chunks()
+        flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    def small(bucket: pa.Table) -> pa.Table:
+        bucket = bucket.take(pa.array(np.argsort(bucket.column("group").to_numpy(), kind="stable")))
+        member, group, sets = bucket.column("member").to_numpy(), bucket.column("group").to_numpy(), sets_of(bucket)
+        starts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+        u, v = [], []
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            label = near_sets(sets[a:b], np.arange(b - a), np.arange(b - a), 0)
+            linked = np.flatnonzero(label != np.arange(b - a))
+            u.append(member[a + linked])
+            v.append(member[a + label[linked]])
+        return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
+
+    buckets = 1 + light * 8 // block
+    each = members.join(F.broadcast(large.select("group")), "group", "left_anti") if many else members
+    each = each.withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
+    links = each.groupBy("bucket").applyInArrow(small, schema)
+    if not many:
+        return links
+
+    wide = members.join(F.broadcast(large), "group")
+    pivots = wide.where("member = pivot").select("group", F.col("shingles").alias("model"))
+    common = F.size(F.array_intersect("shingles", "model"))
+    near = 9 * common >= 4 * (F.size("shingles") + F.size("model"))
+    # Large groups are few for their size; only very many of them are left to a shuffle.
+    wide = wide.join(F.broadcast(pivots) if many <= 1000 else pivots, "group").withColumn("near", near).drop("model")
+    wide = stored(wide, "large-groups")
+    links = links.unionByName(wide.where("near AND member <> pivot").select(F.col("member").alias("u"), F.col("pivot").alias("v")))
+    loose = wide.where("NOT near")
+    blocks = loose.groupBy("group").agg(F.ceil(F.sum(weight) / block).alias("loose_blocks"))
+    blocks = stored(blocks.join(large.select("group", F.ceil(F.col("weight") / block).alias("all_blocks")), "group"), "blocks")
+    if blocks.isEmpty():
+        return links
+    dealt = F.xxhash64("member")
+    row, column = F.pmod(dealt, F.col("loose_blocks")), F.pmod(dealt, F.col("all_blocks"))
+    kept = ["group", "member", "pivot", "near", "shingles"]
+    rows = loose.join(F.broadcast(blocks), "group").withColumn("row", row)
+    rows = rows.select(*kept, "row", F.explode(F.expr("sequence(0, all_blocks - 1)")).alias("column"), F.lit(True).alias("asked"))
+    columns = wide.join(F.broadcast(blocks), "group").withColumn("column", column)
+    columns = columns.select(*kept, F.explode(F.expr("sequence(0, loose_blocks - 1)")).alias("row"), "column", F.lit(False).alias("asked"))
+
+    def large_pair(block: pa.Table) -> pa.Table:
+        member, pivot = block.column("member").to_numpy(), block.column("pivot")[0].as_py()
+        near, asked = (block.column(c).to_numpy() for c in ("near", "asked"))
+        n = len(member)
+        # One more member stands for the pivot, and what is near it is in its group. Who is asked may
+        # be among the others too.
+        label = np.where(np.append(near, True), n, np.arange(n + 1))
+        label[label == n] = np.flatnonzero(label == n)[0]
+        label = near_sets(sets_of(block), label, np.flatnonzero(asked), n)
+        names = np.append(member, pivot)
+        linked = np.flatnonzero(label != np.arange(n + 1))
+        return pa.table({"u": names[linked], "v": names[label[linked]]})
+
+    pairs = rows.unionByName(columns).groupBy("group", "row", "column").applyInArrow(large_pair, schema)
+    return links.unionByName(pairs)
+
+
 def drop_near_copies(docs: DataFrame, words_in_shingle: int = 5) -> DataFrame:
     """One document of each group at a similarity of 0.8: the one with the smallest id.
 
-    Of equal ids, that with the smallest digest stays.
+    Groups are what chains of pairs with a Jaccard similarity of at least 0.8 connect. Of equal ids,
+    that with the smallest digest stays.
     """
     rows = fingerprints(docs, words_in_shingle, WIDE_PARTS, repeats=False, digest=True)
     texts = stored(rows.groupBy("digest", "fp", "wide").agg(F.min("doc_id").alias("doc_id")), "simhash")
-    members = stored(candidate_groups(texts), "candidates")
+    found = stored(candidate_groups(texts).select("doc_id", "digest", "group"), "candidates")
+    sets = shingle_sets(keep_rows(docs, found.select("doc_id", "digest")), words_in_shingle)
+    members = sets.join(found, "digest").withColumn("member", F.monotonically_increasing_id())
+    members = stored(members, "shingles")
+    roots = components(near_links(members.select("member", "group", "shingles")))
+    linked = members.select("doc_id", "digest", F.col("member").alias("node")).join(roots, "node")
+    linked = stored(linked.select("doc_id", "digest", "root"), "near-copies")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
-    firsts = members.groupBy("group").agg(F.min(first).alias("first")).select("first.doc_id", "first.digest")
-    alone = texts.join(members.select("digest"), "digest", "left_anti")
+    firsts = linked.groupBy("root").agg(F.min(first).alias("first")).select("first.doc_id", "first.digest")
+    alone = texts.join(linked.select("digest"), "digest", "left_anti")
     return keep_rows(docs, alone.select("doc_id", "digest").unionByName(firsts))
 
 

@@ -111,6 +111,65 @@ def test_near_groups_cases(spark, docs):
     assert simhash.drop_near_copies(docs([])).count() == 0
 
 
+def edited(rnd, words, share):
+    return [f"e{rnd.getrandbits(40)}" if rnd.random() < share else w for w in words]
+
+
+def slow_sets(texts, n=5):
+    out = []
+    for t in texts:
+        w = t.lower().split()
+        out.append({" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    return out
+
+
+def slow_near(sets):
+    """Components of all pairs with Jaccard of at least 0.8."""
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) * 5 >= len(a | b) * 4 and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_near_copies_are_those_of_all_pairs_at_their_jaccard(spark, docs):
+    """Texts edited to shingle similarities of about 0.6 to 0.95, short ones and ones without words."""
+    rnd = random.Random(3)
+    texts = ["", " ", "a b", "a  B", "a b c", "p q r s t u v w x y", "p q r s t u v w x z"]
+    for share in (0.005, 0.01, 0.015, 0.02, 0.025, 0.03, 0.035, 0.04) * 5:
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randint(300, 700))]
+        texts += [" ".join(base)] + [" ".join(edited(rnd, base, share)) for _ in range(2)]
+    label = slow_near(slow_sets(texts))
+    assert len(set(label)) > 50
+    kept = simhash.drop_near_copies(docs(list(enumerate(texts))))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label))
+
+
+@pytest.mark.parametrize("block", [1 << 16, 3000])
+def test_near_links_of_small_and_large_groups(spark, block):
+    """Groups with chains, many copies of one text and texts near none; large ones go in blocks."""
+    rnd = random.Random(8)
+    rows, sets, groups = [], [], []
+    for g in range(3):
+        base = rnd.sample(range(10**6), 200)
+        for _ in range(30):
+            some = rnd.sample(range(200), rnd.randint(0, 30))
+            sets.append({rnd.randrange(10**6, 10**7) if i in some else x for i, x in enumerate(base)})
+        chain = list(rnd.sample(range(10**7, 10**8), 200))
+        for k in range(12):
+            sets.append({x + 10**9 if i < 15 * k else x for i, x in enumerate(chain)})
+        sets += [set(), set()]
+        groups += [g] * 44
+    rows = [(i, g, sorted(x)) for i, (g, x) in enumerate(zip(groups, sets))]
+    frame = simhash.stored(spark.createDataFrame(rows, "member long, group long, shingles array<long>"), "t")
+    roots = {r["node"]: r["root"] for r in components(simhash.near_links(frame, block)).collect()}
+    got = [roots.get(i, -1 - i) for i in range(len(rows))]
+    label = [(g, x) for g in range(3) for x in slow_near(sets[44 * g : 44 * g + 44])]
+    assert len(set(zip(got, label))) == len(set(got)) == len(set(label))
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(50)]
