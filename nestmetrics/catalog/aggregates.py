@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from nestmetrics.catalog.registry import query
+from nestmetrics.catalog.oracle_views import VIEWS
+from nestmetrics.catalog.registry import ORACLES, query
 from nestmetrics.functions import exprs as E
 from nestmetrics.operators.histogram import histogram
 from nestmetrics.operators.ordering import dedupe_keep_first
@@ -330,6 +332,57 @@ def _(m):
     )
 
 
+LISTING_TYPES = """id bigint, name string, description string, host_id bigint, host_name string, host_since date,
+    host_is_superhost boolean, host_total_listings_count double, neighbourhood_cleansed string,
+    neighbourhood_group_cleansed string, latitude double, longitude double, property_type string, room_type string,
+    accommodates int, bathrooms double, bathrooms_text string, bedrooms double, beds double, price double,
+    minimum_nights int, maximum_nights int, availability_30 int, availability_60 int, availability_90 int,
+    availability_365 int, number_of_reviews int, number_of_reviews_ltm int, last_review date,
+    review_scores_rating double, review_scores_accuracy double, review_scores_cleanliness double,
+    review_scores_checkin double, review_scores_communication double, review_scores_location double,
+    review_scores_value double, instant_bookable boolean, calculated_host_listings_count int,
+    reviews_per_month double"""
+
+
+def _opened(read):
+    """The table, or what kept it from being opened; its path is left out of the message."""
+    try:
+        return read()
+    except AnalysisException as error:
+        return ValueError(error.getCondition())
+
+
+@query(
+    "profile_columns_all_tables",
+    ORACLES["profile_columns"].removeprefix(VIEWS)
+    + "\nUNION ALL "
+    + profile_sql(
+        "listings",
+        "listings",
+        [
+            (name, dtype, None if dtype in ("string", "boolean") else name)
+            for name, dtype in (column.split() for column in LISTING_TYPES.split(","))
+        ],
+    )
+    + "\nUNION ALL "
+    + profile_sql(
+        "neighbourhoods", "neighbourhoods", [("neighbourhood_group", "string", None), ("neighbourhood", "string", None)]
+    )
+    + """\nUNION ALL SELECT 'missing', 'missing.csv', 'ERROR', 'PATH_NOT_FOUND', 0, 0, 0, 0.0, 0, 0,
+            NULL::VARCHAR, NULL::VARCHAR""",
+)
+def _(m):
+    """Every table, and one that cannot be opened."""
+    tables = {
+        "calendar": lambda: m.calendar,
+        "reviews": lambda: m.reviews,
+        "listings": lambda: m.listings,
+        "neighbourhoods": lambda: m.neighbourhoods,
+        "missing": lambda: m.table("no-such-table"),
+    }
+    return profile.profile_tables(m.spark, {key: (f"{key}.csv", _opened(read)) for key, read in tables.items()})
+
+
 @query(
     "duplicate_rows",
     """, doubled AS (SELECT * FROM listings UNION ALL SELECT * FROM listings WHERE price > 100000)

@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from check_queries import compare, connect
@@ -96,6 +97,14 @@ def test_result_equals_sql(spark, database, name):
     assert verdict.startswith("ok"), verdict
 
 
+def test_profile_of_all_tables(spark, database):
+    report = catalog.queries()["profile_columns_all_tables"](spark, DATA)
+    keys = {r.file_key: r.n for r in report.groupBy("file_key").agg(F.count("*").alias("n")).collect()}
+    assert keys == {"calendar": 7, "reviews": 6, "listings": 39, "neighbourhoods": 2, "missing": 1}
+    verdict = compare(report, database, catalog.oracle_sql()["profile_columns_all_tables"])
+    assert verdict.startswith("ok"), verdict
+
+
 SKIP_PLAN = {n for n in SURVEY_KEYS if n.startswith("ml_")} | {"dash_best_model", "warehouse_overwrite"}
 
 
