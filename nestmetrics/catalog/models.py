@@ -140,9 +140,9 @@ def _(m):
     return _result(m, "Gradient-Boosted Trees")
 
 
-def _results(m):
+def _results(m, names=ml.MODELS):
     report = None
-    for name in ml.MODELS:
+    for name in names:
         row = _result(m, name)
         report = row if report is None else report.unionByName(row)
     return report
@@ -172,7 +172,9 @@ def _(m):
 @query("ml_feature_importance")
 def _(m):
     """The weightiest features of the best model that has weights."""
-    return ml.feature_importance(m.prepared, "Random Forest", _model(m, "Random Forest"))
+    weighted = [name for name in ml.MODELS if hasattr(_model(m, name), "featureImportances")]
+    best = ml.best_model(_results(m, weighted)).first()["model"]
+    return ml.feature_importance(m.prepared, best, _model(m, best))
 
 
 @query("dash_best_model")

@@ -1,10 +1,13 @@
 """Price models on a small table with a known price formula."""
 
 import math
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from nestmetrics import catalog
+from nestmetrics.catalog import models, registry
 from nestmetrics.plans import ml
 
 
@@ -70,6 +73,19 @@ def test_models_learn_the_formula(prepared):
     assert len(weights) == 3 and "bedrooms" in {w.feature for w in weights}
 
 
+@pytest.mark.parametrize("best", ["Random Forest", "Gradient-Boosted Trees"])
+def test_importance_is_that_of_the_best_model(spark, prepared, monkeypatch, best):
+    """The linear model is better still, but has no importances."""
+    small = {"Random Forest": lambda: ml.random_forest(1, 1), "Gradient-Boosted Trees": lambda: ml.boosted_trees(1, 1)}
+    small[best] = {"Random Forest": lambda: ml.random_forest(5, 6), "Gradient-Boosted Trees": lambda: ml.boosted_trees(5, 4)}[best]
+    monkeypatch.setattr(ml, "MODELS", {"Linear Regression": ml.linear_regression, **small})
+    query = catalog.queries()["ml_feature_importance"]
+    monkeypatch.setattr(registry, "market", lambda spark, sf_dir: SimpleNamespace(prepared=prepared))
+    models._fitted.cache_clear()
+    assert {r.model for r in query(spark, "").collect()} == {best}
+    models._fitted.cache_clear()
+
+
 def test_boosting_settings():
     assert ml.boosted_trees.__defaults__ == (200, 6) and ml.random_forest.__defaults__ == (100, 10)
 
