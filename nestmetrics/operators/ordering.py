@@ -20,38 +20,54 @@ def with_levels(df: DataFrame, order_by: str) -> DataFrame:
     return df.withColumns({"_b1": b1, "_b2": b2})
 
 
-def bucket_offsets(leveled: DataFrame, weights: Mapping[str, Column]) -> DataFrame:
-    """Per (``_b1``, ``_b2``): the total of each weight over all earlier buckets.
+def bucket_offsets(
+    leveled: DataFrame, weights: Mapping[str, Column], keys: Sequence[str] = (), totals: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Per key and (``_b1``, ``_b2``): the total of each weight over all earlier buckets of the key.
 
-    The windows run over bucket totals only, whose number is bounded by the bucket codes.
+    ``totals`` are sums over all of the key's rows, which come along. The windows run over bucket totals
+    only, whose number is bounded by the bucket codes.
     """
-    totals = leveled.groupBy("_b1", "_b2").agg(*[F.sum(w).alias(n) for n, w in weights.items()])
-    inner = Window.partitionBy("_b1").orderBy("_b2").rowsBetween(*_EARLIER)
-    outer = Window.orderBy("_b1").rowsBetween(*_EARLIER)
+    totals = totals or {}
+    sums = leveled.groupBy(*keys, "_b1", "_b2").agg(*[F.sum(w).alias(n) for n, w in {**weights, **totals}.items()])
+    inner = Window.partitionBy(*keys, "_b1").orderBy("_b2").rowsBetween(*_EARLIER)
+    outer = Window.partitionBy(*keys).orderBy("_b1").rowsBetween(*_EARLIER)
     zero = F.lit(0)
-    within = totals.select(
-        "_b1", "_b2", *[F.coalesce(F.sum(n).over(inner), zero).alias(f"_in_{n}") for n in weights]
+    within = sums.select(
+        *keys, "_b1", "_b2", *[F.coalesce(F.sum(n).over(inner), zero).alias(f"_in_{n}") for n in weights]
     )
     before = (
-        totals.groupBy("_b1")
-        .agg(*[F.sum(n).alias(n) for n in weights])
-        .select("_b1", *[F.coalesce(F.sum(n).over(outer), zero).alias(f"_out_{n}") for n in weights])
+        sums.groupBy(*keys, "_b1")
+        .agg(*[F.sum(n).alias(n) for n in [*weights, *totals]])
+        .select(
+            *keys,
+            "_b1",
+            *[F.coalesce(F.sum(n).over(outer), zero).alias(f"_out_{n}") for n in weights],
+            *[F.sum(n).over(Window.partitionBy(*keys)).alias(n) for n in totals],
+        )
     )
-    return within.join(before, "_b1").select(
-        "_b1", "_b2", *[(F.col(f"_in_{n}") + F.col(f"_out_{n}")).alias(f"_start_{n}") for n in weights]
+    return within.join(before, [*keys, "_b1"]).select(
+        *keys, "_b1", "_b2", *[(F.col(f"_in_{n}") + F.col(f"_out_{n}")).alias(f"_start_{n}") for n in weights], *totals
     )
 
 
-def prefix_sums(df: DataFrame, order_by: str, weights: Mapping[str, str]) -> DataFrame:
-    """Add, for each ``output: weight column``, the weight total of all rows before this one.
+def prefix_sums(
+    df: DataFrame,
+    order_by: str,
+    weights: Mapping[str, str],
+    keys: Sequence[str] = (),
+    totals: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Add, for each ``output: weight column``, the weight total of all of the key's rows before this one.
 
-    ``order_by`` must be unique per row; group and sum first where it is not.
+    ``order_by`` must be unique per key and row; group and sum first where it is not. Keys must not be
+    null. ``totals`` adds sums over all of the key's rows.
     """
     leveled = with_levels(df, order_by)
-    offsets = bucket_offsets(leveled, {n: F.col(w) for n, w in weights.items()})
-    here = Window.partitionBy("_b1", "_b2").orderBy(order_by).rowsBetween(*_EARLIER)
+    offsets = bucket_offsets(leveled, {n: F.col(w) for n, w in weights.items()}, keys, totals)
+    here = Window.partitionBy(*keys, "_b1", "_b2").orderBy(order_by).rowsBetween(*_EARLIER)
     return (
-        leveled.join(offsets, ["_b1", "_b2"])
+        leveled.join(offsets, [*keys, "_b1", "_b2"])
         .withColumns(
             {
                 n: F.col(f"_start_{n}") + F.coalesce(F.sum(w).over(here), F.lit(0))
@@ -96,21 +112,28 @@ def _key_by_ranges(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return numbered.select((F.col("_start") + F.col("_inside")).cast("long").alias(name), *df.columns)
 
 
-def mid_ranks(df: DataFrame, value: str, groups: Mapping[str, Column]) -> DataFrame:
-    """Distinct values with their tie-averaged rank in the pooled sample.
+def mid_ranks(
+    df: DataFrame,
+    value: str,
+    groups: Mapping[str, Column],
+    keys: Sequence[str] = (),
+    totals: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Distinct values with their tie-averaged rank in the pooled sample, one sample for each key.
 
-    Columns: the value, ``ties`` (rows with it), one count per named group, ``mid_rank``.
-    Rows are counted per value before anything is ordered.
+    Columns: the keys, the value, ``ties`` (rows with it), one count per named group, ``mid_rank``, and
+    ``totals``: sums of expressions of the former over the sample. Rows are counted per value before
+    anything is ordered, so all samples together are one scan.
     """
     counts = (
         df.where(F.col(value).isNotNull())
-        .groupBy(value)
+        .groupBy(*keys, value)
         .agg(
             F.count(F.lit(1)).alias("ties"),
             *[F.sum(F.when(flag, 1).otherwise(0)).alias(name) for name, flag in groups.items()],
         )
     )
-    ranked = prefix_sums(counts, value, {"_before": "ties"})
+    ranked = prefix_sums(counts, value, {"_before": "ties"}, keys, totals)
     return ranked.withColumn("mid_rank", F.col("_before") + (F.col("ties") + 1) / F.lit(2.0)).drop("_before")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,21 @@ from nestmetrics.functions import exprs as E
 from nestmetrics.functions.tails import chi_square_upper, normal_two_sided, with_student_t_tail
 from nestmetrics.operators.ordering import mid_ranks, number_rows, top_k
 from nestmetrics.plans import texts
+from nestmetrics.plans.eda import area_column
 
 MIN_GROUP = 10
 MIN_NORMAL_GROUP = 30
 ALPHA = 0.05
 
+# The tests in report order, and what the report says behind the name of a two-sample test.
+ORDER = list(texts.HYPOTHESES)
+SUFFIXES = {
+    "entire_vs_private": " (log-transformed)",
+    "superhost_scores": "",
+    "pro_vs_casual_price": " (log-transformed)",
+    "weekend_price": " (log-transformed)",
+}
+
 # Upper bounds of |d| and their labels.
 EFFECT_LABELS = ((0.2, "negligible"), (0.5, "small"), (0.8, "medium"))
 
@@ -50,43 +63,69 @@ def jarque_bera_p(n: str, skewness: str, excess: str) -> str:
     return f"exp(-{n} / 12 * ({skewness} * {skewness} + {excess} * {excess} / 4))"
 
 
-def two_sample(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
-    """One row with the moments of both groups and everything both tests need.
+def observations(df: DataFrame, samples: Sequence[tuple[int, Column, Column]]) -> DataFrame:
+    """(test, g, v): the observations of several tests from one pass over the rows.
 
-    The rank sum comes from per-value counts with distributed mid-ranks.
+    A sample is the test's number, the group of a row (1, 2, ...; null: none) and its value (null: none).
     """
-    rows = df.select(
-        F.col(value).cast("double").alias("v"),
-        F.when(first, True).when(second, False).alias("g"),
-    ).where(F.col("v").isNotNull() & F.col("g").isNotNull())
-    ranks = mid_ranks(rows, "v", {"c1": F.col("g"), "c2": ~F.col("g")})
-    ties = F.col("ties").cast("double")
-    rank_part = ranks.agg(
-        F.sum(F.col("c1") * F.col("mid_rank")).alias("rank_sum"),
-        F.sum(ties * ties * ties - ties).alias("tie_sum"),
-    )
-    a, b = F.when(F.col("g"), F.col("v")), F.when(~F.col("g"), F.col("v"))
-    moments = rows.agg(
+    drawn = F.array(
         *[
-            f(x).alias(f"{name}_{i}")
-            for i, x in ((1, a), (2, b))
-            for name, f in (
-                ("n", F.count),
-                ("mean", F.avg),
-                ("var", F.var_samp),
-                ("skew", F.skewness),
-                ("excess", F.kurtosis),
-            )
+            F.struct(F.lit(test).alias("test"), group.cast("int").alias("g"), value.cast("double").alias("v"))
+            for test, group, value in samples
         ]
     )
-    merged = moments.withColumn("_r", rank_part.select(F.struct("rank_sum", "tie_sum")).scalar())
-    return _with_tests(
-        merged.selectExpr("*", "_r.rank_sum", "_r.tie_sum", "_r.rank_sum - double(n_1) * (n_1 + 1) / 2 AS u").drop("_r")
+    return df.select(F.inline(F.filter(drawn, lambda x: x["g"].isNotNull() & x["v"].isNotNull())))
+
+
+def one_of_two(first: Column, second: Column) -> Column:
+    return F.when(first, 1).when(second, 2)
+
+
+def sample_figures(observed: DataFrame, k: int = 2) -> DataFrame:
+    """One row for each test: size, moments and rank sum of each of k groups, and the tie correction.
+
+    Observations are counted per (test, value) once. Ranks are sums over those counts; so are the
+    moments, taken about means that come with the bucket totals.
+    """
+    numbers = range(1, k + 1)
+    ranks = mid_ranks(
+        observed,
+        "v",
+        {f"c{i}": F.col("g") == i for i in numbers},
+        ["test"],
+        {f"_{name}{i}": value for i in numbers for name, value in (("n", F.col(f"c{i}")), ("s", F.col(f"c{i}") * F.col("v")))},
     )
+    ties = F.col("ties").cast("double")
+    off = {i: F.col("v") - F.try_divide(F.col(f"_s{i}"), F.col(f"_n{i}").cast("double")) for i in numbers}
+    sums = ranks.groupBy("test").agg(
+        F.sum(ties).alias("total"),
+        F.sum(ties * ties * ties - ties).alias("tie_sum"),
+        *[F.max(f"_n{i}").alias(f"n_{i}") for i in numbers],
+        *[F.max(F.try_divide(F.col(f"_s{i}"), F.col(f"_n{i}").cast("double"))).alias(f"mean_{i}") for i in numbers],
+        *[F.sum(F.col(f"c{i}") * F.col("mid_rank")).alias(f"rank_sum_{i}") for i in numbers],
+        *[F.sum(F.col(f"c{i}") * F.pow(off[i], F.lit(p))).alias(f"_m{p}_{i}") for i in numbers for p in (2, 3, 4)],
+    )
+    shape = [
+        column
+        for i in numbers
+        for column in (
+            f"try_divide(_m2_{i}, double(n_{i} - 1)) AS var_{i}",
+            f"try_divide(sqrt(double(n_{i})) * _m3_{i}, _m2_{i} * sqrt(_m2_{i})) AS skew_{i}",
+            f"try_divide(n_{i} * _m4_{i}, _m2_{i} * _m2_{i}) - 3 AS excess_{i}",
+        )
+    ]
+    return sums.selectExpr("*", *shape).drop(*[f"_m{p}_{i}" for i in numbers for p in (2, 3, 4)])
 
 
-def _with_tests(m: DataFrame) -> DataFrame:
-    """Both tests, both effect sizes and the choice between them, from the one-row sample."""
+def two_sample(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
+    """One row with the moments of both groups and everything both tests need; no row without values."""
+    observed = observations(df, [(1, one_of_two(first, second), F.col(value))])
+    return with_tests(sample_figures(observed)).drop("test")
+
+
+def with_tests(figures: DataFrame) -> DataFrame:
+    """Both tests, both effect sizes and the choice between them, for the first two groups of each row."""
+    m = figures.selectExpr("*", "rank_sum_1 - double(n_1) * (n_1 + 1) / 2 AS u")
     normal = " AND ".join(
         f"{jarque_bera_p(f'n{i}', f'skew_{i}', f'excess_{i}')} > {ALPHA}D AND n{i} >= {MIN_NORMAL_GROUP}"
         for i in (1, 2)
@@ -111,40 +150,39 @@ def _with_tests(m: DataFrame) -> DataFrame:
     return with_student_t_tail(m.selectExpr("*", u_p), "t", "t_df", "t_p").drop("n1", "n2", "s1", "s2")
 
 
-def _report_row(
-    df: DataFrame, order: int, key: str, test: Column, n1: Column, n2: Column, stat: Column, p: Column, effect: Column
-) -> DataFrame:
+def _report_row(key: str, test: Column, n1: Column, n2: Column, stat: Column, p: Column, effect: Column) -> dict[str, Column]:
     question, null, alternative, interpretation, limitation = texts.HYPOTHESES[key]
-    return df.select(
-        F.lit(order).alias("_order"),
-        F.lit(question).alias("business_question"),
-        F.lit(null).alias("null_hypothesis"),
-        F.lit(alternative).alias("alternative_hypothesis"),
-        test.alias("test_used"),
-        n1.cast("long").alias("sample_size_group_1"),
-        n2.cast("long").alias("sample_size_group_2"),
-        E.round_half_even(stat, 4).alias("statistic"),
-        E.round_half_even(p, 6).alias("p_value"),
-        effect.alias("effect_size"),
-        F.when(p < ALPHA, texts.VERDICT_DIFFERENT).otherwise(texts.VERDICT_SAME).alias("result_plain_english"),
-        F.lit(interpretation).alias("business_interpretation"),
-        F.lit(limitation).alias("limitation"),
-    )
-
-
-def _two_sample_row(sample: DataFrame, order: int, key: str, suffix: str) -> DataFrame:
-    """Welch's test where both groups look normal, Mann-Whitney otherwise; no row if too few."""
+    return {
+        "_order": F.lit(ORDER.index(key) + 1),
+        "business_question": F.lit(question),
+        "null_hypothesis": F.lit(null),
+        "alternative_hypothesis": F.lit(alternative),
+        "test_used": test,
+        "sample_size_group_1": n1.cast("long"),
+        "sample_size_group_2": n2.cast("long"),
+        "statistic": E.round_half_even(stat, 4),
+        "p_value": E.round_half_even(p, 6),
+        "effect_size": effect,
+        "result_plain_english": F.when(p < ALPHA, texts.VERDICT_DIFFERENT).otherwise(texts.VERDICT_SAME),
+        "business_interpretation": F.lit(interpretation),
+        "limitation": F.lit(limitation),
+    }
+
+
+def _named(row: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in row.items()]
+
+
+def _two_sample_columns(key: str) -> dict[str, Column]:
+    """Welch's test where both groups look normal, Mann-Whitney otherwise."""
     normal = F.col("is_normal")
-    enough = sample.where((F.col("n_1") >= MIN_GROUP) & (F.col("n_2") >= MIN_GROUP))
     d_text = F.concat(
         F.lit("Cohen's d = "), E.number_text(F.col("d"), "0.000"), F.lit(" ("), effect_label(F.col("d")), F.lit(")")
     )
     r_text = F.concat(F.lit("Rank-biserial r = "), E.number_text(F.col("r"), "0.000"))
     return _report_row(
-        enough,
-        order,
         key,
-        F.concat(F.when(normal, "Welch's t-test").otherwise("Mann-Whitney U"), F.lit(suffix)),
+        F.concat(F.when(normal, "Welch's t-test").otherwise("Mann-Whitney U"), F.lit(SUFFIXES[key])),
         F.col("n_1"),
         F.col("n_2"),
         F.when(normal, F.col("t")).otherwise(F.col("u")),
@@ -153,6 +191,15 @@ def _two_sample_row(sample: DataFrame, order: int, key: str, suffix: str) -> Dat
     )
 
 
+def _enough_for_two() -> Column:
+    return (F.col("n_1") >= MIN_GROUP) & (F.col("n_2") >= MIN_GROUP)
+
+
+def _two_sample_row(sample: DataFrame, key: str) -> DataFrame:
+    """The report's row; none if a group is too small."""
+    return sample.where(_enough_for_two()).select(*_named(_two_sample_columns(key)))
+
+
 def _log_prices(df: DataFrame) -> DataFrame:
     return df.where(F.col("price") > 0).withColumn("log_price", E.log_price(F.col("price")))
 
@@ -180,34 +227,35 @@ def weekend_sample(calendar: DataFrame) -> DataFrame:
 
 def test_entire_vs_private(enriched: DataFrame, entire: str = "Entire", private: str = "Private") -> DataFrame:
     sample = entire_vs_private_sample(enriched, entire, private)
-    return _two_sample_row(sample, 1, "entire_vs_private", " (log-transformed)")
+    return _two_sample_row(sample, "entire_vs_private")
 
 
 def test_superhost_scores(enriched: DataFrame) -> DataFrame:
-    return _two_sample_row(superhost_sample(enriched), 2, "superhost_scores", "")
+    return _two_sample_row(superhost_sample(enriched), "superhost_scores")
 
 
 def test_pro_vs_casual_price(enriched: DataFrame) -> DataFrame:
-    return _two_sample_row(pro_vs_casual_sample(enriched), 3, "pro_vs_casual_price", " (log-transformed)")
+    return _two_sample_row(pro_vs_casual_sample(enriched), "pro_vs_casual_price")
 
 
 def test_weekend_price(calendar: DataFrame) -> DataFrame:
-    return _two_sample_row(weekend_sample(calendar), 4, "weekend_price", " (log-transformed)")
+    return _two_sample_row(weekend_sample(calendar), "weekend_price")
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
     """One row: H with tie correction, its p, group count, the sizes. Groups are numbered 1..k."""
-    ranks = mid_ranks(df, value, {f"c{i}": F.col(group) == i for i in range(1, k + 1)})
-    ties = F.col("ties").cast("double")
-    sums = ranks.agg(
-        F.sum(ties).alias("total"),
-        F.sum(ties * ties * ties - ties).alias("tie_sum"),
-        *[F.sum(f"c{i}").alias(f"n_{i}") for i in range(1, k + 1)],
-        *[F.sum(F.col(f"c{i}") * F.col("mid_rank")).alias(f"r_{i}") for i in range(1, k + 1)],
-    )
+    figures = sample_figures(observations(df, [(1, F.col(group), F.col(value))]), k)
+    return with_kruskal_wallis(figures, k).select("h", "groups", "n_first", "n_rest", "n_smallest", "p")
+
+
+def with_kruskal_wallis(figures: DataFrame, k: int) -> DataFrame:
+    """Each row of figures with H over its k groups, p, group count and sizes."""
     total = F.col("total")
     squares = sum(
-        (F.coalesce(F.try_divide(F.col(f"r_{i}") * F.col(f"r_{i}"), F.col(f"n_{i}").cast("double")), F.lit(0.0)) for i in range(1, k + 1)),
+        (
+            F.coalesce(F.try_divide(F.col(f"rank_sum_{i}") * F.col(f"rank_sum_{i}"), F.col(f"n_{i}").cast("double")), F.lit(0.0))
+            for i in range(1, k + 1)
+        ),
         F.lit(0.0),
     )
     raw = F.try_divide(F.lit(12.0), total * (total + 1)) * squares - (total + 1) * 3
@@ -215,7 +263,8 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
     present = sum((F.when(F.col(f"n_{i}") > 0, 1).otherwise(0) for i in range(1, k + 1)), F.lit(0))
     sizes = [F.col(f"n_{i}") for i in range(1, k + 1)]
     smallest = F.array_min(F.filter(F.array(*sizes), lambda n: n > 0))
-    result = sums.select(
+    result = figures.select(
+        "*",
         F.try_divide(raw, correction).alias("h"),
         present.alias("groups"),
         F.col("n_1").alias("n_first"),
@@ -225,27 +274,29 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
     return result.selectExpr("*", f"{chi_square_upper('h', '(groups - 1)')} AS p")
 
 
+def leading_areas(enriched: DataFrame, k: int) -> DataFrame:
+    """The k areas with most listings, numbered from 1 (_group)."""
+    area = area_column(enriched)
+    counts = enriched.where(F.col(area).isNotNull()).groupBy(area).agg(F.count(F.lit(1)).alias("_n"))
+    leaders = top_k(counts, [F.desc("_n"), F.asc(area)], k).withColumn("_o", F.struct(-F.col("_n"), F.col(area)))
+    return number_rows(leaders, "_o", "_group").select(area, "_group")
+
+
 def neighbourhood_sample(enriched: DataFrame, k: int = 5) -> DataFrame:
     """Kruskal-Wallis over the prices of the k areas with most listings."""
-    area = "neighbourhood_cleansed" if "neighbourhood_cleansed" in enriched.columns else "neighbourhood"
-    counts = enriched.where(F.col(area).isNotNull()).groupBy(area).agg(F.count(F.lit(1)).alias("_n"))
-    leaders = number_rows(
-        top_k(counts, [F.desc("_n"), F.asc(area)], k).withColumn("_o", F.struct(-F.col("_n"), F.col(area))), "_o", "_group"
-    )
+    leaders = leading_areas(enriched, k)
     # k rows.
-    rows = enriched.where(F.col("price") > 0).join(F.broadcast(leaders.select(area, "_group")), area)
+    rows = enriched.where(F.col("price") > 0).join(F.broadcast(leaders), area_column(enriched))
     expected = leaders.agg(F.count(F.lit(1)).alias("n")).scalar()
     return kruskal_wallis(rows, "price", "_group", k).withColumn("expected", expected)
 
 
-def test_neighbourhood_prices(enriched: DataFrame, k: int = 5) -> DataFrame:
-    sample = neighbourhood_sample(enriched, k)
-    enough = sample.where(
-        (F.col("n_smallest") >= MIN_GROUP) & (F.col("groups") == F.col("expected")) & (F.col("groups") >= 2)
-    )
+def _enough_for_all() -> Column:
+    return (F.col("n_smallest") >= MIN_GROUP) & (F.col("groups") == F.col("expected")) & (F.col("groups") >= 2)
+
+
+def _omnibus_columns() -> dict[str, Column]:
     return _report_row(
-        enough,
-        5,
         "neighbourhood_prices",
         F.lit("Kruskal-Wallis H-test"),
         F.col("n_first"),
@@ -256,30 +307,62 @@ def test_neighbourhood_prices(enriched: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+def test_neighbourhood_prices(enriched: DataFrame, k: int = 5) -> DataFrame:
+    return neighbourhood_sample(enriched, k).where(_enough_for_all()).select(*_named(_omnibus_columns()))
+
+
 def statistical_report(
-    enriched: DataFrame, calendar: DataFrame | None = None, entire: str = "Entire", private: str = "Private"
+    enriched: DataFrame, calendar: DataFrame | None = None, entire: str = "Entire", private: str = "Private", k: int = 5
 ) -> DataFrame:
-    """The tests whose columns exist and whose groups are large enough, numbered from 1."""
+    """The tests whose columns exist and whose groups are large enough, numbered from 1.
+
+    The observations of all tests are counted together: listings and calendar are read once each, and
+    listings once more for the k leading areas.
+    """
     have = set(enriched.columns)
-    tests = []
+    price = F.col("price")
+    log_price = F.when(price > 0, E.log_price(price)) if "price" in have else None
+    samples = []
+
+    def add(key: str, group: Column, value: Column) -> None:
+        samples.append((ORDER.index(key) + 1, group, value))
+
     if {"room_type", "price"} <= have:
-        tests.append(test_entire_vs_private(enriched, entire, private))
+        room = F.col("room_type")
+        add("entire_vs_private", one_of_two(E.contains_ci(room, entire), E.contains_ci(room, private)), log_price)
     if {"host_is_superhost", "review_scores_rating"} <= have:
-        tests.append(test_superhost_scores(enriched))
+        flag = F.col("host_is_superhost")
+        add("superhost_scores", one_of_two(flag, ~flag), F.col("review_scores_rating"))
     if {"is_professional_host", "price"} <= have:
-        tests.append(test_pro_vs_casual_price(enriched))
-    if calendar is not None and {"date", "price"} <= set(calendar.columns):
-        tests.append(test_weekend_price(calendar))
+        flag = F.col("is_professional_host")
+        add("pro_vs_casual_price", one_of_two(flag, ~flag), log_price)
+    leaders = None
+    listings = enriched
     if "price" in have and have & {"neighbourhood_cleansed", "neighbourhood"}:
-        tests.append(test_neighbourhood_prices(enriched))
-    # A test of no rows gives the report's columns where no test applies.
-    report = _no_test(enriched)
-    for test in tests:
-        report = report.unionByName(test)
+        area = area_column(enriched)
+        leaders = leading_areas(enriched, k)
+        listings = enriched.join(F.broadcast(leaders), area, "left")  # k rows
+        add("neighbourhood_prices", F.col("_group"), F.when(price > 0, price))
+    # Without any test the report has its columns and no rows.
+    observed = observations(listings, samples or [(0, F.lit(None), F.lit(None))])
+    if calendar is not None and {"date", "price"} <= set(calendar.columns):
+        weekend = E.weekend_flag(F.col("date"), E.WEEKEND_FRI_SAT)
+        days = [(ORDER.index("weekend_price") + 1, one_of_two(weekend, ~weekend), F.when(price > 0, E.log_price(price)))]
+        observed = observed.unionByName(observations(calendar, days))
+
+    figures = sample_figures(observed, k)
+    both = with_tests(with_kruskal_wallis(figures, k)).withColumn("expected", _number_of(leaders))
+    cases = [(_is_test(key) & _enough_for_two(), _two_sample_columns(key)) for key in SUFFIXES]
+    cases.append((_is_test("neighbourhood_prices") & _enough_for_all(), _omnibus_columns()))
+    # Only sizes decide which rows stay, so that no tail probability is worked out twice.
+    kept = both.where(reduce(lambda a, b: a | b, [case for case, _ in cases]))
+    report = kept.select(*[F.coalesce(*[F.when(case, row[name]) for case, row in cases]).alias(name) for name in cases[0][1]])
     return number_rows(report, "_order", "hypothesis_id")
 
 
-def _no_test(enriched: DataFrame) -> DataFrame:
-    flags = enriched.select(F.lit(1.0).alias("v"), F.lit(True).alias("a"))
-    sample = two_sample(flags, "v", F.col("a"), ~F.col("a"))
-    return _two_sample_row(sample, 1, "entire_vs_private", "").where(F.lit(False))
+def _is_test(key: str) -> Column:
+    return F.col("test") == ORDER.index(key) + 1
+
+
+def _number_of(leaders: DataFrame | None) -> Column:
+    return leaders.agg(F.count(F.lit(1)).alias("n")).scalar() if leaders is not None else F.lit(0)

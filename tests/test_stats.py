@@ -135,3 +135,64 @@ def test_weekend_without_prices_gives_no_row(spark):
 def test_a_report_without_any_test_is_empty(spark):
     report = stats.statistical_report(spark.range(5))
     assert report.columns[0] == "hypothesis_id" and report.count() == 0
+
+
+def market(spark, path):
+    """Listings and priced days in files of their own, so that reads can be told apart."""
+    rnd = random.Random(12)
+    rooms = ["Entire home", "Private room", "Shared room", None]
+    listings = [
+        (i, rnd.choice(rooms), rnd.choice([True, False, None]), rnd.random() < 0.4, rnd.choice(["a", "b", "c", "d", "e", "f", None]),
+         rnd.choice([None, 0.0, *map(float, range(40, 400, 7))]), rnd.choice([None, 3.5, 4.0, 4.5, 4.75, 5.0]))
+        for i in range(900)
+    ]
+    days = [(f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}", rnd.choice([None, 0.0, *map(float, range(50, 200, 3))])) for i in range(1500)]
+    schema = "id long, room_type string, host_is_superhost boolean, is_professional_host boolean, neighbourhood_cleansed string, price double, review_scores_rating double"
+    spark.createDataFrame(listings, schema).write.parquet(f"{path}/listings")
+    spark.createDataFrame(days, "date string, price double").selectExpr("date(date) AS date", "price").write.parquet(f"{path}/days")
+    return spark.read.parquet(f"{path}/listings"), spark.read.parquet(f"{path}/days")
+
+
+def test_report_equals_the_single_tests_in_one_pass(spark, tmp_path):
+    listings, days = market(spark, str(tmp_path))
+    report = stats.statistical_report(listings, days)
+    got = [tuple(r)[1:] for r in report.collect()]
+    single = [
+        stats.test_entire_vs_private(listings), stats.test_superhost_scores(listings), stats.test_pro_vs_casual_price(listings),
+        stats.test_weekend_price(days), stats.test_neighbourhood_prices(listings),
+    ]
+    assert got == [tuple(test.first())[1:] for test in single]
+    # Days are read once, listings for the counts and for the leading areas; every other use is reused.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = stats.statistical_report(listings, days)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = [line.split("ReadSchema")[-1] for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and sum(line.startswith(": struct<date:date") for line in scans) == 1, scans
+
+
+def test_report_without_columns_and_rows(spark, tmp_path):
+    listings, days = market(spark, str(tmp_path))
+    assert stats.statistical_report(listings.select("id")).collect() == []
+    assert stats.statistical_report(listings.limit(0), days.limit(0)).collect() == []
+    only = stats.statistical_report(listings.drop("price"), days).collect()
+    assert [r.business_question for r in only] == ["Do superhosts have higher review scores?", "Are weekend prices different from weekday prices?"]
+    assert [r.hypothesis_id for r in only] == [1, 2]
+
+
+def test_figures_of_several_samples(spark):
+    rnd = random.Random(5)
+    rows = [(t, rnd.choice([1, 2, 3]), float(rnd.randint(0, 9 + t) ** t)) for t in (1, 2, 3) for _ in range(200)]
+    got = {r.test: r for r in stats.sample_figures(spark.createDataFrame(rows, "test int, g int, v double"), 3).collect()}
+    for t in (1, 2, 3):
+        pooled = sorted(v for s, _, v in rows if s == t)
+        rank = {v: pooled.index(v) + (pooled.count(v) + 1) / 2 for v in pooled}
+        for g in (1, 2, 3):
+            mine = [v for s, h, v in rows if (s, h) == (t, g)]
+            n, mean = len(mine), sum(mine) / len(mine)
+            m2, m3, m4 = (sum((v - mean) ** p for v in mine) / n for p in (2, 3, 4))
+            assert got[t][f"n_{g}"] == n and got[t][f"rank_sum_{g}"] == sum(rank[v] for v in mine)
+            assert got[t][f"mean_{g}"] == pytest.approx(mean) and got[t][f"var_{g}"] == pytest.approx(m2 * n / (n - 1))
+            assert got[t][f"skew_{g}"] == pytest.approx(m3 / m2**1.5) and got[t][f"excess_{g}"] == pytest.approx(m4 / m2**2 - 3)
+        assert got[t].tie_sum == sum(pooled.count(v) ** 3 - pooled.count(v) for v in set(pooled))
