@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,21 +120,26 @@ def mid_ranks(
     groups: Mapping[str, Column],
     keys: Sequence[str] = (),
     totals: Mapping[str, Column] | None = None,
+    disjoint: bool = False,
 ) -> DataFrame:
     """Distinct values with their tie-averaged rank in the pooled sample, one sample for each key.
 
     Columns: the keys, the value, ``ties`` (rows with it), one count per named group, ``mid_rank``, and
     ``totals``: sums of expressions of the former over the sample. Rows are counted per value before
-    anything is ordered, so all samples together are one scan.
+    anything is ordered, so all samples together are one scan. With ``disjoint``, each row is in exactly
+    one group: ties are then the sum of the groups' counts, and every use of the counts reads the same
+    columns of them, so that their exchange is reused.
     """
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(
-            F.count(F.lit(1)).alias("ties"),
+            *([] if disjoint else [F.count(F.lit(1)).alias("ties")]),
             *[F.sum(F.when(flag, 1).otherwise(0)).alias(name) for name, flag in groups.items()],
         )
     )
+    if disjoint:
+        counts = counts.select(*keys, value, reduce(add, map(F.col, groups)).alias("ties"), *groups)
     ranked = prefix_sums(counts, value, {"_before": "ties"}, keys, totals)
     return ranked.withColumn("mid_rank", F.col("_before") + (F.col("ties") + 1) / F.lit(2.0)).drop("_before")
 

@@ -94,6 +94,7 @@ def sample_figures(observed: DataFrame, k: int = 2) -> DataFrame:
         {f"c{i}": F.col("g") == i for i in numbers},
         ["test"],
         {f"_{name}{i}": value for i in numbers for name, value in (("n", F.col(f"c{i}")), ("s", F.col(f"c{i}") * F.col("v")))},
+        disjoint=True,
     )
     ties = F.col("ties").cast("double")
     off = {i: F.col("v") - F.try_divide(F.col(f"_s{i}"), F.col(f"_n{i}").cast("double")) for i in numbers}
