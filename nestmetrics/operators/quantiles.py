@@ -41,6 +41,7 @@ def exact_quantiles(
     extras: Mapping[str, Column] | None = None,
     size: str | None = None,
     mean: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group: the keys, one column per probability, the extra aggregates.
 
@@ -48,14 +49,15 @@ def exact_quantiles(
     nearest ranks. Nulls and non-finite values are ignored; a group without values gets null.
     Null keys form a group of their own. ``size`` and ``mean`` name the number and the mean of the
     values, which cost nothing extra. ``extras`` are other aggregate expressions over the same
-    groups; they need a second pass over the source.
+    groups; they need a second pass over the source. ``weight`` names a column that says how many rows a
+    row stands for.
     """
     wanted = {}
     for name, p in probs.items():
         position = F.lit(float(p)) * (F.col("_n") - 1)
         low = F.floor(position)
         wanted[name] = (low, F.ceil(position), position - low)
-    located = _order_statistics(df, keys, value, wanted)
+    located = _order_statistics(df, keys, value, wanted, weight)
 
     def interpolated(name: str) -> Column:
         low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
@@ -103,16 +105,21 @@ def global_quantile(df: DataFrame, value: str, p: float) -> Column:
 
 
 def _order_statistics(
-    df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, tuple[Column, Column, Column]]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    wanted: Mapping[str, tuple[Column, Column, Column]],
+    weight: str | None = None,
 ) -> DataFrame:
     """``_g`` (if there are keys), ``_n``, ``_s`` (the sum) and the values at both ranks of each name."""
     group = ["_g"] if keys else []
     v = F.col(value) if isinstance(df.schema[value].dataType, T.IntegralType) else finite(F.col(value))
     # A struct of the keys is never null, so plain equality joins keep null keys.
-    base = df.select(*([F.struct(*keys).alias("_g")] if keys else []), v.alias("_v"))
+    base = df.select(*([F.struct(*keys).alias("_g")] if keys else []), v.alias("_v"), *([F.col(weight).alias("_w")] if weight else []))
+    number = F.sum(F.when(F.col("_v").isNotNull(), F.col("_w")).otherwise(0)) if weight else F.count("_v")
     b1, b2 = bucket_levels(F.col("_v"), base.schema["_v"].dataType)
     counted = (
-        base.withColumns({"_b1": b1, "_b2": b2}).groupBy(*group, "_b1", "_b2", "_v").agg(F.count("_v").alias("_c"))
+        base.withColumns({"_b1": b1, "_b2": b2}).groupBy(*group, "_b1", "_b2", "_v").agg(number.alias("_c"))
     )
     ranks = [rank for low, high, _ in wanted.values() for rank in (low, high)]
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
+from nestmetrics.operators.facts import Fact, count_facts, summarise
 from nestmetrics.operators.histogram import histogram
 from nestmetrics.operators.ordering import argmax_row, top_k
 from nestmetrics.operators.quantiles import exact_quantiles, global_quantile, median_by
@@ -157,14 +158,12 @@ def monthly_median_price(calendar: DataFrame) -> DataFrame:
 
 
 def seasonality(calendar: DataFrame) -> DataFrame:
-    """Medians by day type and by month, over all known days."""
+    """Medians by day type and by month, over all known days, which are read and counted once."""
     weekend = E.weekend_flag(F.col("date"), E.WEEKEND_FRI_SAT)
     day_type = F.when(weekend, DAY_TYPES[0]).otherwise(DAY_TYPES[1])
-    by_day = median_by(known_days(calendar).withColumn("period", day_type), ["period"], "price", "typical_price")
-    by_month = monthly_median_price(calendar).withColumnRenamed("month", "period")
-    return by_day.select(F.lit("day_type").alias("series"), "period", "typical_price").unionByName(
-        by_month.select(F.lit("month").alias("series"), "period", "typical_price")
-    )
+    price = F.col("price")
+    counts = count_facts([(known_days(calendar), [Fact("day_type", price, day_type), Fact("month", price, E.month_bucket(F.col("date")))])])
+    return summarise(counts).select(F.col("fact").alias("series"), F.col("key").alias("period"), F.col("median").alias("typical_price"))
 
 
 def best_model(results: DataFrame) -> DataFrame:

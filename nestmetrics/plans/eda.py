@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
+from nestmetrics.operators.facts import Fact, count_facts, leader, of, quantile_of, summarise
 from nestmetrics.operators.histogram import histogram
 from nestmetrics.operators.ordering import number_rows, top_k
 from nestmetrics.operators.quantiles import exact_quantiles, global_quantile, median_by
@@ -117,119 +120,130 @@ def weekend_vs_weekday(calendar: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- findings
 
 
-def _insight(df: DataFrame, order: int, chart: str, finding: Column) -> DataFrame:
-    interpretation, limitation = texts.INSIGHTS[chart]
-    return df.select(
-        F.lit(order).alias("_order"),
-        F.lit(chart).alias("chart_name"),
-        finding.alias("finding"),
-        F.lit(interpretation).alias("business_interpretation"),
-        F.lit(limitation).alias("limitation"),
-    )
+def _insight(order: int, chart: str, finding: Column) -> Column:
+    return _insight_row(order, chart, finding, *texts.INSIGHTS[chart])
 
 
-def _absent(df: DataFrame, order: int, chart: str) -> DataFrame:
+def _absent(order: int, chart: str) -> Column:
     finding, interpretation, limitation = texts.COLUMN_NOT_FOUND
-    one_row = df.agg(row_count().alias("_n"))
-    return one_row.select(
+    return _insight_row(order, chart, F.lit(finding), interpretation, limitation)
+
+
+def _insight_row(order: int, chart: str, finding: Column, interpretation: str, limitation: str) -> Column:
+    return F.struct(
         F.lit(order).alias("_order"),
         F.lit(chart).alias("chart_name"),
-        F.lit(finding).alias("finding"),
+        finding.alias("finding"),
         F.lit(interpretation).alias("business_interpretation"),
         F.lit(limitation).alias("limitation"),
     )
 
 
-def _text(*parts: Column | str) -> Column:
-    """Concatenation that writes nan for a missing number."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("nan")) for p in parts])
+def _text(template: str, **parts: Column) -> Column:
+    """A template with its fields filled in; a missing figure is written as nan."""
+    pieces = []
+    for words, name, _, _ in Formatter().parse(template):
+        pieces.append(F.lit(words))
+        if name:
+            pieces.append(F.coalesce(parts[name], F.lit("nan")))
+    return F.concat(*pieces)
 
 
-def _first(df: DataFrame, name: str, by: str) -> DataFrame:
-    """Name and figure of the row with the largest figure (ties: smallest name), and the row count."""
-    best = F.min_by(F.struct(F.col(name).alias("name"), F.col(by).alias("figure")), F.struct(-F.col(by), F.col(name)))
-    return df.agg(best.alias("best"), row_count().alias("rows"))
+def insight_facts(df: DataFrame) -> list[Fact]:
+    """What the findings need of the listings, as far as there are columns for it."""
+    have = set(df.columns)
+    area = area_column(df)
+    facts = [Fact("price", F.col("price")), Fact("room", F.col("price"), F.col("room_type"), F.col("room_type").isNotNull())]
+    if area in have:
+        facts += [Fact("area", F.col("price"), F.col(area)), Fact("area_listings", key=F.col(area))]
+    if "calculated_host_listings_count" in have:
+        facts.append(Fact("professional", (F.col("calculated_host_listings_count") >= E.PROFESSIONAL_MIN_LISTINGS).cast("double")))
+    if "is_professional_host" in have:
+        flag = F.col("is_professional_host")
+        facts.append(Fact("host_kind", key=flag, where=flag.isNotNull()))
+    if "review_scores_rating" in have:
+        facts.append(Fact("score", F.col("review_scores_rating")))
+    return facts
+
+
+def day_facts(name: str, where: Column | None = None) -> Fact:
+    """Prices by weekend (true) and weekday (false)."""
+    weekend = E.weekend_flag(F.col("date"), E.WEEKEND_FRI_SAT)
+    return Fact(name, F.col("price"), weekend, F.lit(True) if where is None else where)
 
 
 def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str = "THB") -> DataFrame:
-    """One finding per dataset, numbered from 1."""
+    """One finding per dataset, numbered from 1. Listings and calendar are read once each."""
     have = set(df.columns)
     area = area_column(df)
-    rows = []
-
-    priced = exact_quantiles(trimmed_prices(df), [], "price", {"m": 0.5}, size="n")
-    finding = _text(
-        "Median price is ", E.whole(F.col("m")), f" {currency}. Distribution is right-skewed with ",
-        E.whole(F.col("n")), " listings.",
-    )
-    rows.append(_insight(priced, 1, "price_distribution", finding))
-
-    best = _first(price_by_room_type(df), "room_type", "median_price")
-    finding = _text(
-        "'", F.coalesce(F.col("best.name"), F.lit("N/A")), "' has the highest median price. ",
-        F.col("rows").cast("string"), " room types observed.",
+    sources = [(df, insight_facts(df))]
+    if calendar is not None:
+        date = F.col("date")
+        free = Fact("free", F.coalesce(F.col("available"), F.lit(False)).cast("double"), E.month_bucket(date), date.isNotNull())
+        sources.append((calendar, [free, day_facts("day", F.col("price") > 0)]))
+    counts = count_facts(sources)
+    # The price distribution leaves out what lies above the 99th percentile of all known prices.
+    typical = (F.col("v") > 0) & (F.col("v") < quantile_of(counts, "price", 0.99))
+    groups = summarise(counts.where((F.col("fact") != "price") | typical))
+    zero = F.lit(0)
+    figures = groups.agg(
+        of("price", "median").alias("price"),
+        F.coalesce(of("price", "n"), zero).alias("priced"),
+        leader("room", "median").alias("room"),
+        F.count_if((F.col("fact") == "room") & F.col("median").isNotNull()).alias("rooms"),
+        leader("area", "median").alias("area"),
+        leader("area_listings", "n").alias("area_listings"),
+        of("professional", "mean").alias("professional"),
+        # Counts of the last and first group in flag order, which is what one group alone shows twice.
+        F.max_by("n", F.when(F.col("fact") == "host_kind", F.col("key"))).alias("last_kind"),
+        F.min_by("n", F.when(F.col("fact") == "host_kind", F.col("key"))).alias("first_kind"),
+        of("score", "median").alias("score"),
+        F.coalesce(of("score", "n"), zero).alias("scored"),
+        F.min(F.when(F.col("fact") == "free", F.col("mean") * 100)).alias("lowest_free"),
+        F.max(F.when(F.col("fact") == "free", F.col("mean") * 100)).alias("highest_free"),
+        F.coalesce(of("day", "median", "true"), F.lit(0.0)).alias("weekend"),
+        F.coalesce(of("day", "median", "false"), F.lit(0.0)).alias("weekday"),
     )
-    rows.append(_insight(best, 2, "price_by_room_type", finding))
-
+    unit = F.lit(currency)
+    say = texts.FINDINGS
+    rows = [
+        _insight(
+            1, "price_distribution",
+            _text(say["price_distribution"], price=E.whole(F.col("price")), currency=unit, listings=E.whole(F.col("priced"))),
+        ),
+        _insight(
+            2, "price_by_room_type",
+            _text(say["price_by_room_type"], room=F.coalesce(F.col("room.name"), F.lit("N/A")), rooms=F.col("rooms").cast("string")),
+        ),
+    ]
     if area in have:
-        best = _first(top_neighbourhoods(df), area, "median_price")
-        finding = _text(
-            "Top neighbourhood: ", F.col("best.name"), " (median ", E.whole(F.col("best.figure")), f" {currency}).",
-        )
-        rows.append(_insight(best, 3, "top_neighbourhoods_price", finding))
-        best = _first(listings_by_neighbourhood(df), area, "count")
-        finding = _text("Most listings in ", F.col("best.name"), " (", E.whole(F.col("best.figure")), " listings).")
-        rows.append(_insight(best, 4, "listings_by_neighbourhood", finding))
+        price = E.whole(F.col("area.figure"))
+        rows.append(_insight(3, "top_neighbourhoods_price", _text(say["top_neighbourhoods_price"], area=F.col("area.name"), price=price, currency=unit)))
+        listings = E.whole(F.col("area_listings.figure"))
+        rows.append(_insight(4, "listings_by_neighbourhood", _text(say["listings_by_neighbourhood"], area=F.col("area_listings.name"), listings=listings)))
     else:
-        rows += [_absent(df, 3, "top_neighbourhoods_price"), _absent(df, 4, "listings_by_neighbourhood")]
-
+        rows += [_absent(3, "top_neighbourhoods_price"), _absent(4, "listings_by_neighbourhood")]
     if "calculated_host_listings_count" in have:
-        share = df.agg(
-            F.avg((F.col("calculated_host_listings_count") >= E.PROFESSIONAL_MIN_LISTINGS).cast("double")).alias("s")
-        )
-        finding = _text(
-            E.one_decimal(F.col("s") * 100), "% of listings belong to professional hosts (≥3 listings)."
-        )
-        rows.append(_insight(share, 5, "host_listing_distribution", finding))
+        share = E.one_decimal(F.col("professional") * 100)
+        rows.append(_insight(5, "host_listing_distribution", _text(say["host_listing_distribution"], share=share)))
     else:
-        rows.append(_absent(df, 5, "host_listing_distribution"))
-
+        rows.append(_absent(5, "host_listing_distribution"))
     if "is_professional_host" in have:
-        # Counts of the last and first group in flag order, which is what one group alone shows twice.
-        sides = df.where(F.col("is_professional_host").isNotNull()).groupBy("is_professional_host").agg(row_count().alias("n"))
-        ends = sides.agg(
-            F.max_by("n", "is_professional_host").alias("last"), F.min_by("n", "is_professional_host").alias("first")
-        )
-        finding = _text(
-            "Professional hosts: ", E.whole(F.col("last")), " listings. Casual: ", E.whole(F.col("first")), " listings.",
-        )
-        rows.append(_insight(ends, 6, "professional_vs_casual", finding))
+        kinds = {"professional": E.whole(F.col("last_kind")), "casual": E.whole(F.col("first_kind"))}
+        rows.append(_insight(6, "professional_vs_casual", _text(say["professional_vs_casual"], **kinds)))
     else:
-        rows.append(_absent(df, 6, "professional_vs_casual"))
-
+        rows.append(_absent(6, "professional_vs_casual"))
     if "review_scores_rating" in have:
-        scores = exact_quantiles(df, [], "review_scores_rating", {"m": 0.5}, size="n")
-        finding = _text(
-            "Median review score: ", E.two_decimals(F.col("m")), ". ", E.whole(F.col("n")), " listings with reviews.",
-        )
-        rows.append(_insight(scores, 7, "review_score_distribution", finding))
+        scores = {"score": E.two_decimals(F.col("score")), "listings": E.whole(F.col("scored"))}
+        rows.append(_insight(7, "review_score_distribution", _text(say["review_score_distribution"], **scores)))
     else:
-        rows.append(_absent(df, 7, "review_score_distribution"))
-
+        rows.append(_absent(7, "review_score_distribution"))
     if calendar is not None:
-        finding = _text(
-            "Availability ranges from ", E.one_decimal(F.col("lowest_pct")), "% to ",
-            E.one_decimal(F.col("highest_pct")), "%.",
+        free_days = {"lowest": E.one_decimal(F.col("lowest_free")), "highest": E.one_decimal(F.col("highest_free"))}
+        rows.append(_insight(8, "availability_by_month", _text(say["availability_by_month"], **free_days)))
+        difference = E.signed_one_decimal(E.percent_difference(F.col("weekend"), F.col("weekday")))
+        prices = {"weekend": E.whole(F.col("weekend")), "weekday": E.whole(F.col("weekday"))}
+        rows.append(
+            _insight(9, "weekend_vs_weekday_price", _text(say["weekend_vs_weekday_price"], currency=unit, difference=difference, **prices))
         )
-        rows.append(_insight(availability_range(calendar), 8, "availability_by_month", finding))
-        finding = _text(
-            "Weekend median: ", E.whole(F.col("weekend_median")), f" {currency}, Weekday: ",
-            E.whole(F.col("weekday_median")), f" {currency} (",
-            E.signed_one_decimal(F.col("difference_pct")), "% difference).",
-        )
-        rows.append(_insight(weekend_vs_weekday(calendar), 9, "weekend_vs_weekday_price", finding))
-
-    report = rows[0]
-    for row in rows[1:]:
-        report = report.unionByName(row)
-    return number_rows(report, "_order", "insight_id")
+    return number_rows(figures.select(F.inline(F.array(*rows))), "_order", "insight_id")

@@ -120,6 +120,18 @@ INSIGHTS = {
         "Weekend defined as Friday–Saturday nights. Definition may vary by market.",
     ),
 }
+# Findings with their figures.
+FINDINGS = {
+    "price_distribution": "Median price is {price} {currency}. Distribution is right-skewed with {listings} listings.",
+    "price_by_room_type": "'{room}' has the highest median price. {rooms} room types observed.",
+    "top_neighbourhoods_price": "Top neighbourhood: {area} (median {price} {currency}).",
+    "listings_by_neighbourhood": "Most listings in {area} ({listings} listings).",
+    "host_listing_distribution": "{share}% of listings belong to professional hosts (≥3 listings).",
+    "professional_vs_casual": "Professional hosts: {professional} listings. Casual: {casual} listings.",
+    "review_score_distribution": "Median review score: {score}. {listings} listings with reviews.",
+    "availability_by_month": "Availability ranges from {lowest}% to {highest}%.",
+    "weekend_vs_weekday_price": "Weekend median: {weekend} {currency}, Weekday: {weekday} {currency} ({difference}% difference).",
+}
 COLUMN_NOT_FOUND = ("Column not found", "N/A", "Missing data")
 
 FALLBACK_ACTION = (
