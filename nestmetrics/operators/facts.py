@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestmetrics.functions.exprs import finite
 from nestmetrics.operators.quantiles import exact_quantiles
 from nestmetrics.session import scratch_path
 
@@ -47,16 +48,33 @@ def count_facts(sources: Sequence[tuple[DataFrame, Sequence[Fact]]]) -> DataFram
             for fact in facts
         ]
         if drawn:
-            parts.append(df.select(F.inline(F.filter(F.array(*drawn), lambda x: x["wanted"]))).drop("wanted"))
+            parts.append(df.select(F.inline(F.array(*drawn))).where("wanted").drop("wanted"))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
     return stored(rows.groupBy("fact", "key", "v").agg(F.count(F.lit(1)).alias("c")), "fact-counts")
 
 
-def summarise(counts: DataFrame) -> DataFrame:
-    """fact, key, median, n and mean of each group of counted facts; n counts known values."""
-    return exact_quantiles(counts, ["fact", "key"], "v", {"median": 0.5}, size="n", mean="mean", weight="c")
+def summarise(counts: DataFrame, medians: Sequence[str] | None = None) -> DataFrame:
+    """fact, key, median, n and mean of each group of counted facts; n counts known values.
+
+    Only the facts named, or all, are put in order for their medians; for the others that is null.
+    """
+    ranked = counts if medians is None else counts.where(F.col("fact").isin(*medians))
+    found = exact_quantiles(ranked, ["fact", "key"], "v", {"median": 0.5}, size="n", mean="mean", weight="c")
+    if medians is None:
+        return found
+    v = finite(F.col("v"))
+    known = F.sum(F.when(v.isNotNull(), F.col("c")).otherwise(0))
+    plain = counts.where(~F.col("fact").isin(*medians)).groupBy("fact", "key").agg(
+        F.lit(None).cast("double").alias("median"), known.alias("n"), F.try_divide(F.sum(v * F.col("c")), known.cast("double")).alias("mean")
+    )
+    return found.unionByName(plain)
+
+
+def distinct_values(counts: DataFrame) -> DataFrame:
+    """fact, key and n_distinct, the number of different known values. Counts hold each value of a group once."""
+    return counts.groupBy("fact", "key").agg(F.count("v").alias("n_distinct"))
 
 
 def quantile_of(counts: DataFrame, fact: str, p: float) -> Column:
@@ -72,6 +90,11 @@ def of(fact: str, figure: str, key: str = "all") -> Column:
     return F.max(F.when((F.col("fact") == fact) & (F.col("key") == key), F.col(figure)))
 
 
+def of_fact(fact: str, figure: str) -> Column:
+    """The figure of the fact, in an aggregate by key."""
+    return F.max(F.when(F.col("fact") == fact, F.col(figure)))
+
+
 def leader(fact: str, figure: str) -> Column:
     """(name, figure) of the group with the largest figure, ties to the smallest name; groups without name or figure don't count."""
     counts = (F.col("fact") == fact) & F.col("key").isNotNull() & F.col(figure).isNotNull()

@@ -184,7 +184,7 @@ def eda_insights(df: DataFrame, calendar: DataFrame | None = None, currency: str
     counts = count_facts(sources)
     # The price distribution leaves out what lies above the 99th percentile of all known prices.
     typical = (F.col("v") > 0) & (F.col("v") < quantile_of(counts, "price", 0.99))
-    groups = summarise(counts.where((F.col("fact") != "price") | typical))
+    groups = summarise(counts.where((F.col("fact") != "price") | typical), ["price", "room", "area", "score", "day"])
     zero = F.lit(0)
     figures = groups.agg(
         of("price", "median").alias("price"),

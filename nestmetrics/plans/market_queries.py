@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestmetrics.operators.facts import Fact, count_facts, distinct_values, of_fact, summarise
 from nestmetrics.operators.joins import star_join
 from nestmetrics.operators.ordering import top_k
 from nestmetrics.operators.quantiles import median_by
@@ -51,18 +52,24 @@ def top_hosts(star: Star, k: int = 20) -> DataFrame:
 
 
 def professional_vs_casual(star: Star) -> DataFrame:
-    """Listings and hosts are counted by key in two steps, so that no group is one task's set."""
+    """Figures by kind of host, from one reading of the star join.
+
+    Listings and hosts are counted by key first, so that no group is one task's set.
+    """
     listings = star.dim_listing.select("listing_key", "host_key")
     hosts = star.dim_host.select("host_key", "host_id", "is_professional_host")
     rows = star_join(star_join(star.fact_listing_snapshot, listings, "listing_key"), hosts, "host_key")
-    extras = {
-        "listing_count": F.countDistinct("listing_key"),
-        "host_count": F.countDistinct("host_id"),
-        "avg_review_score": F.avg("review_scores_rating"),
-        "avg_availability_365": F.avg("availability_365"),
-    }
-    return median_by(rows, ["is_professional_host"], "price", "median_price", extras).select(
-        "is_professional_host", "listing_count", "host_count", "median_price", "avg_review_score", "avg_availability_365"
+    kind = F.col("is_professional_host")
+    figures = ("price", "review_scores_rating", "availability_365")
+    counts = count_facts([(rows, [Fact(c, F.col(c), kind) for c in (*figures, "listing_key", "host_id")])])
+    is_figure = F.col("fact").isin(*figures)
+    groups = summarise(counts.where(is_figure), ["price"]).unionByName(distinct_values(counts.where(~is_figure)), allowMissingColumns=True)
+    return groups.groupBy(F.col("key").cast("boolean").alias("is_professional_host")).agg(
+        of_fact("listing_key", "n_distinct").alias("listing_count"),
+        of_fact("host_id", "n_distinct").alias("host_count"),
+        of_fact("price", "median").alias("median_price"),
+        of_fact("review_scores_rating", "mean").alias("avg_review_score"),
+        of_fact("availability_365", "mean").alias("avg_availability_365"),
     )
 
 
@@ -105,15 +112,20 @@ def quality_concerns(star: Star, k: int = 30) -> DataFrame:
 
 
 def neighbourhood_summary(star: Star) -> DataFrame:
+    """Figures by area, from one reading of the star join."""
     rows = _with_area(_priced_listings(star, "neighbourhood_key"), star)
-    extras = {
-        "listing_count": F.count(F.lit(1)),
-        "avg_rating": _round(F.avg("review_scores_rating"), 2),
-        "avg_availability_365": _round(F.avg("availability_365"), 0),
-        "avg_occupancy_pct": _round(F.avg("estimated_occupancy_rate_365d") * 100, 1),
-    }
+    area = F.col("neighbourhood_name")
+    columns = ("price", "review_scores_rating", "availability_365", "estimated_occupancy_rate_365d")
+    counts = count_facts([(rows, [Fact("listing", key=area), *(Fact(c, F.col(c), area) for c in columns)])])
     return (
-        median_by(rows, ["neighbourhood_name"], "price", "median_price", extras)
-        .select("neighbourhood_name", "listing_count", "median_price", "avg_rating", "avg_availability_365", "avg_occupancy_pct")
+        summarise(counts, ["price"])
+        .groupBy(F.col("key").alias("neighbourhood_name"))
+        .agg(
+            of_fact("listing", "n").alias("listing_count"),
+            of_fact("price", "median").alias("median_price"),
+            _round(of_fact("review_scores_rating", "mean"), 2).alias("avg_rating"),
+            _round(of_fact("availability_365", "mean"), 0).alias("avg_availability_365"),
+            _round(of_fact("estimated_occupancy_rate_365d", "mean") * 100, 1).alias("avg_occupancy_pct"),
+        )
         .orderBy(F.desc("listing_count"), "neighbourhood_name")
     )

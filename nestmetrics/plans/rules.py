@@ -194,7 +194,7 @@ def recommendations(
     if calendar is not None and {"price", "date"} <= set(calendar.columns):
         sources.append((calendar, [eda.day_facts("day")]))
     counts = count_facts(sources)
-    groups = stored(summarise(counts), "fact-groups")
+    groups = stored(summarise(counts, ["room", "area", "score", "day"]), "fact-groups")
 
     figures = groups.agg(
         of("listing", "n").alias("listings"),
@@ -229,7 +229,7 @@ def market_kpis(view: DataFrame) -> DataFrame:
     """One row: listings, median price, professional share, mean rating. The view is read once."""
     professional = E.lenient_bool(F.col("is_professional_host")).cast("double")
     counts = count_facts([(view, [Fact("price", F.col("price")), Fact("listing"), Fact("professional", professional), Fact("rating", F.col("review_scores_rating"))])])
-    return summarise(counts).agg(
+    return summarise(counts, ["price"]).agg(
         F.coalesce(of("listing", "n"), F.lit(0)).alias("total_listings"),
         of("price", "median").alias("median_price"),
         of("professional", "mean").alias("professional_share"),

@@ -74,7 +74,7 @@ def observations(df: DataFrame, samples: Sequence[tuple[int, Column, Column]]) -
             for test, group, value in samples
         ]
     )
-    return df.select(F.inline(F.filter(drawn, lambda x: x["g"].isNotNull() & x["v"].isNotNull())))
+    return df.select(F.inline(drawn)).where(F.col("g").isNotNull() & F.col("v").isNotNull())
 
 
 def one_of_two(first: Column, second: Column) -> Column:
