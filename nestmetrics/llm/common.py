@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import uuid
 import weakref
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,28 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(context)
 
 
+def release() -> None:
+    """Hand memory that is not in use back to the system; workers live on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same task over batches, its memory handed back at the end."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that the frame does not use, whatever its letter case."""
     taken = {c.lower() for c in df.columns}

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from nestmetrics.llm.common import col, ship_code, stored, table, text_of
+from nestmetrics.llm.common import col, releasing, ship_code, stored, table, text_of
 
 #: Most labelled rows that are trained on; about 100 MB of texts of ordinary length.
 TRAIN_ROWS = 20_000
@@ -184,30 +184,33 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[n
     return weights, float(model["weight"][~inner].iloc[0])
 
 
-def scored(docs: DataFrame, weights: np.ndarray, bias: float, carried: list[Column]) -> DataFrame:
-    """The carried columns and score; weights and intercept go to the tasks (4 MB)."""
-    ship_code(docs.sparkSession)
-    frame = docs.select(text_of(docs).alias("text"), *carried)
-    plain = frame.toDF("text", *(f"c{i}" for i in range(len(carried))))
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+def _with_score(frame: DataFrame, at: int, weights: np.ndarray, bias: float, first: int = 0) -> DataFrame:
+    """The columns of a frame from the first on, and the score of its text column; weights go to the tasks (4 MB)."""
+    ship_code(frame.sparkSession)
+    shared = frame.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = shared.value
         wanted = weight != 0
         for batch in batches:
-            sums = np.array([float(weight[features(text.as_py(), wanted)].sum(dtype=np.float64)) for text in batch.column(0)]) + bias
+            sums = np.array([float(weight[features(text.as_py() or "", wanted)].sum(dtype=np.float64)) for text in batch.column(at)]) + bias
             score = 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score)], names=[*batch.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], pa.array(score)], names=[*batch.schema.names[first:], "score"])
+
+    return frame.mapInArrow(releasing(run), StructType([*frame.schema.fields[first:], StructField("score", DoubleType())]))
 
-    schema = StructType([*plain.schema.fields[1:], StructField("score", DoubleType())])
-    return plain.mapInArrow(run, schema)
+
+def scored(docs: DataFrame, weights: np.ndarray, bias: float, carried: list[Column]) -> DataFrame:
+    """The carried columns and score."""
+    frame = docs.select(text_of(docs).alias("text"), *carried)
+    return _with_score(frame.toDF("text", *(f"c{i}" for i in range(len(carried)))), 0, weights, bias, first=1)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents below the threshold, with their own columns."""
     weights, bias = train(docs, labels)
-    carried = scored(docs, weights, bias, [col(docs, c) for c in docs.columns])
-    kept = carried.where(F.col("score") < THRESHOLD).drop("score")
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    kept = _with_score(plain, docs.columns.index("text"), weights, bias).where(F.col("score") < THRESHOLD).drop("score")
     return kept.toDF(*docs.columns)
 
 
