@@ -24,7 +24,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -163,7 +163,7 @@ class Codec:
             content = json.load(f)
         self.library = Tokenizer.from_file(path)
         model = content["model"]
-        self.encoder = PrefixEncoder(model["vocab"], model["merges"], model["end_of_word_suffix"] or "")
+        self.rules = (model["vocab"], model["merges"], model["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
@@ -175,6 +175,12 @@ class Codec:
         self.words = Memory(self._word)
         self.chunks = Memory(self._chunk)
 
+    @cached_property
+    def encoder(self) -> PrefixEncoder:
+        """Built with the first word that asks for it."""
+        rules, self.rules = self.rules, None
+        return PrefixEncoder(*rules)
+
     def _word(self, word: str) -> bytes:
         return np.array(self.encoder.encode(word), dtype="<u4").tobytes()
 
@@ -202,6 +208,10 @@ class Codec:
 class LibraryCodec(Codec):
     """The same ids, words encoded by the tokenizers library's own model."""
 
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.rules = None
+
     def _word(self, word: str) -> bytes:
         return b"".join([token.id.to_bytes(4, "little") for token in self.library.model.tokenize(word)])
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import attach, col, digest_of, keep_rows, ship_code, stored, table, text_of
+from nestmetrics.llm.common import attach, col, digest_of, keep_rows, release, releasing, ship_code, stored, table, text_of
 from nestmetrics.llm.components import components, smallest_members
 
 BITS = 64
@@ -317,6 +317,8 @@ def trie_links(prints: DataFrame, most: int = 4, wide_most: int = 0, task_rows:
         linked = np.flatnonzero(label != np.arange(len(keys)))
         if wide_most:
             node = group.column("node").to_numpy()[order]
+            del walk, wide, group
+            release()
             return pa.table({"u": node[linked], "v": node[label[linked]]})
         back = np.uint64(turn * QUARTER)
         plain = keys if not turn else (keys >> back) | (keys << (np.uint64(BITS) - back))
@@ -381,7 +383,7 @@ def shingle_sets(docs: DataFrame, words_in_shingle: int) -> DataFrame:
 
     ship_code(docs.sparkSession)
     text = text_of(docs)
-    return docs.select(text.cast("binary").alias("text"), digest_of(text).alias("digest")).mapInArrow(run, "digest binary, shingles array<long>")
+    return docs.select(text.cast("binary").alias("text"), digest_of(text).alias("digest")).mapInArrow(releasing(run), "digest binary, shingles array<long>")
 
 
 def near_sets(sets: list[np.ndarray], label: np.ndarray, asked: np.ndarray, anchor: int) -> np.ndarray:
@@ -411,6 +413,15 @@ def near_sets(sets: list[np.ndarray], label: np.ndarray, asked: np.ndarray, anch
     return label
 
 
+#: Longs in a table that may be broadcast: 32 MB.
+BROADCAST_LONGS = 4 << 20
+
+
+def bounded(df: DataFrame, longs: int) -> DataFrame:
+    """A side of a join, to be broadcast if it holds so few longs; larger ones are left to a shuffle."""
+    return F.broadcast(df) if longs <= BROADCAST_LONGS else df
+
+
 def near_links(members: DataFrame, block: int = BLOCK) -> DataFrame:
     """Links (u, v) that span the parts of each group that chains of pairs at 0.8 connect.
 
@@ -441,18 +452,18 @@ def near_links(members: DataFrame, block: int = BLOCK) -> DataFrame:
         return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
 
     buckets = 1 + light * 8 // block
-    each = members.join(F.broadcast(large.select("group")), "group", "left_anti") if many else members
+    each = members.join(bounded(large.select("group"), many), "group", "left_anti") if many else members
     each = each.withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
     links = each.groupBy("bucket").applyInArrow(small, schema)
     if not many:
         return links
 
-    wide = members.join(F.broadcast(large), "group")
+    wide = members.join(bounded(large, 3 * many), "group")
     pivots = wide.where("member = pivot").select("group", F.col("shingles").alias("model"))
     common = F.size(F.array_intersect("shingles", "model"))
     near = 9 * common >= 4 * (F.size("shingles") + F.size("model"))
-    # Large groups are few for their size; only very many of them are left to a shuffle.
-    wide = wide.join(F.broadcast(pivots) if many <= 1000 else pivots, "group").withColumn("near", near).drop("model")
+    pivots = stored(pivots, "pivots")
+    wide = wide.join(bounded(pivots, pivots.agg(F.sum(F.size("model") + 3)).first()[0]), "group").withColumn("near", near).drop("model")
     wide = stored(wide, "large-groups")
     links = links.unionByName(wide.where("near AND member <> pivot").select(F.col("member").alias("u"), F.col("pivot").alias("v")))
     loose = wide.where("NOT near")
@@ -463,9 +474,10 @@ def near_links(members: DataFrame, block: int = BLOCK) -> DataFrame:
     dealt = F.xxhash64("member")
     row, column = F.pmod(dealt, F.col("loose_blocks")), F.pmod(dealt, F.col("all_blocks"))
     kept = ["group", "member", "pivot", "near", "shingles"]
-    rows = loose.join(F.broadcast(blocks), "group").withColumn("row", row)
+    few = bounded(blocks, 3 * many)
+    rows = loose.join(few, "group").withColumn("row", row)
     rows = rows.select(*kept, "row", F.explode(F.expr("sequence(0, all_blocks - 1)")).alias("column"), F.lit(True).alias("asked"))
-    columns = wide.join(F.broadcast(blocks), "group").withColumn("column", column)
+    columns = wide.join(few, "group").withColumn("column", column)
     columns = columns.select(*kept, F.explode(F.expr("sequence(0, loose_blocks - 1)")).alias("row"), "column", F.lit(False).alias("asked"))
 
     def large_pair(block: pa.Table) -> pa.Table:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestmetrics.llm.common import col, ship_code, stored, table, text_of
+from nestmetrics.llm.common import col, releasing, ship_code, stored, table, text_of
 from nestmetrics.llm.suffix_array import suffix_array
 
 LENGTH = 400
@@ -411,6 +411,10 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
+#: Texts rewritten at a time.
+SLICE = 256
+
+
 def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents without their repeated stretches; n_chars, where there is one, follows."""
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -418,7 +422,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     text_at, size_at = lower.index("text"), lower.index("n_chars") if "n_chars" in lower else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
             columns = list(batch.columns[:-1])
             texts = columns[text_at].to_pylist()
             sizes = columns[size_at].to_pylist() if size_at is not None else []
@@ -435,7 +439,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     plain = docs.toDF(*names)
     texts = keyed(plain, F.col(names[lower.index("doc_id")]), text_of(plain, names[text_at]))
     found = with_cuts(texts, repeated_stretches(docs, length))
-    return found.select(*names, "cuts").mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return found.select(*names, "cuts").mapInArrow(releasing(run), plain.schema).toDF(*docs.columns)
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:

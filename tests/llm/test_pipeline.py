@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert [n for n in llm.queries()] == [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(llm.oracle_sql()) <= set(llm.queries())
 
 
