@@ -22,6 +22,15 @@ def _(m):
     return surrogate_key(m.listings.select("id", "price"), "id", "listing_key")
 
 
+@query(
+    "surrogate_key_copies",
+    "SELECT row_number() OVER (ORDER BY price NULLS FIRST) AS price_key, price FROM calendar",
+)
+def _(m):
+    """Keys of a column that many rows share, null among its values: full buckets are numbered by pieces."""
+    return surrogate_key(m.calendar.select("price"), "price", "price_key", window_rows=2**12)
+
+
 @query(
     "report_row_id",
     """SELECT CAST(row_number() OVER (ORDER BY room_type) AS INTEGER) AS row_id, room_type AS label, n FROM (

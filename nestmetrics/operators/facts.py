@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from nestmetrics.functions.exprs import finite
 from nestmetrics.operators.quantiles import exact_quantiles
-from nestmetrics.session import scratch_path
+from nestmetrics.sources.sinks import stored
 
 
 @dataclass(frozen=True)
@@ -30,12 +30,6 @@ class Fact:
     where: Column = field(default_factory=lambda: F.lit(True))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def count_facts(sources: Sequence[tuple[DataFrame, Sequence[Fact]]]) -> DataFrame:
     """fact, key, v, c: how often each value occurs, over all facts of all tables. Null keys and values count too."""
     parts = []

@@ -13,13 +13,18 @@ from pyspark.sql import types as T
 from nestmetrics.functions.exprs import seeded_hash
 from nestmetrics.operators.radix import bucket_levels
 from nestmetrics.session import scratch_path
+from nestmetrics.sources.sinks import stored
 
 _EARLIER = (Window.unboundedPreceding, -1)
+# Below every bucket code.
+_NULL_CODE = -(2**62)
 
 
 def with_levels(df: DataFrame, order_by: str) -> DataFrame:
+    """Bucket codes of the column, as ``_b1`` and ``_b2``; nulls are a bucket before all others."""
     b1, b2 = bucket_levels(F.col(order_by), df.schema[order_by].dataType)
-    return df.withColumns({"_b1": b1, "_b2": b2})
+    null = F.col(order_by).isNull()
+    return df.withColumns({"_b1": F.when(null, _NULL_CODE).otherwise(b1), "_b2": F.when(null, _NULL_CODE).otherwise(b2)})
 
 
 def bucket_offsets(
@@ -80,21 +85,64 @@ def prefix_sums(
     )
 
 
-def surrogate_key(df: DataFrame, order_by: str, name: str, tie_break: Sequence[str] = ()) -> DataFrame:
+#: Most rows that one window of a numeric key numbers; a bucket of different whole numbers never holds more.
+WINDOW_ROWS = 2**21
+#: Rows of one piece of a bucket with more rows than that.
+_PIECE_BITS = 16
+
+
+def surrogate_key(
+    df: DataFrame, order_by: str, name: str, tie_break: Sequence[str] = (), window_rows: int = WINDOW_ROWS
+) -> DataFrame:
     """Dense 1..n integers in the order of a column, as the first column.
 
-    Nulls come first. Numbers and dates are ordered by bucket codes; a key that many rows share, null
-    included, makes one window, and ids are close to unique. Strings, and orders with a tie-break, are
-    ordered by sampled ranges of the whole order, so copies and nulls are split where a tie-break
-    tells them apart.
+    Nulls come first. Numbers and dates are ordered by bucket codes. A bucket with more than ``window_rows``
+    rows, as a key or null that many rows share makes one, is numbered by pieces instead (``_key_by_pieces``), so
+    no window holds more than that. Strings, and orders with a tie-break, are ordered by sampled ranges of
+    the whole order, so copies and nulls are split where a tie-break tells them apart.
     """
     if tie_break or isinstance(df.schema[order_by].dataType, T.StringType):
         return _key_by_ranges(df, [order_by, *tie_break], name)
     leveled = with_levels(df, order_by)
-    offsets = bucket_offsets(leveled, {"n": F.lit(1)})
-    here = Window.partitionBy("_b1", "_b2").orderBy(order_by, *tie_break)
+    # Stored, so that looking for full buckets and numbering read the table once for their sizes.
+    totals = stored(leveled.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("_rows")), "key-buckets")
+    offsets = bucket_offsets(totals, {"n": F.col("_rows")})
+    full = totals.where(F.col("_rows") > window_rows).select("_b1", "_b2")
+    split = not full.isEmpty()
+    here = Window.partitionBy("_b1", "_b2").orderBy(order_by)
     key = (F.col("_start_n") + F.row_number().over(here)).cast("long").alias(name)
-    return leveled.join(offsets, ["_b1", "_b2"]).select(key, *df.columns)
+    plain = leveled.join(full, ["_b1", "_b2"], "left_anti") if split else leveled
+    numbered = plain.join(offsets, ["_b1", "_b2"]).select(key, *df.columns)
+    if not split:
+        return numbered
+    crowded = leveled.join(full, ["_b1", "_b2"], "left_semi")
+    return numbered.unionByName(_key_by_pieces(crowded, offsets, order_by, name).select(name, *df.columns))
+
+
+def _key_by_pieces(crowded: DataFrame, offsets: DataFrame, order_by: str, name: str) -> DataFrame:
+    """Rows of full buckets, numbered by value and, among copies of a value, by where they are stored.
+
+    A piece is 2**16 rows in a row of one stored partition, so a window over a (value, piece) is no larger.
+    The windows over totals hold the values of one bucket (2**21 at most) or the pieces of one value. The
+    rows are stored first, because their places would change if they were computed again.
+    """
+    placed = stored(crowded.withColumn("_at", F.monotonically_increasing_id()), "key-pieces")
+    # A struct of the value is never null, so plain equality joins keep nulls.
+    rows = placed.withColumns({"_v": F.struct(order_by), "_piece": F.shiftright("_at", _PIECE_BITS)})
+    bucket, value = ["_b1", "_b2"], ["_b1", "_b2", "_v"]
+    sizes = rows.groupBy(*value, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*value).orderBy("_piece").rowsBetween(*_EARLIER)
+    by_piece = sizes.select(*value, "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before_piece"))
+    smaller = Window.partitionBy(*bucket).orderBy("_v").rowsBetween(*_EARLIER)
+    by_value = sizes.groupBy(*value).agg(F.sum("_n").alias("_n")).select(
+        *value, F.coalesce(F.sum("_n").over(smaller), F.lit(0)).alias("_before_value")
+    )
+    starts = by_piece.join(by_value, value).join(offsets, bucket).select(
+        *value, "_piece", (F.col("_start_n") + F.col("_before_value") + F.col("_before_piece")).alias("_start")
+    )
+    here = Window.partitionBy(*value, "_piece").orderBy("_at")
+    inside = rows.withColumn("_inside", F.row_number().over(here))
+    return inside.join(starts, [*value, "_piece"]).withColumn(name, (F.col("_start") + F.col("_inside")).cast("long"))
 
 
 def _key_by_ranges(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:

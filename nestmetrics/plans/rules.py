@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
-from nestmetrics.operators.facts import Fact, count_facts, of, stored, summarise
+from nestmetrics.operators.facts import Fact, count_facts, of, summarise
 from nestmetrics.operators.ordering import number_rows
 from nestmetrics.operators.quantiles import global_quantile, median_by
 from nestmetrics.plans import eda, texts
+from nestmetrics.sources.sinks import stored
 
 # When the rules fire.
 HOST_SHARE = 0.3

@@ -1,9 +1,18 @@
-"""Writers. All of them overwrite: every job is a full reload."""
+"""Writers. All of them overwrite: every job is a full reload. Groups of tables are replaced as a whole by ``versions``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from nestmetrics.session import scratch_path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as read back from a fresh place in the shared folder: computed once, whatever reads them."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)

@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from nestmetrics.operators import ordering
 from nestmetrics.operators.histogram import histogram
 from nestmetrics.operators.joins import lookup_key
 from nestmetrics.operators.ordering import (
@@ -252,3 +253,39 @@ def test_hot_key_of_a_lookup_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_hot_keys_are_numbered_by_pieces(spark, monkeypatch):
+    """A million nulls, a million copies of one key and ids around them: dense, in order, no large window."""
+    window_rows = 2**16
+    df = spark.range(2_200_000, numPartitions=9).selectExpr(
+        "CASE WHEN id < 1000000 THEN NULL WHEN id < 2000000 THEN 77 ELSE id - 2000000 END AS v", "id AS row"
+    )
+    largest = []
+    pieces = ordering._key_by_pieces
+
+    def watched(crowded, *rest):
+        largest.append(crowded.groupBy("v", F.shiftright(F.monotonically_increasing_id(), 16)).count().agg(F.max("count")).first()[0])
+        return pieces(crowded, *rest)
+
+    monkeypatch.setattr(ordering, "_key_by_pieces", watched)
+    keyed = surrogate_key(df, "v", "k", window_rows=window_rows).cache()
+    assert largest and largest[0] <= window_rows
+    assert keyed.columns == ["k", "v", "row"]
+    assert keyed.selectExpr("min(k)", "max(k)", "count(DISTINCT k)", "count(DISTINCT row)").first() == (1, 2_200_000, 2_200_000, 2_200_000)
+    assert keyed.where("v IS NULL").selectExpr("min(k)", "max(k)").first() == (1, 1_000_000)
+    # 0..76 once each, 77 a million and one times, the rest once each.
+    assert keyed.where("v = 77").selectExpr("min(k)", "max(k)").first() == (1_000_078, 2_000_078)
+    assert keyed.where("v < 77 AND k <> 1000001 + v").count() == 0
+    assert keyed.where("v > 77 AND k <> 2000001 + v").count() == 0
+    keyed.unpersist()
+
+
+@pytest.mark.parametrize("window_rows", [1, 3])
+def test_pieces_number_like_windows(spark, window_rows):
+    values = [None, None, None, 5.0, 5.0, -1.5, 0.0, -0.0, 1e300, 5.0, 7.25, 2.0, 2.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.v for r in surrogate_key(df, "v", "k", window_rows=window_rows).orderBy("k").collect()]
+    assert got == sorted(values, key=lambda v: (v is not None, v or 0.0))
+    empty = surrogate_key(df.limit(0), "v", "k", window_rows=window_rows)
+    assert empty.columns == ["k", "v"] and empty.isEmpty()
