@@ -108,6 +108,36 @@ def _(m):
     return row_counts(open_star(m.spark, root))
 
 
+@query(
+    "warehouse_versions",
+    """, priced AS (SELECT * FROM calendar WHERE price IS NOT NULL),
+       kept AS (
+         SELECT 'dim_neighbourhood' AS table_name, count(*) AS row_count FROM dim_neighbourhood
+         UNION ALL SELECT 'dim_host', count(*) FROM dim_host
+         UNION ALL SELECT 'dim_listing', count(*) FROM dim_listing
+         UNION ALL SELECT 'fact_listing_snapshot', count(*) FROM fact_listing_snapshot
+         UNION ALL SELECT 'fact_reviews', count(*) FROM fact_reviews)
+       SELECT 1 AS version, * FROM kept
+       UNION ALL SELECT 2, * FROM kept
+       UNION ALL SELECT 1, 'dim_date', count(*) FROM dim_date
+       UNION ALL SELECT 1, 'fact_calendar', count(*) FROM fact_calendar
+       UNION ALL SELECT 2, 'dim_date', count(DISTINCT date) FROM priced
+       UNION ALL SELECT 2, 'fact_calendar', count(*) FROM priced""",
+)
+def _(m):
+    """Two loads, the second of the priced days only: each version keeps its own rows."""
+    from nestmetrics.plans.warehouse import build_star
+
+    root = scratch_path(m.spark, "versions")
+    for calendar in (m.calendar, m.calendar.where(F.col("price").isNotNull())):
+        build_star(m.spark, root, m.enriched, calendar, m.reviews, m.neighbourhoods)
+    first, second = (
+        row_counts(open_star(m.spark, root, version)).select(F.lit(version).alias("version"), "table_name", "row_count")
+        for version in (1, 2)
+    )
+    return first.unionByName(second)
+
+
 @query(
     "scan_with_fallback",
     "SELECT strptime(date_key::VARCHAR, '%Y%m%d')::DATE AS date, available, price, NULL::VARCHAR AS currency FROM fact_calendar",

@@ -11,7 +11,7 @@ from nestmetrics.functions import exprs as E
 from nestmetrics.operators.joins import lookup_key
 from nestmetrics.operators.ordering import dedupe_keep_first, surrogate_key
 from nestmetrics.schemas import star_schema
-from nestmetrics.sources import sinks
+from nestmetrics.sources import sinks, versions
 
 # Source column -> star column where the names differ.
 LISTING_RENAMES = {"id": "listing_id"}
@@ -98,17 +98,21 @@ def build_star(
     table_prefix: str | None = None,
     buckets: int | None = None,
 ) -> Star:
-    """Write all seven tables below ``root`` (full reload) and return them as read back.
+    """Write all seven tables as a new version below ``root`` (full reload) and return them as read back.
 
-    Dimensions are written first: later tables look keys up in the stored ones. With a
-    ``table_prefix`` and ``buckets`` the two listing-grain tables are bucketed by listing_key,
-    so that joining them needs no shuffle. The calendar is laid out by month.
+    The version is published after its last table is written, so a reload that fails leaves the star
+    before it whole, and readers never see tables of two loads. Dimensions are written first: later tables
+    look keys up in the stored ones. With a ``table_prefix`` and ``buckets`` the two listing-grain
+    tables are bucketed by listing_key, so that joining them needs no shuffle; their names end with the
+    load's. The calendar is laid out by month.
     """
+    folder = versions.begin(root)
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        path = f"{root}/{name}"
+        path = f"{folder}/{name}"
         if buckets and table_prefix and name in ("dim_listing", "fact_listing_snapshot"):
-            return sinks.write_bucketed(df, f"{table_prefix}_{name}", path, "listing_key", buckets)
+            load = folder.rsplit("-", 1)[-1]
+            return sinks.write_bucketed(df, f"{table_prefix}_{name}_{load}", path, "listing_key", buckets)
         if name == "fact_calendar":
             month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(0))
             sinks.write_partitioned(df.withColumn("month_key", month), path, "month_key")
@@ -119,7 +123,7 @@ def build_star(
     areas = stored(dim_neighbourhood(neighbourhoods), "dim_neighbourhood")
     hosts = stored(dim_host(enriched), "dim_host")
     listings = stored(dim_listing(enriched, areas, hosts), "dim_listing")
-    return Star(
+    star = Star(
         dim_neighbourhood=areas,
         dim_host=hosts,
         dim_listing=listings,
@@ -128,11 +132,17 @@ def build_star(
         fact_calendar=stored(fact_calendar(calendar), "fact_calendar"),
         fact_reviews=stored(fact_reviews(reviews), "fact_reviews"),
     )
+    versions.publish(spark, root, folder)
+    return star
 
 
-def open_star(spark: SparkSession, root: str) -> Star:
-    """The seven tables of a star written earlier, as plain Parquet."""
-    return Star(**{f.name: spark.read.schema(star_schema(f.name)).parquet(f"{root}/{f.name}") for f in fields(Star)})
+def open_star(spark: SparkSession, root: str, version: int | None = None) -> Star:
+    """The seven tables of the newest version, or of one by its number, as plain Parquet.
+
+    The version is resolved once, here: the frames keep to it when later loads are published.
+    """
+    folder = versions.resolve(spark, root, version).folder
+    return Star(**{f.name: spark.read.schema(star_schema(f.name)).parquet(f"{folder}/{f.name}") for f in fields(Star)})
 
 
 def row_counts(star: Star) -> DataFrame:
