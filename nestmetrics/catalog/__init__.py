@@ -10,6 +10,7 @@ GROUPS = (
     "sources",
     "joins",
     "aggregates",
+    "sketching",
     "ordering",
     "warehouse",
     "quality",
