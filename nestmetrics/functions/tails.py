@@ -9,29 +9,31 @@ import math
 
 from pyspark.sql import DataFrame
 
-# Chebyshev coefficients of the complementary error function
-# (Numerical Recipes, relative error below 1.2e-7).
-ERFC_COEFFICIENTS = (
-    -1.26551223,
-    1.00002368,
-    0.37409196,
-    0.09678418,
-    -0.18628806,
-    0.27886807,
-    -1.13520398,
-    1.48851587,
-    -0.82215223,
-    0.17087277,
-)
+# Steps of the series and fractions below. Each reaches double precision with these for its range of arguments.
+_SERIES_STEPS = 60
+_FRACTION_STEPS = 60
+_BETA_SERIES_STEPS = 200
+#: Where the complementary error function changes from its power series to its continued fraction.
+_ERFC_SPLIT = 2.0
+#: Above so many degrees of freedom, and below so large a t squared, the beta series converges fast and loses nothing.
+_LARGE_DOF, _LARGE_SQUARE = 100.0, 25.0
 
 
 def erfc(x: str) -> str:
-    """Complementary error function of x >= 0."""
-    t = f"(1D / (1D + {x} / 2))"
-    poly = f"{ERFC_COEFFICIENTS[-1]}D"
-    for c in reversed(ERFC_COEFFICIENTS[:-1]):
-        poly = f"({c}D + {t} * {poly})"
-    return f"({t} * exp(-{x} * {x} + {poly}))"
+    """Complementary error function of x >= 0, to about 13 digits.
+
+    Below 2 one less the power series of positive terms; above, the continued fraction from its innermost step.
+    """
+    step = f"acc.term * 2 * {x} * {x} / (2 * n + 1)"
+    series = (
+        f"aggregate(sequence(1, {_SERIES_STEPS}), named_struct('term', {x}, 'total', {x}), (acc, n) -> "
+        f"named_struct('term', {step}, 'total', acc.total + {step})).total"
+    )
+    fraction = f"aggregate(sequence({_FRACTION_STEPS}, 1, -1), {x}, (f, n) -> {x} + n / 2D / f)"
+    return (
+        f"(CASE WHEN {x} < {_ERFC_SPLIT}D THEN 1D - {2 / math.sqrt(math.pi)}D * exp(-{x} * {x}) * {series} "
+        f"ELSE exp(-{x} * {x}) / ({math.sqrt(math.pi)}D * {fraction}) END)"
+    )
 
 
 def normal_two_sided(z: str) -> str:
@@ -59,39 +61,46 @@ def chi_square_upper(x: str, dof: str) -> str:
     return f"CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {odd} END"
 
 
-def _log_gamma(x: str) -> str:
-    """Stirling series after shifting the argument up by 8."""
-    y = f"({x} + 8D)"
-    shifted = " * ".join(f"({x} + {k}D)" for k in range(8))
-    series = f"1D / (12 * {y}) - 1D / (360 * pow({y}, 3)) + 1D / (1260 * pow({y}, 5))"
-    return f"(({y} - 0.5D) * ln({y}) - {y} + {0.5 * math.log(2 * math.pi)}D + {series} - ln({shifted}))"
+def _gamma_ratio(a: str) -> str:
+    """Gamma(a + 1/2) / Gamma(a) for a > 0: its expansion in 1/a, the argument shifted up by 16.
+
+    Taken as one expression, because the difference of two large logarithms would lose digits.
+    """
+    y = f"({a} + 16D)"
+    expansion = f"-1D / (8 * {y}) + 1D / (192 * pow({y}, 3)) - 1D / (640 * pow({y}, 5)) + 17D / (14336 * pow({y}, 7))"
+    shifted = " * ".join(f"(({a} + {k}D) / ({a} + {k}.5D))" for k in range(16))
+    return f"(sqrt({y}) * exp({expansion}) * {shifted})"
 
 
 def with_student_t_tail(df: DataFrame, t: str, dof: str, out: str, terms: int = 150) -> DataFrame:
-    """Add P(|T| > |t|): the regularised incomplete beta function by its continued fraction."""
-    # The fraction converges fast below the mean of the beta variable; it is mirrored above.
-    df = df.selectExpr("*", f"{dof} / ({dof} + {t} * {t}) AS _x").selectExpr(
-        "*", f"_x > ({dof} / 2 + 1) / ({dof} / 2 + 2.5D) AS _mirrored"
-    )
+    """Add P(|T| > |t|), for any number of degrees of freedom: the regularised incomplete beta function.
+
+    For small t, and for moderate t with many degrees of freedom, one less the series of positive terms for the
+    centre; else the continued fraction for the tail itself, so that small probabilities keep their digits.
+    """
+    df = df.selectExpr("*", f"try_divide({t} * {t}, {dof}) AS _q", f"{dof} / 2 AS _a")
     df = df.selectExpr(
         "*",
-        f"CASE WHEN _mirrored THEN 0.5D ELSE {dof} / 2 END AS _a",
-        f"CASE WHEN _mirrored THEN {dof} / 2 ELSE 0.5D END AS _b",
-        "CASE WHEN _mirrored THEN 1D - _x ELSE _x END AS _y",
+        # x = dof / (dof + t^2) is near 1 with many degrees of freedom: its logarithm and 1 - x are taken from q.
+        "1D / (1D + _q) AS _x",
+        "_q / (1D + _q) AS _y",
+        f"{_gamma_ratio('_a')} * exp(-_a * log1p(_q)) / {math.sqrt(math.pi)}D AS _f",
+        f"1D / (1D + _q) > (_a + 1) / (_a + 2.5D) OR ({dof} > {_LARGE_DOF}D AND {t} * {t} < {_LARGE_SQUARE}D) AS _central",
+    )
+    grow = "acc.term * (_a + 0.5D + n) / (1.5D + n) * _y"
+    centre = (
+        f"2D * _f * sqrt(_y) * aggregate(sequence(0, {_BETA_SERIES_STEPS}), named_struct('term', 1D, 'total', 1D), "
+        f"(acc, n) -> named_struct('term', {grow}, 'total', acc.total + {grow})).total"
     )
-    # Coefficients alternate: even and odd steps of the fraction.
+    # Coefficients of the fraction alternate: even and odd steps.
     m = "double(j div 2)"
-    even = f"{m} * (_b - {m}) * _y / ((_a + 2 * {m} - 1) * (_a + 2 * {m}))"
-    odd = f"-(_a + {m}) * (_a + _b + {m}) * _y / ((_a + 2 * {m}) * (_a + 2 * {m} + 1))"
+    even = f"{m} * (0.5D - {m}) * _x / ((_a + 2 * {m} - 1) * (_a + 2 * {m}))"
+    odd = f"-(_a + {m}) * (_a + 0.5D + {m}) * _x / ((_a + 2 * {m}) * (_a + 2 * {m} + 1))"
     k = f"(CASE WHEN j % 2 = 0 THEN {even} ELSE {odd} END)"
-    first = "1D / (1D - (_a + _b) * _y / (_a + 1))"
-    df = df.selectExpr(
-        "*",
-        f"""aggregate(sequence(2, {2 * terms + 1}), named_struct('c', 1D, 'd', {first}, 'h', {first}), (acc, j) ->
-            named_struct('c', 1D + {k} / acc.c, 'd', 1D / (1D + {k} * acc.d),
-                         'h', acc.h * (1D + {k} / acc.c) / (1D + {k} * acc.d))).h AS _h""",
-        f"{_log_gamma('(_a + _b)')} - {_log_gamma('_a')} - {_log_gamma('_b')} + _a * ln(_y) + _b * ln(1D - _y) AS _f",
-    )
-    # A difference of exactly 0 has no logarithm; every value is then as extreme.
-    tail = f"""CASE WHEN {t} = 0 THEN 1D WHEN _mirrored THEN 1D - exp(_f) * _h / _a ELSE exp(_f) * _h / _a END"""
-    return df.selectExpr("*", f"{tail} AS {out}").drop("_x", "_mirrored", "_a", "_b", "_y", "_h", "_f")
+    first = "1D / (1D - (_a + 0.5D) * _x / (_a + 1))"
+    tail = f"""_f * sqrt(_y) / _a * aggregate(sequence(2, {2 * terms + 1}), named_struct('c', 1D, 'd', {first}, 'h', {first}),
+        (acc, j) -> named_struct('c', 1D + {k} / acc.c, 'd', 1D / (1D + {k} * acc.d),
+                                 'h', acc.h * (1D + {k} / acc.c) / (1D + {k} * acc.d))).h"""
+    # A difference of exactly 0: every value is as extreme.
+    chosen = f"CASE WHEN {t} = 0 THEN 1D WHEN _central THEN greatest(0D, 1D - {centre}) ELSE {tail} END"
+    return df.selectExpr("*", f"{chosen} AS {out}").drop("_q", "_a", "_x", "_y", "_f", "_central")

@@ -196,3 +196,26 @@ def test_figures_of_several_samples(spark):
             assert got[t][f"mean_{g}"] == pytest.approx(mean) and got[t][f"var_{g}"] == pytest.approx(m2 * n / (n - 1))
             assert got[t][f"skew_{g}"] == pytest.approx(m3 / m2**1.5) and got[t][f"excess_{g}"] == pytest.approx(m4 / m2**2 - 3)
         assert got[t].tie_sum == sum(pooled.count(v) ** 3 - pooled.count(v) for v in set(pooled))
+
+
+def test_tails_keep_their_digits(spark):
+    """Against closed forms, for one to a million million degrees of freedom."""
+    closed = {
+        1.0: lambda t: 2 / math.pi * math.atan(1 / t),
+        2.0: lambda t: 2 / (2 + t * t + t * math.sqrt(2 + t * t)),
+        1e12: lambda t: math.erfc(t / math.sqrt(2)),
+    }
+    cases = [(t, v) for v in closed for t in (0.001, 0.3, 1.0, 1.72, 1.74, 3.0, 4.9)]
+    df = spark.createDataFrame(cases, "t double, v double")
+    for row in with_student_t_tail(df, "t", "v", "p").collect():
+        assert row.p == pytest.approx(closed[row.v](row.t), rel=1e-8), (row.t, row.v)
+    zs = [0.0, 0.5, 1.96, 2.8, 2.83, 6.0, 30.0, 60.0]
+    got = spark.createDataFrame([(z,) for z in zs], "z double").selectExpr(f"{normal_two_sided('z')} AS p").collect()
+    for z, row in zip(zs, got, strict=True):
+        assert row.p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-12, abs=1e-300)
+
+
+def test_tails_of_nothing_are_null(spark):
+    df = spark.createDataFrame([(None, 3.0), (1.0, None), (0.0, 3.0)], "t double, v double")
+    assert [r.p for r in with_student_t_tail(df, "t", "v", "p").collect()] == [None, None, 1.0]
+    assert spark.sql(f"SELECT {normal_two_sided('CAST(NULL AS DOUBLE)')} AS p").first().p is None
