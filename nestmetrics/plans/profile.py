@@ -16,81 +16,140 @@ def is_date_like(name: str) -> bool:
     return any(word in name.lower() for word in DATE_WORDS)
 
 
+#: What a row's own digest is counted under, next to its cells' under their columns' numbers.
+_ROW = -1
+
+
+def _hashable(field: T.StructField) -> Column:
+    """The value as the hash functions take it: composed values as text, the two zeros as one."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType)):
+        return F.to_json(value)
+    return (value + F.lit(0.0)).cast(field.dataType) if _is_float(field) else value
+
+
+def _is_float(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.DoubleType, T.FloatType))
+
+
+def digest(*values: Column) -> tuple[Column, Column]:
+    """128 bits of some values, as two hashes of 64 from different starts. Nulls take no part: hash their places too."""
+    return F.xxhash64(F.lit(1), *values), F.xxhash64(F.lit(2), *values)
+
+
+def row_digest(df: DataFrame) -> tuple[Column, Column]:
+    """128 bits of a whole row, equal for rows that are equal in every column, nulls included."""
+    values = [_hashable(f) for f in df.schema.fields]
+    return digest(F.array(F.lit(True), *[v.isNull() for v in values]), *values)
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier one in every column."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """One row: how many rows repeat an earlier one in every column. Only digests of rows are shuffled."""
+    first, second = row_digest(df)
+    copies = df.select(first.alias("_d1"), second.alias("_d2")).groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_n"))
     return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
-def _present(field: T.StructField) -> Column:
+def _known(field: T.StructField) -> Column:
     """The value, null where a number is not one."""
-    value = F.col(field.name)
-    return F.when(~F.isnan(value), value) if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else value
+    value = _hashable(field)
+    return F.when(~F.isnan(value), value) if _is_float(field) else value
+
+
+def _extent(field: T.StructField) -> tuple[str, Column, T.DataType] | None:
+    """How a column's range is carried: under which name, the value, and the type that it is shown as."""
+    dtype = field.dataType
+    if isinstance(dtype, T.IntegralType):
+        return "long", _known(field).cast("long"), dtype
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return "double", _known(field).cast("double"), dtype
+    if isinstance(dtype, T.DecimalType):
+        return f"decimal_{dtype.scale}", _known(field).cast(T.DecimalType(38, dtype.scale)), dtype
+    if is_date_like(field.name) and isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "long", F.unix_date(parse_date_lenient(_known(field), dtype)).cast("long"), T.DateType()
+    return None
+
+
+def _shown(label: str, extents: list) -> Column:
+    """The lowest or highest value as text, in the type of the column that a row of figures is about."""
+    kinds: dict[tuple[str, str], list[int]] = {}
+    for i, extent in enumerate(extents):
+        if extent:
+            kinds.setdefault((extent[0], "long" if isinstance(extent[2], T.IntegralType) else extent[2].simpleString()), []).append(i)
+    text = F.lit(None).cast("string")
+    for (name, dtype), numbers in kinds.items():
+        value = F.col(f"{label}_{name}")
+        typed = F.date_from_unix_date(value.cast("int")) if dtype == "date" else value.cast(dtype)
+        text = F.when(F.col("_i").isin(numbers), typed.cast("string")).otherwise(text)
+    return text
 
 
-def _extent(name: str, dtype: T.DataType) -> tuple[Column, Column] | None:
-    if isinstance(dtype, T.NumericType):
-        value = F.col(name)
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            value = F.when(~F.isnan(value), value)
-    elif is_date_like(name) and isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        value = parse_date_lenient(F.col(name), dtype)
-    else:
-        return None
-    return F.min(value).cast("string"), F.max(value).cast("string")
+def _carrier_type(name: str) -> str:
+    return f"decimal(38,{name.removeprefix('decimal_')})" if name.startswith("decimal_") else name
 
 
 def profile_table(df: DataFrame, file_key: str, file_name: str) -> DataFrame:
     """One row per column: counts, share of nulls, distinct values, range of numbers and dates.
 
-    Counts and ranges come from one wide aggregate. Distinct values come from (column, value)
-    pairs that are collapsed before the shuffle, because one COUNT(DISTINCT) per column would
-    copy every row once per column. Ranges keep all digits: they are text, not floats.
+    One scan: each row is dealt into the digests of its cells, with the value itself only where a range is asked for,
+    and one of the whole row. Equal digests collapse before the shuffle, which holds no texts, and all
+    figures are sums over the groups. Ranges keep all digits: they are text, not floats.
     """
     fields = df.schema.fields
-    aggregates = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        present = F.col(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            present = F.when(~F.isnan(present), present)
-        aggregates.append(F.count(present).alias(f"_present_{i}"))
-        extent = _extent(f.name, f.dataType)
-        if extent:
-            aggregates += [extent[0].alias(f"_min_{i}"), extent[1].alias(f"_max_{i}")]
-    wide = df.agg(*aggregates)
-    none = F.lit(None).cast("string")
-    per_column = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f.name).alias("column_name"),
-                        F.lit(f.dataType.simpleString()).alias("dtype"),
-                        F.col("_rows").alias("row_count"),
-                        (F.col("_rows") - F.col(f"_present_{i}")).alias("missing_count"),
-                        (F.col(f"_min_{i}") if f"_min_{i}" in wide.columns else none).alias("min_value"),
-                        (F.col(f"_max_{i}") if f"_max_{i}" in wide.columns else none).alias("max_value"),
-                    )
-                    for i, f in enumerate(fields)
-                ]
-            )
-        )
+    extents = [_extent(f) for f in fields]
+    # The ranges' carriers, in a fixed order: one for whole numbers and days, one for floats, one for each decimal scale.
+    carried = sorted({extent[0] for extent in extents if extent})
+
+    none = {name: F.lit(None).cast(_carrier_type(name)) for name in carried}
+
+    def dealt(number: int, text: Column, extent=None) -> Column:
+        ranges = [(extent[1] if extent and extent[0] == name else none[name]).alias(f"_{name}") for name in carried]
+        return F.struct(F.lit(number).alias("_i"), text.alias("_text"), *ranges)
+
+    cells = [dealt(_ROW, F.concat_ws(":", *row_digest(df)))]
+    cells += [dealt(i, _known(f).cast("string"), extent) for i, (f, extent) in enumerate(zip(fields, extents, strict=True))]
+    # Hashed after they are dealt out: one piece of code for all columns.
+    first, second = digest(F.col("_text"))
+    groups = (
+        df.select(F.inline(F.array(*cells)))
+        .where("_text IS NOT NULL")
+        .select("_i", first.alias("_d1"), second.alias("_d2"), *[f"_{name}" for name in carried])
+        .groupBy("_i", "_d1", "_d2")
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.min(f"_{name}").alias(f"_{name}") for name in carried])
+    )
+    figures = groups.groupBy("_i").agg(
+        F.sum("_n").alias("rows"),
+        F.count(F.lit(1)).alias("different"),
+        *[side(f"_{name}").alias(f"{label}_{name}") for name in carried for label, side in (("low", F.min), ("high", F.max))],
     )
-    pairs = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_i"), _present(f).cast("string").alias("_value"))
-                    for i, f in enumerate(fields)
-                ]
-            )
+    shown = {label: _shown(label, extents).alias(f"{label}_value") for label in ("low", "high")}
+    # One row for each column, gathered in one and looked up by each column.
+    entry = F.struct("_i", F.struct("rows", "different", shown["low"], shown["high"]))
+    found = figures.agg(F.map_from_entries(F.collect_list(entry)).alias("_found"))
+    names = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("dtype"))
+            for i, f in enumerate(fields)
+        ]
+    )
+
+    def report(column: Column) -> Column:
+        own, whole = F.try_element_at("_found", column["i"]), F.try_element_at("_found", F.lit(_ROW))
+        rows = F.coalesce(whole["rows"], F.lit(0))
+        return F.struct(
+            column["name"].alias("column_name"),
+            column["dtype"].alias("dtype"),
+            rows.alias("row_count"),
+            (rows - F.coalesce(own["rows"], F.lit(0))).alias("missing_count"),
+            F.coalesce(own["different"], F.lit(0)).alias("unique_count"),
+            (rows - F.coalesce(whole["different"], F.lit(0))).alias("duplicate_rows"),
+            own["low_value"].alias("min_value"),
+            own["high_value"].alias("max_value"),
         )
-    ).where("_value IS NOT NULL")
-    distinct = pairs.distinct().groupBy("_i").agg(F.count(F.lit(1)).alias("unique_count"))
-    names = F.create_map(*[x for i, f in enumerate(fields) for x in (F.lit(i), F.lit(f.name))])
-    distinct = distinct.select(names[F.col("_i")].alias("column_name"), "unique_count")
-    # One row per column on either side.
-    return per_column.join(F.broadcast(distinct), "column_name", "left").select(
+
+    per_column = found.select(F.inline(F.transform(names, report)))
+    share = F.rint(F.col("missing_count") / F.col("row_count") * 100 * 100.0) / 100.0
+    return per_column.select(
         F.lit(file_key).alias("file_key"),
         F.lit(file_name).alias("file_name"),
         "column_name",
@@ -98,13 +157,9 @@ def profile_table(df: DataFrame, file_key: str, file_name: str) -> DataFrame:
         "row_count",
         F.lit(len(fields)).cast("long").alias("column_count"),
         "missing_count",
-        F.when(
-            F.col("row_count") > 0, F.rint(F.col("missing_count") / F.col("row_count") * 100 * 100.0) / 100.0
-        )
-        .otherwise(0.0)
-        .alias("missing_pct"),
-        F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
-        duplicate_rows(df).scalar().alias("duplicate_rows"),
+        F.when(F.col("row_count") > 0, share).otherwise(0.0).alias("missing_pct"),
+        "unique_count",
+        "duplicate_rows",
         "min_value",
         "max_value",
     )

@@ -92,6 +92,30 @@ def test_profile_counts_and_ranges(spark):
     assert {r.duplicate_rows for r in got.values()} == {1} and {r.row_count for r in got.values()} == {3}
 
 
+def test_profile_reads_a_table_once_and_shuffles_no_texts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(50).selectExpr("id", "repeat('long text ', 100) AS body", "decimal(id % 7) AS cost", "map('k', id % 2) AS m").write.parquet(path)
+    df = spark.read.parquet(path)
+    report = profile.profile_table(df, "t", "t.csv")
+    plan = report._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Relation [") == 1
+    shuffled = [line for line in plan.executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and not any("body" in line or "_text" in line for line in shuffled)
+    got = {r.column_name: r for r in report.collect()}
+    assert [got[c].unique_count for c in ("id", "body", "cost", "m")] == [50, 1, 7, 2]
+    assert (got["cost"].min_value, got["cost"].max_value, got["cost"].duplicate_rows) == ("0", "6", 0)
+
+
+def test_rows_are_equal_only_in_every_column(spark):
+    rows = [(None, 1, "a"), (1, None, "a"), (None, 1, "a"), (None, None, "a"), (None, None, None), (None, None, None), (0, 0, "")]
+    df = spark.createDataFrame(rows, "x int, y int, s string")
+    assert profile.duplicate_rows(df).first().duplicate_rows == 2
+    floats = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (None,)], "f double")
+    assert profile.duplicate_rows(floats).first().duplicate_rows == 2
+    assert profile.profile_table(floats, "f", "f.csv").first().unique_count == 1
+    assert profile.duplicate_rows(df.limit(0)).first().duplicate_rows == 0
+
+
 def test_profile_of_empty_and_broken_tables(spark):
     empty = spark.createDataFrame([], "a string, b int")
     report = profile.profile_tables(spark, {"e": ("e.csv", empty), "bad": ("bad.csv", ValueError("out of memory"))})
