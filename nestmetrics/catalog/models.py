@@ -1,7 +1,7 @@
 """Price models.
 
-Fitted models are checked by row counts here and by properties in the unit tests; the feature
-frame, the imputed values and the split size are checked in SQL.
+The feature frame, the split, the imputed values, the scaling, the one-hot levels and what least squares must
+leave are checked in SQL; trees by row counts here and by properties in the unit tests.
 """
 
 from __future__ import annotations
@@ -80,36 +80,40 @@ def _(m):
     return ml.most_frequent(train, ("room_type", "neighbourhood_cleansed"))
 
 
-@query("ml_scale")
-def _(m):
-    """Mean and deviation of every scaled feature over the training rows: about 0 and 1."""
-    from pyspark.ml.stat import Summarizer
+BOOLEANS = ("host_is_superhost", "is_professional_host")
 
-    summary = m.prepared.train.select(
-        Summarizer.metrics("mean", "std", "count").summary(F.col("features")).alias("s")
-    )
-    n = len(m.prepared.scaled)
-    return summary.select(
-        F.slice(_array("s.mean"), 1, n).alias("means"), F.slice(_array("s.std"), 1, n).alias("deviations"), "s.count"
+
+def scaled_sql() -> str:
+    """Mean and deviation of each feature over the training rows, missing numbers filled with their median."""
+    train = "split WHERE NOT is_test"
+    filled = {c: f"coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM {train}))" for c in ml.NUMERIC_FEATURES}
+    filled |= {c: f"CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for c in BOOLEANS}
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS deviation FROM (SELECT {v} AS v FROM {train}) HAVING count(v) > 0"
+        for c, v in filled.items()
     )
 
 
-def _array(column: str):
-    from pyspark.ml.functions import vector_to_array
+@query("ml_scale", SPLIT + scaled_sql())
+def _(m):
+    """What each scaled feature is centred and divided by, as fitted on the training rows."""
+    return ml.scaling(m.prepared).select("feature", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
 
-    return vector_to_array(F.col(column))
 
+def levels_sql() -> str:
+    """The training rows of each level, missing ones filled with the most frequent."""
+    parts = []
+    for c in ("room_type", "neighbourhood_cleansed"):
+        known = f"split WHERE NOT is_test AND {c} IS NOT NULL"
+        mode = f"(SELECT {c} FROM {known} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+        parts.append(f"SELECT '{c}_' || coalesce({c}, {mode}) AS feature, count(*) AS n FROM split WHERE NOT is_test GROUP BY 1")
+    return " UNION ALL ".join(parts)
 
-@query("ml_one_hot")
+
+@query("ml_one_hot", SPLIT + levels_sql())
 def _(m):
     """Training rows per one-hot level."""
-    p = m.prepared
-    names = ml.feature_names(p)
-    first = len(p.scaled)
-    values = _array("features")
-    return p.train.agg(
-        *[F.sum(F.element_at(values, i + 1)).cast("long").alias(names[i]) for i in range(first, len(names))]
-    )
+    return ml.one_hot_rows(m.prepared)
 
 
 @cache
@@ -130,6 +134,26 @@ def _(m):
     return _result(m, "Linear Regression")
 
 
+@query(
+    "ml_normal_equations",
+    f"""{SPLIT}, features AS ({scaled_sql()}), levels AS ({levels_sql()})
+    SELECT feature, true AS holds FROM features UNION ALL SELECT feature, true FROM levels
+    UNION ALL SELECT '{ml.CONSTANT}', true UNION ALL SELECT '(r2)', true""",
+)
+def _(m):
+    """Whether the linear fit is one of least squares.
+
+    For each feature, the residuals of the training rows are orthogonal to it. (r2): one less the share of
+    the variance left is the squared correlation of predictions and labels, which holds for least squares alone.
+    """
+    model = _model(m, "Linear Regression")
+    orthogonal = ml.normal_equations(m.prepared, model).select("feature", (F.abs("cosine") < 1e-6).alias("holds"))
+    fitted = model.transform(m.prepared.train)
+    squared = fitted.agg(F.pow(F.corr(ml.LABEL, "prediction"), 2)).scalar()
+    agreed = ml.evaluate(fitted).select("r2", squared.alias("squared"))
+    return orthogonal.unionByName(agreed.select(F.lit("(r2)").alias("feature"), (F.abs(F.col("r2") - F.col("squared")) < 1e-6).alias("holds")))
+
+
 @query("ml_random_forest")
 def _(m):
     return _result(m, "Random Forest")

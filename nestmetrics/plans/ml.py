@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestmetrics.functions import exprs as E
@@ -36,6 +37,7 @@ LEAKING_FEATURES = ("price_per_bedroom",)
 MIN_ROWS = 100
 SEED = 42
 LABEL = "label"
+CONSTANT = "(constant)"
 
 
 @dataclass(frozen=True)
@@ -225,6 +227,47 @@ def prepare(enriched: DataFrame, leak_free: bool = False) -> Prepared:
     )
 
 
+def scaling(prepared: Prepared) -> DataFrame:
+    """feature, mean, deviation: what each scaled feature is centred and divided by."""
+    scaler = prepared.stages.stages[1]
+    rows = [
+        (name, float(mean), float(deviation))
+        for name, mean, deviation in zip(prepared.scaled, scaler.mean.toArray(), scaler.std.toArray(), strict=True)
+    ]
+    return prepared.train.sparkSession.createDataFrame(rows, "feature string, mean double, deviation double")
+
+
+def _cells(rows: DataFrame, prepared: Prepared, *carried: str) -> DataFrame:
+    """feature and x of each entry of the feature vectors that is not 0, the constant 1 among them, and what is carried along."""
+    names = F.array(*[F.lit(n) for n in [*feature_names(prepared), CONSTANT]])
+    entries = F.concat(vector_to_array(F.col("features")), F.array(F.lit(1.0)))
+    dealt = rows.select(*carried, F.posexplode(entries).alias("_at", "x")).where("x <> 0")
+    return dealt.select(F.get(names, F.col("_at")).alias("feature"), "x", *carried)
+
+
+def one_hot_rows(prepared: Prepared) -> DataFrame:
+    """feature and n: the training rows of each one-hot level."""
+    coded = feature_names(prepared)[len(prepared.scaled):]
+    return _cells(prepared.train, prepared).where(F.col("feature").isin(coded)).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+
+
+def normal_equations(prepared: Prepared, model) -> DataFrame:
+    """feature and cosine, for each feature and the constant: what the fit leaves of the normal equations.
+
+    Least squares leaves residuals orthogonal to every feature. The products are summed by feature over all
+    training rows, as partial sums before the shuffle; the cosine is the sum over the norms of both sides.
+    """
+    fitted = model.transform(prepared.train).withColumn("r", F.col(LABEL) - F.col("prediction"))
+    sums = _cells(fitted, prepared, "r").groupBy("feature").agg(
+        F.sum(F.col("r") * F.col("x")).alias("product"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("r") * F.col("r")).alias("rr")
+    )
+    # One row for each feature; the constant's holds the residuals of all rows.
+    all_rows = F.max(F.when(F.col("feature") == CONSTANT, F.col("rr"))).over(Window.partitionBy(F.lit(1)))
+    # Residuals of 0 are orthogonal to everything.
+    cosine = F.coalesce(F.try_divide(F.col("product"), F.sqrt(F.col("xx") * all_rows)), F.lit(0.0))
+    return sums.select("feature", cosine.alias("cosine"))
+
+
 def evaluate(predictions: DataFrame) -> DataFrame:
     """One row: R2 on the log scale; MAE and RMSE in currency over finite predictions."""
     actual, predicted = E.unlog_price(F.col(LABEL)), E.unlog_price(F.col("prediction"))

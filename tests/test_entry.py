@@ -53,8 +53,7 @@ ml_random_forest ml_boosted_trees ml_evaluate ml_feature_importance
 
 # Operators whose result SQL cannot state.
 WITHOUT_SQL = {
-    "ingest_manifest", "ml_scale",
-    "ml_one_hot", "ml_linear_regression", "ml_random_forest", "ml_boosted_trees", "ml_model_results",
+    "ingest_manifest", "ml_linear_regression", "ml_random_forest", "ml_boosted_trees", "ml_model_results",
     "ml_feature_importance", "dash_best_model",
 }
 

@@ -111,3 +111,19 @@ def test_measures_leave_out_infinite_predictions(spark):
 def test_most_frequent_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), (None,), (None,), (None,)], "c string")
     assert ml.most_frequent(df, ("c",)).first().c == "a"
+
+
+def test_normal_equations_tell_least_squares_from_other_fits(prepared):
+    exact = ml.normal_equations(prepared, ml.linear_regression().fit(prepared.train)).collect()
+    assert {r.feature for r in exact} <= {*ml.feature_names(prepared), ml.CONSTANT} and ml.CONSTANT in {r.feature for r in exact}
+    assert all(abs(r.cosine) < 1e-6 for r in exact)
+    shrunk = ml.linear_regression().setRegParam(0.5).fit(prepared.train)
+    assert max(abs(r.cosine) for r in ml.normal_equations(prepared, shrunk).collect()) > 1e-3
+
+
+def test_scaling_and_levels_are_those_of_the_training_rows(prepared):
+    rows = ml.scaling(prepared).collect()
+    assert [r.feature for r in rows] == list(prepared.scaled)
+    levels = {r.feature: r.n for r in ml.one_hot_rows(prepared).collect()}
+    by_column = {c: sum(n for f, n in levels.items() if f.startswith(f"{c}_")) for c in prepared.features.categorical}
+    assert set(by_column.values()) == {prepared.train_rows}
