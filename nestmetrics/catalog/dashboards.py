@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from nestmetrics.catalog.aggregates import histogram_sql
 from nestmetrics.catalog.quality import REPORT
-from nestmetrics.catalog.registry import query
+from nestmetrics.catalog.registry import ORACLES, VIEWS, query
 from nestmetrics.plans import dashboard, quality
 
 
@@ -121,3 +121,41 @@ def _(m):
 )
 def _(m):
     return dashboard.filter_options(m.enriched)
+
+
+# The same views where only the warehouse is there.
+
+
+@query("dash_neighbourhood_matrix_from_star", ORACLES["dash_neighbourhood_matrix"].removeprefix(VIEWS))
+def _(m):
+    return dashboard.neighbourhood_matrix(dashboard.view_from_star(m.star, host=False))
+
+
+@query("dash_map_points_from_star", ORACLES["dash_map_points"].removeprefix(VIEWS))
+def _(m):
+    return dashboard.map_points(dashboard.view_from_star(m.star, host=False))
+
+
+@query("dash_host_segments_from_star", ORACLES["dash_host_segments"].removeprefix(VIEWS))
+def _(m):
+    return dashboard.host_segments(dashboard.view_from_star(m.star, area=False))
+
+
+@query("dash_improvement_targets_from_star", ORACLES["dash_improvement_targets"].removeprefix(VIEWS))
+def _(m):
+    return dashboard.improvement_targets(dashboard.view_from_star(m.star, host=False))
+
+
+@query("filter_options_from_star", ORACLES["filter_options"].removeprefix(VIEWS))
+def _(m):
+    return dashboard.filter_options(dashboard.view_from_star(m.star, host=False))
+
+
+@query(
+    "dash_seasonality_adjusted",
+    ", priced AS (SELECT date, adjusted_price AS price FROM calendar)"
+    + ORACLES["dash_seasonality"].removeprefix(VIEWS).replace("FROM calendar", "FROM priced"),
+)
+def _(m):
+    """A calendar without the plain price: the next accepted column counts."""
+    return dashboard.seasonality(m.calendar.drop("price"))

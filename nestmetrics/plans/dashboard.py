@@ -13,6 +13,7 @@ from nestmetrics.operators.histogram import histogram
 from nestmetrics.operators.ordering import argmax_row, top_k
 from nestmetrics.operators.quantiles import exact_quantiles, global_quantile, median_by
 from nestmetrics.plans import eda
+from nestmetrics.plans.warehouse import Star, listings_from_star
 
 # Accepted names of a field, best first.
 FIELD_NAMES = {
@@ -27,6 +28,8 @@ FIELD_NAMES = {
     "latitude": ("latitude", "lat"),
     "longitude": ("longitude", "lon", "lng"),
 }
+ID_NAMES = ("id", "listing_id")
+CALENDAR_PRICE_NAMES = ("price", "calendar_price", "adjusted_price")
 SEGMENTS = ("Professional", "Casual")
 DAY_TYPES = ("Weekend (Fri-Sat)", "Weekday (Sun-Thu)")
 
@@ -35,6 +38,31 @@ def resolve_fields(df: DataFrame) -> dict[str, str | None]:
     return {field: E.first_existing_col(df, names) for field, names in FIELD_NAMES.items()}
 
 
+def one_shape(df: DataFrame) -> DataFrame:
+    """A listing table of any origin with ``id`` and each field under its best name; fields it lacks are null.
+
+    The datasets below and the market filters then work on it whatever its columns were called.
+    """
+    types = {"area": "string", "room": "string", "superhost": "boolean", "professional": "boolean", "host": "long", "reviews": "int"}
+    found = {"id": (E.first_existing_col(df, ID_NAMES), "long")}
+    found |= {FIELD_NAMES[f][0]: (source, types.get(f, "double")) for f, source in resolve_fields(df).items()}
+    return df.select(*[(F.lit(None).cast(dtype) if source is None else F.col(source)).alias(name) for name, (source, dtype) in found.items()])
+
+
+def view_from_star(star: Star, area: bool = True, host: bool = True) -> DataFrame:
+    """The listings of a warehouse in the one shape: what the views fall back on where no enriched table is stored.
+
+    Only the dimensions that are asked for are joined; every listing is kept.
+    """
+    listings = listings_from_star(star)
+    if area:
+        names = star.dim_neighbourhood.select("neighbourhood_key", F.col("neighbourhood_name").alias("neighbourhood"))
+        listings = listings.join(names, "neighbourhood_key", "left")
+    if host:
+        listings = listings.join(star.dim_host.select("host_key", "host_id", "host_is_superhost", "is_professional_host"), "host_key", "left")
+    return one_shape(listings)
+
+
 def market_filter(
     df: DataFrame,
     areas: Sequence[str] = (),
@@ -149,7 +177,11 @@ def improvement_targets(view: DataFrame, k: int = 10, min_reviews: int = 10) ->
 
 
 def known_days(calendar: DataFrame) -> DataFrame:
-    return calendar.dropna(subset=["date", "price"])
+    """Dated days with a price, which is the first of its accepted columns."""
+    source = E.first_existing_col(calendar, CALENDAR_PRICE_NAMES)
+    if source is None:
+        raise ValueError("no price column")
+    return calendar.withColumn("price", F.col(source)).dropna(subset=["date", "price"])
 
 
 def monthly_median_price(calendar: DataFrame) -> DataFrame:

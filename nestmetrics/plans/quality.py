@@ -225,18 +225,31 @@ def star_check(df: DataFrame, name: str, failed: Column, checked: Column | None
     )
 
 
-def star_null_checks(dim_listing: DataFrame, fact_calendar: DataFrame, fact_reviews: DataFrame) -> DataFrame:
-    parts = [
-        star_check(dim_listing, "listing_id_null", F.col("listing_id").isNull()),
-        star_check(dim_listing, "room_type_not_null", F.col("room_type").isNull()),
-        star_check(fact_calendar, "calendar_listing_id_not_null", F.col("listing_id").isNull()),
-        star_check(fact_calendar, "calendar_date_valid", F.col("date_key").isNull()),
-        star_check(fact_reviews, "reviews_listing_id_not_null", F.col("listing_id").isNull()),
+def star_checks(df: DataFrame, checks: Sequence[tuple[str, Column, Column]]) -> DataFrame:
+    """Several checks of one table from one aggregate over it: name, the failure, and which rows count."""
+    counts = []
+    for i, (_, failed, counted) in enumerate(checks):
+        counts += [
+            F.count_if(counted).alias(f"_total_{i}"),
+            F.sum(F.when(counted, F.when(failed, 1).otherwise(0))).alias(f"_failed_{i}"),
+        ]
+    rows = [
+        F.struct(F.lit(name).alias("check_name"), F.col(f"_total_{i}").alias("total_rows"), F.col(f"_failed_{i}").alias("failed_rows"))
+        for i, (name, _, _) in enumerate(checks)
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def star_null_checks(dim_listing: DataFrame, fact_calendar: DataFrame, fact_reviews: DataFrame) -> DataFrame:
+    def null(name: str, column: str) -> tuple[str, Column, Column]:
+        return name, F.col(column).isNull(), F.lit(True)
+
+    listings = star_checks(dim_listing, [null("listing_id_null", "listing_id"), null("room_type_not_null", "room_type")])
+    calendar = star_checks(
+        fact_calendar, [null("calendar_listing_id_not_null", "listing_id"), null("calendar_date_valid", "date_key")]
+    )
+    reviews = star_checks(fact_reviews, [null("reviews_listing_id_not_null", "listing_id")])
+    return listings.unionByName(calendar).unionByName(reviews)
 
 
 def star_duplicate_check(dim_listing: DataFrame) -> DataFrame:
@@ -252,17 +265,9 @@ def star_price_check(fact: DataFrame) -> DataFrame:
 
 
 def star_range_checks(dim_listing: DataFrame, fact: DataFrame) -> DataFrame:
-    def outside(column: str, low: float, high: float) -> Column:
-        return (F.col(column) < low) | (F.col(column) > high)
+    def outside(column: str, low: float, high: float) -> tuple[str, Column, Column]:
+        value = F.col(column)
+        return f"{column}_range", (value < low) | (value > high), value.isNotNull()
 
-    return (
-        star_check(dim_listing, "latitude_range", outside("latitude", -90, 90), F.col("latitude").isNotNull())
-        .unionByName(
-            star_check(dim_listing, "longitude_range", outside("longitude", -180, 180), F.col("longitude").isNotNull())
-        )
-        .unionByName(
-            star_check(
-                fact, "availability_365_range", outside("availability_365", 0, 365), F.col("availability_365").isNotNull()
-            )
-        )
-    )
+    places = star_checks(dim_listing, [outside("latitude", -90, 90), outside("longitude", -180, 180)])
+    return places.unionByName(star_checks(fact, [outside("availability_365", 0, 365)]))

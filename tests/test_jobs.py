@@ -205,3 +205,21 @@ def test_insights_report_absent_columns(spark, columns):
     got = {r.chart_name: r.finding for r in eda.eda_insights(listings(spark).select(*columns)).collect()}
     assert len(got) == 7 and got["top_neighbourhoods_price"] == "Column not found"
     assert (got["professional_vs_casual"] == "Column not found") == ("is_professional_host" not in columns)
+
+
+def test_views_work_whatever_the_columns_are_called(spark):
+    df = spark.createDataFrame(
+        [(1, "A", "Flat", 10.0, 4.0, 20, "t"), (2, "A", "Flat", 30.0, 5.0, 30, "f"), (3, None, "Room", None, None, 0, None)],
+        "listing_id long, neighborhood string, stay_type string, nightly_price double, avg_review_score double, reviews_count int, professional_host string",
+    )
+    view = dashboard.one_shape(df)
+    assert view.columns[0] == "id" and "neighbourhood_cleansed" in view.columns and view.count() == 3
+    matrix = [tuple(r) for r in dashboard.neighbourhood_matrix(view).collect()]
+    assert matrix == [("A", 20.0, 2), (None, None, 0)]
+    assert {(r["filter"], r.option) for r in dashboard.filter_options(view).collect()} >= {("room_type", "Flat"), ("neighbourhood", "A")}
+    assert {r.host_segment: r.listing_count for r in dashboard.host_segments(view).collect()} == {"Professional": 1, "Casual": 2}
+    assert [r.id for r in dashboard.improvement_targets(view).collect()] == [1]
+    assert dashboard.map_points(view).collect() == []  # no places at all
+    assert dashboard.market_filter(view, rooms=["Room"]).count() == 1
+    with pytest.raises(ValueError, match="no price column"):
+        dashboard.known_days(spark.range(1))
