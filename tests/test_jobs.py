@@ -223,3 +223,35 @@ def test_views_work_whatever_the_columns_are_called(spark):
     assert dashboard.market_filter(view, rooms=["Room"]).count() == 1
     with pytest.raises(ValueError, match="no price column"):
         dashboard.known_days(spark.range(1))
+
+
+def test_computed_columns_are_not_shuffled(spark):
+    """Columns that finish adds are computed after the joins: no exchange carries them."""
+    listings = spark.range(5).withColumn("base", F.col("id") * 2)
+    calendar = spark.createDataFrame([(1, True, 2.0)], "listing_id long, available boolean, price double")
+    reviews = spark.createDataFrame([(1, 7, None)], "listing_id long, id long, date date")
+    found = enrich.enrich_listings(listings, calendar.hint("merge"), reviews.hint("merge"), finish=lambda df: df.withColumns({"double_base": F.col("base") * 2}))
+    rows = {r.id: r for r in found.collect()}
+    assert rows[3].double_base == 12 and rows[1].calendar_days_total == 1 and rows[1].total_review_count == 1
+    assert rows[0].total_review_count is None
+
+
+def test_enriched_listings_are_joined_before_they_widen(spark):
+    """The rows that the enrichment shuffles have no more columns than the listings are computed from."""
+    from nestmetrics.catalog.tables import Market
+
+    m = Market(spark, "/root/testdata/sf0.001")
+    plan = m.enrich()._jdf.queryExecution().optimizedPlan().toString()
+    joins = plan.index("Join LeftOuter")
+    assert "AS description" in plan[:joins] and "AS description" not in plan[joins:]
+    assert len(m._listing_sources.columns) < 10 < len(m.listings.columns)
+
+
+def test_settings_hold_inside_only(spark):
+    from nestmetrics.session import settings
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with settings(spark, {key: "7"}):
+        assert spark.conf.get(key) == "7"
+    assert spark.conf.get(key) == before
