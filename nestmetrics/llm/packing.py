@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestmetrics.llm.bpe import WORD_BPE, library_codec
-from nestmetrics.llm.common import col, ship_code, stored, table, text_of
+from nestmetrics.llm.common import col, releasing, ship_code, stored, table, text_of
+from nestmetrics.session import LONG_TEXTS, settings
 
 CAPACITY = 4096
 END_ID = 1
@@ -89,7 +90,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
     ship_code(docs.sparkSession)
     rows = docs.select(col(docs, "doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(releasing(run), PIECES)
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, group_sequences: int = GROUP_SEQUENCES) -> DataFrame:
@@ -112,7 +113,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, g
 
 
 def pack_documents(docs: DataFrame, path: str) -> DataFrame:
-    return pack(stored(pieces(docs, path), "pieces"))
+    with settings(docs.sparkSession, LONG_TEXTS):
+        cut = stored(pieces(docs, path), "pieces")
+    return pack(cut)
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from nestmetrics.llm.common import col, releasing, ship_code, stored, table, text_of
+from nestmetrics.session import LONG_TEXTS, settings
 
 #: Most labelled rows that are trained on; about 100 MB of texts of ordinary length.
 TRAIN_ROWS = 20_000
@@ -98,7 +99,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
         buckets = np.where(some == 1 << BITS, -1, some)
         yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts[1, some]), pa.array(counts[0, some])], names=["bucket", "toxic", "other"])
 
-    parts = rows.mapInArrow(run, "bucket long, toxic long, other long")
+    parts = rows.mapInArrow(releasing(run), "bucket long, toxic long, other long")
     return parts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
@@ -131,7 +132,11 @@ def fit_weights(lists: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray) -
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """A weight for each hash bucket, and the intercept."""
-    rows = training_rows(docs, labels, most)
+    with settings(docs.sparkSession, LONG_TEXTS):
+        return _trained(training_rows(docs, labels, most))
+
+
+def _trained(rows: DataFrame) -> tuple[np.ndarray, float]:
     counts = stored(gram_counts(rows), "gram-counts")
     total = counts.where("bucket = -1").first()
     weights = np.zeros(1 << BITS, dtype=np.float32)
@@ -178,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[n
         yield pa.RecordBatch.from_arrays([pa.array(np.append(buckets, -1)), pa.array(np.append(weight * ratio, bias))], names=["bucket", "weight"])
 
     # At most TRAIN_ROWS short lists, so one task may hold them.
-    model = stored(rows.mapInArrow(listed, "found array<int>, toxic int"), "features").coalesce(1).mapInArrow(fitted, "bucket long, weight double").toPandas()
+    model = stored(rows.mapInArrow(releasing(listed), "found array<int>, toxic int"), "features").coalesce(1).mapInArrow(releasing(fitted), "bucket long, weight double").toPandas()
     inner = model["bucket"] >= 0
     weights[model["bucket"][inner].to_numpy()] = model["weight"][inner].to_numpy()
     return weights, float(model["weight"][~inner].iloc[0])
@@ -207,17 +212,20 @@ def scored(docs: DataFrame, weights: np.ndarray, bias: float, carried: list[Colu
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents below the threshold, with their own columns."""
+    """The documents below the threshold, with their own columns; stored, so that they are scored in small batches."""
     weights, bias = train(docs, labels)
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     kept = _with_score(plain, docs.columns.index("text"), weights, bias).where(F.col("score") < THRESHOLD).drop("score")
-    return kept.toDF(*docs.columns)
+    with settings(docs.sparkSession, LONG_TEXTS):
+        return stored(kept, "not-toxic").toDF(*docs.columns)
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
-    """Every document's score."""
+    """Every document's score, stored: three numbers a row."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights, bias = train(docs, labels)
     doc_id = col(docs, "doc_id").cast("long")
     out = scored(docs, weights, bias, [doc_id.alias("doc_id"), F.coalesce(is_held_out(doc_id), F.lit(False)).alias("held_out")])
-    return out.toDF("doc_id", "held_out", "score").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    with settings(spark, LONG_TEXTS):
+        found = stored(out.toDF("doc_id", "held_out", "score"), "scores")
+    return found.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
