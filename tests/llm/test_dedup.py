@@ -1,9 +1,11 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from nestmetrics.llm import exact_dedup, simhash, suffix_dedup
 from nestmetrics.llm.components import components
@@ -233,3 +235,46 @@ def test_removal_report_and_cut_documents(spark, docs):
     assert left[1] == "start x" and left[2] == ",y" and left[3] == "nothing" and left[4] is None and left[5] == ""
     assert suffix_dedup.cut_repeats(docs([])).columns == frame.columns
     assert suffix_dedup.removal_report(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("group", [1000, 1])
+def test_removal_in_words_against_all_windows(spark, group):
+    rnd = random.Random(group)
+    base = [[rnd.choice("a b ä cc".split()) for _ in range(40)] for _ in range(5)] + [["a", "b"] * 20, ["c"] * 40]
+    texts = [None, "", " a\n"]
+    for _ in range(60):
+        words = [w for _ in range(rnd.randint(1, 6)) for w in rnd.choice(base)[rnd.randint(0, 15) :][: rnd.randint(5, 40)]]
+        texts.append(rnd.choice(["", "\n"]) + "".join(w + rnd.choice([" ", "  ", "\n", " \t"]) for w in words))
+    lists = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(w[i : i + 12]) for w in lists for i in range(len(w) - 11))
+    expected = {}
+    for k, w in enumerate(lists):
+        gone = {j for i in range(len(w) - 11) if seen[tuple(w[i : i + 12])] > 1 for j in range(i, i + 12)}
+        expected[k] = b" ".join(x for j, x in enumerate(w) if j not in gone)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cuts = suffix_dedup.repeated_stretches(frame, 12, 5, group, words=True)
+    found = suffix_dedup.joined_by_key(suffix_dedup.id_and_text(frame), cuts, "left").collect()
+    got = {}
+    for r in found:
+        text = bytes(r["text"])
+        got[r["doc_id"]] = b" ".join(suffix_dedup.kept_bytes(text, suffix_dedup.in_bytes(text, r["cuts"] or []))[0].split())
+    assert got == expected
+    assert len({k for k, w in enumerate(lists) if got[k] != b" ".join(w)}) > 20
+
+
+def test_sizes_up_to_4_to_5_apart_share_a_window(spark):
+    sizes = sorted({*range(300), *(5**k * 4**j for k in range(9) for j in range(9)), *(s * 5 // 4 for s in range(300, 9000, 7)), *range(300, 9000, 7)})
+    frame = spark.createDataFrame([(s,) for s in sizes], "shingles long")
+    windows = {r["shingles"]: set(r["w"]) for r in frame.select("shingles", simhash.size_windows(F.col("shingles")).alias("w")).collect()}
+    assert all(windows[a] & windows[b] for b in sizes for a in sizes if 4 * b <= 5 * a <= 5 * b)
+    assert not windows[100] & windows[200] and max(map(len, windows.values())) == 2
+
+
+def test_the_walk_leaves_pairs_of_sizes_too_far_apart(spark):
+    """Prints that share no window are not compared, however near; a print may be in several."""
+    rows = [(1, [2, 3, 4], i, w) for i, w in enumerate([[1], [1, 2], [3], [2], [4, 5], [5]])]
+    rows = [(fp ^ i, wide, i, w) for fp, wide, i, w in rows]
+    frame = spark.createDataFrame(rows, "fp long, wide array<long>, node long, windows array<long>")
+    links = simhash.trie_links(frame, simhash.NEAR_MOST, simhash.WIDE_MOST)
+    assert {r["node"]: r["root"] for r in components(links).collect()}.keys() == {0, 1, 3, 4, 5}
+    assert {frozenset((r["u"], r["v"])) for r in links.collect()} == {frozenset(x) for x in ((0, 1), (1, 3), (4, 5))}

@@ -35,3 +35,13 @@ def test_stages_keep_columns_and_clean_documents(spark):
 
 def test_run_over_the_tables(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_suffix_dedup_cuts_passages_of_over_50_words(spark):
+    """Also those that have fewer bytes than the strings of op6; passages of 50 words stay."""
+    long, short = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 51), ("q", 50)))
+    assert len(long) < 400
+    texts = [f"One two.\n{long} three", f"four {long}\nFive.", f"six {short} seven", f"{short} eight", "nine", None]
+    out = corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), SF)
+    left = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert left == {0: "One two.\nthree", 1: "four Five."} | dict(list(enumerate(texts))[2:])
