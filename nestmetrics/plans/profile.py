@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,8 @@ def is_date_like(name: str) -> bool:
     return any(word in name.lower() for word in DATE_WORDS)
 
 
+#: Columns dealt out in one scan, which reads no others. More make one generated method that the JIT refuses to compile.
+DEALT = 6
 #: What a row's own digest is counted under, next to its cells' under their columns' numbers.
 _ROW = -1
 
@@ -56,6 +60,23 @@ def _known(field: T.StructField) -> Column:
     return F.when(~F.isnan(value), value) if _is_float(field) else value
 
 
+#: Types of at most 64 bits, which one hash of 64 tells apart: it only shuffles their bits.
+_SHORT = (
+    T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType,
+)
+
+
+def cell_digest(field: T.StructField) -> tuple[Column, Column]:
+    """Two numbers that tell a column's known values apart, null for others: a whole number itself, else hashes of the value in its type."""
+    value = _known(field)
+    if isinstance(field.dataType, T.IntegralType):
+        return value.cast("long"), F.lit(0).cast("long")
+    first, second = digest(value)
+    if isinstance(field.dataType, _SHORT):
+        second = F.lit(0).cast("long")
+    return F.when(value.isNotNull(), first), second
+
+
 def _extent(field: T.StructField) -> tuple[str, Column, T.DataType] | None:
     """How a column's range is carried: under which name, the value, and the type that it is shown as."""
     dtype = field.dataType
@@ -91,9 +112,11 @@ def _carrier_type(name: str) -> str:
 def profile_table(df: DataFrame, file_key: str, file_name: str) -> DataFrame:
     """One row per column: counts, share of nulls, distinct values, range of numbers and dates.
 
-    One scan: each row is dealt into the digests of its cells, with the value itself only where a range is asked for,
+    Each row is dealt into the digests of its cells, with the value itself only where a range is asked for,
     and one of the whole row. Equal digests collapse before the shuffle, which holds no texts, and all
-    figures are sums over the groups. Ranges keep all digits: they are text, not floats.
+    figures are sums over the groups. A few columns are dealt out at a time, so wide tables take several scans, of their
+    own columns each. No value is written out as text to be told apart. Ranges keep all digits: they
+    are text, not floats.
     """
     fields = df.schema.fields
     extents = [_extent(f) for f in fields]
@@ -102,18 +125,16 @@ def profile_table(df: DataFrame, file_key: str, file_name: str) -> DataFrame:
 
     none = {name: F.lit(None).cast(_carrier_type(name)) for name in carried}
 
-    def dealt(number: int, text: Column, extent=None) -> Column:
+    def dealt(number: int, told: tuple[Column, Column], extent=None) -> Column:
         ranges = [(extent[1] if extent and extent[0] == name else none[name]).alias(f"_{name}") for name in carried]
-        return F.struct(F.lit(number).alias("_i"), text.alias("_text"), *ranges)
+        return F.struct(F.lit(number).alias("_i"), told[0].alias("_d1"), told[1].alias("_d2"), *ranges)
 
-    cells = [dealt(_ROW, F.concat_ws(":", *row_digest(df)))]
-    cells += [dealt(i, _known(f).cast("string"), extent) for i, (f, extent) in enumerate(zip(fields, extents, strict=True))]
-    # Hashed after they are dealt out: one piece of code for all columns.
-    first, second = digest(F.col("_text"))
+    cells = [dealt(_ROW, row_digest(df))]
+    cells += [dealt(i, cell_digest(f), extent) for i, (f, extent) in enumerate(zip(fields, extents, strict=True))]
+    parts = [df.select(F.inline(F.array(*cells[at : at + DEALT]))) for at in range(0, len(cells), DEALT)]
     groups = (
-        df.select(F.inline(F.array(*cells)))
-        .where("_text IS NOT NULL")
-        .select("_i", first.alias("_d1"), second.alias("_d2"), *[f"_{name}" for name in carried])
+        reduce(DataFrame.unionAll, parts)
+        .where("_d1 IS NOT NULL")
         .groupBy("_i", "_d1", "_d2")
         .agg(F.count(F.lit(1)).alias("_n"), *[F.min(f"_{name}").alias(f"_{name}") for name in carried])
     )
