@@ -237,6 +237,13 @@ def test_removal_report_and_cut_documents(spark, docs):
     assert suffix_dedup.removal_report(docs([])).count() == 0
 
 
+def test_a_passage_goes_from_400_bytes_on_however_many_words_it_has(docs):
+    stays, goes = (" ".join(f"{c}{i:04}" for i in range(67))[:n] for c, n in (("s", 399), ("g", 400)))
+    assert min(len(stays.split()), len(goes.split())) > 50
+    frame = docs([(1, "a" + stays + "b"), (2, "c" + stays + "d"), (3, "a" + goes + "b"), (4, "c" + goes + "d")])
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.removal_report(frame).collect()} == {1: 0, 2: 0, 3: 400, 4: 400}
+
+
 @pytest.mark.parametrize("group", [1000, 1])
 def test_removal_in_words_against_all_windows(spark, group):
     rnd = random.Random(group)
