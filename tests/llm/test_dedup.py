@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -285,3 +286,56 @@ def test_the_walk_leaves_pairs_of_sizes_too_far_apart(spark):
     links = simhash.trie_links(frame, simhash.NEAR_MOST, simhash.WIDE_MOST)
     assert {r["node"]: r["root"] for r in components(links).collect()}.keys() == {0, 1, 3, 4, 5}
     assert {frozenset((r["u"], r["v"])) for r in links.collect()} == {frozenset(x) for x in ((0, 1), (1, 3), (4, 5))}
+
+
+def test_passes_find_the_links_of_one_deal(spark, monkeypatch):
+    """Windows with prefixes of their own lengths, turns dealt a pass at a time, shuffle files deleted in between."""
+    rnd = random.Random(12)
+    bases = [[rnd.getrandbits(64) for _ in range(4)] for _ in range(30)]
+    rows = []
+    for i in range(400):
+        fp, *wide = (x ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 8))) for x in rnd.choice(bases))
+        signed = [x - (1 << 64) if x >> 63 else x for x in (fp, *wide)]
+        rows.append((signed[0], signed[1:], i, [-1] if i % 4 else [-1, 3]))
+    frame = simhash.stored(spark.createDataFrame(rows, "fp long, wide array<long>, node long, windows array<long>"), "t")
+    bits = np.array([[r[0], *r[1]] for r in rows], dtype=np.int64).view(np.uint64)
+    apart = np.bitwise_count(bits[:, None] ^ bits).sum(axis=2)
+    u, v = np.nonzero(apart <= simhash.WIDE_MOST)
+    label = simhash.local_groups(len(rows), u, v)
+    expected = {frozenset(np.flatnonzero(label == g).tolist()) for g in set(label) if (label == g).sum() > 1}
+    dealt, plain = [], simhash.in_passes
+    monkeypatch.setattr(simhash, "in_passes", lambda passes, links: dealt.append(passes) or plain(passes, links))
+    groups = {}
+    for r in components(simhash.trie_links(frame, simhash.NEAR_MOST, simhash.WIDE_MOST, 350, 9000)).collect():
+        groups.setdefault(r["root"], set()).add(r["node"])
+    assert set(map(frozenset, groups.values())) == expected
+    assert dealt == [2]
+
+
+def test_blocks_of_large_groups_in_passes(spark, monkeypatch):
+    rnd = random.Random(5)
+    chain = rnd.sample(range(10**7), 300)
+    rows = [(k, 0, sorted(x + 10**9 if i < 20 * k else x for i, x in enumerate(chain))) for k in range(16)]
+    frame = simhash.stored(spark.createDataFrame(rows, "member long, group long, shingles array<long>"), "t")
+    dealt, plain = [], simhash.in_passes
+    monkeypatch.setattr(simhash, "in_passes", lambda passes, links: dealt.append(passes) or plain(passes, links))
+    monkeypatch.setattr(simhash, "PASS_SHARE", 1)
+    roots = {r["node"]: r["root"] for r in components(simhash.near_links(frame, 600, 1000)).collect()}
+    assert dealt and dealt[0] > 1 and len(roots) == 16 and len(set(roots.values())) == 1
+
+
+def test_shuffle_files_of_steps_that_are_over_are_deleted(spark):
+    """A stored step leaves no shuffle behind once they are freed."""
+    from nestmetrics.llm.common import free_shuffles
+
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    free_shuffles(spark)
+    simhash.stored(spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+    before = tracker.shuffleStatuses().size()
+    assert before > 0
+    free_shuffles(spark)
+    for _ in range(100):
+        if tracker.shuffleStatuses().size() < before:
+            break
+        time.sleep(0.1)
+    assert tracker.shuffleStatuses().size() < before
