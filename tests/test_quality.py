@@ -83,3 +83,12 @@ def test_star_duplicates_count_every_null(spark):
     df = spark.createDataFrame([(1,), (None,), (None,)], "listing_id long")
     assert Q.star_duplicate_check(df).first().duplicate_count == 2
     assert one(spark, "listing_id long", [1, None, None], Q.no_duplicates("listing_id")).failed_rows == 1
+
+
+def test_parents_of_a_foreign_key_are_not_broadcast(spark):
+    """Their bytes say little about their number."""
+    child, parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long"), spark.range(2).toDF("k")
+    orphans = Q.check_foreign_key(child, "k", parent, "k", "c.k")
+    assert tuple(orphans.first()) == ("c.k", 2, 1)
+    plan = orphans._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
