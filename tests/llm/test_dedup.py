@@ -289,7 +289,7 @@ def test_the_walk_leaves_pairs_of_sizes_too_far_apart(spark):
 
 
 def test_passes_find_the_links_of_one_deal(spark, monkeypatch):
-    """Windows with prefixes of their own lengths, turns dealt a pass at a time, shuffle files deleted in between."""
+    """Turns dealt a pass at a time, stored and their shuffle files deleted in between."""
     rnd = random.Random(12)
     bases = [[rnd.getrandbits(64) for _ in range(4)] for _ in range(30)]
     rows = []
@@ -306,10 +306,10 @@ def test_passes_find_the_links_of_one_deal(spark, monkeypatch):
     dealt, plain = [], simhash.in_passes
     monkeypatch.setattr(simhash, "in_passes", lambda passes, links: dealt.append(passes) or plain(passes, links))
     groups = {}
-    for r in components(simhash.trie_links(frame, simhash.NEAR_MOST, simhash.WIDE_MOST, 350, 9000)).collect():
+    for r in components(simhash.trie_links(frame, simhash.NEAR_MOST, simhash.WIDE_MOST, 1000, 3000)).collect():
         groups.setdefault(r["root"], set()).add(r["node"])
     assert set(map(frozenset, groups.values())) == expected
-    assert dealt == [2]
+    assert dealt == [3]
 
 
 def test_blocks_of_large_groups_in_passes(spark, monkeypatch):
